@@ -20,11 +20,12 @@ WORD = r"[\p{L}\p{N}_]{2,}"
 # A letter, then at least two letters or underscores, Latin script with Vietnamese marks.
 LONG_WORD = r"[a-zA-ZÀ-ỹ][a-zA-ZÀ-ỹ_]{2,}"
 
-_COMMENT = r"(?s)<!--.*?-->"
-_UNSEEN = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>"
+# Pieces of markup. Each also matches up to the end of a page that was cut off inside it.
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_UNSEEN = r"(?is)<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 # A tag, with > allowed inside quoted attribute values; the plain form takes what is left.
 _TAG = (r"""<[/!?a-zA-Z][^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+){0,100}+>""")
-_PLAIN_TAG = r"<[/!?a-zA-Z][^>]*>"
+_PLAIN_TAG = r"<[/!?a-zA-Z][^>]*(?:>|\z)"
 
 
 def english_stop_words() -> list[str]:

@@ -55,9 +55,9 @@ def basket_pairs(df: DataFrame, basket: str, item: str, min_count: int = 1,
     heads = cells.select("_lo", "_hi", "_t", F.posexplode("_t").alias("_i", "_a"))
     rest = F.slice("_t", F.col("_i") + 2, F.size("_t"))
     # Inside one block every pair counts; between two blocks only the pairs that cross.
-    crossing = F.filter(rest, lambda x: (F.col("_lo") == F.col("_hi"))
-                        | (x["_own"] != F.col("_a._own")))
-    pairs = heads.select(F.col("_a.item").alias("a"), F.explode(crossing).alias("_b"))
+    crossing = F.filter(rest, lambda x: x["_own"] != F.col("_a._own"))
+    partners = F.when(F.col("_lo") == F.col("_hi"), rest).otherwise(crossing)
+    pairs = heads.select(F.col("_a.item").alias("a"), F.explode(partners).alias("_b"))
     counts = (pairs.select("a", F.col("_b.item").alias("b"))
               .groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
     return counts if min_count <= 1 else counts.filter(F.col("n") >= min_count)

@@ -54,7 +54,7 @@ def induced_subgraph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
-             tolerance: float | None = 1e-6, checkpoint_every: int = 5) -> DataFrame:
+             tolerance: float | None = 1e-6, checkpoint_every: int = 1) -> DataFrame:
     """Weighted PageRank of an undirected graph (Page & Brin 1998): ``node``, ``score``.
 
     Runs ``max_rounds`` rounds, or until the L1 change falls below nodes * ``tolerance``. The
@@ -63,6 +63,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
     task in the shuffle. Nodes whose edges carry no weight spread their score evenly. The
     lineage is cut with reliable checkpoints.
     """
+    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     directed = both_ways(edges).filter(F.col("w") > 0)
     out_weight = directed.groupBy("src").agg(F.sum("w").alias("_out"))
     links = (directed.join(out_weight, "src")
@@ -99,8 +100,8 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
                     break
         return ranks
     finally:
-        links.unpersist()
-        nodes.unpersist()
+        for held in (links, nodes, edges):
+            held.unpersist()
 
 
 def top_nodes(scores: DataFrame, k: int = 20, digits: int = 4) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-MODULES = ("queries_aggregate", "queries_tokens")
+MODULES = ("queries_aggregate", "queries_tokens", "queries_tables", "queries_pages",
+           "queries_models", "queries_jobs")
 
 
 def load_all() -> None:

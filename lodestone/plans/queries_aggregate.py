@@ -92,7 +92,7 @@ g AS (SELECT p_brand, count(*) AS n, avg(p_retailprice) FILTER (p_retailprice >
              string_agg(DISTINCT p_type, ' | ' ORDER BY p_type) AS levels
       FROM part GROUP BY p_brand)
 SELECT p_brand, n, round(n * 100.0::DOUBLE / mn, 2) AS share_pct, round(a, 2) AS avg_value,
-       round((a - mavg) * 100.0::DOUBLE / mavg, 2) AS vs_market_pct, max_value, avg_experience,
+       round((a - mavg) * 100.0::DOUBLE / mavg, 2) + 0 AS vs_market_pct, max_value, avg_experience,
        flag_pct, top_token, levels
 FROM g JOIN common USING (p_brand) CROSS JOIN m""")
 def group_vs_market(t: Tables):
@@ -318,9 +318,12 @@ def stats_join(t: Tables):
 
 
 @query("anti_join", """
-SELECT c_custkey, c_name FROM customer ANTI JOIN orders ON c_custkey = o_custkey""")
+SELECT c_custkey, c_name FROM customer ANTI JOIN (
+  SELECT * FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT') o
+ON c_custkey = o.o_custkey""")
 def anti_join(t: Tables):
-    return joins.without_match(t.customer.select("c_custkey", "c_name"), t.orders, "c_custkey",
+    urgent = t.orders.filter("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+    return joins.without_match(t.customer.select("c_custkey", "c_name"), urgent, "c_custkey",
                                "o_custkey")
 
 
@@ -335,11 +338,11 @@ def attach_total(t: Tables):
 
 
 @query("having", """
-SELECT o_custkey, count(*) AS n, round(min(o_totalprice), 2) AS min_value,
-  round(avg(o_totalprice), 2) AS avg_value, round(max(o_totalprice), 2) AS max_value
+SELECT o_custkey, count(*) AS n, round(min(o_totalprice), 6) AS min_value,
+  round(avg(o_totalprice), 6) AS avg_value, round(max(o_totalprice), 6) AS max_value
 FROM orders GROUP BY o_custkey HAVING count(*) >= 12""")
 def having(t: Tables):
-    return agg.group_profile(t.orders, ["o_custkey"], "o_totalprice", min_rows=12)
+    return agg.group_profile(t.orders, ["o_custkey"], "o_totalprice", digits=6, min_rows=12)
 
 
 @query("class_means", """
