@@ -1 +1,138 @@
+"""Queries: metrics, splits, topic models, clusters, classifiers and regressions."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestone.operators import aggregate as agg
+from lodestone.operators import metrics, models
+from lodestone.operators.text import TopicModel
+from lodestone.plans.registry import Tables, query
+
+
+@query("regression_metrics", """
+WITH g AS (SELECT l_extendedprice AS y, l_extendedprice - l_quantity * 1500 AS gap FROM lineitem)
+SELECT count(*) AS n, round(avg(abs(gap)), 4) AS mae, round(sqrt(avg(gap * gap)), 4) AS rmse,
+  round(1 - avg(gap * gap) / var_pop(y), 4) AS r2 FROM g""")
+def regression_metrics(t: Tables):
+    """A price guessed from the quantity."""
+    rows = t.lineitem.withColumn("guess", F.col("l_quantity") * 1500)
+    return metrics.regression_metrics(rows, "l_extendedprice", "guess")
+
+
+GUESS = """p AS (SELECT quality AS l, CASE WHEN n_chars > 600 THEN 1 ELSE 0 END AS g
+                 FROM documents JOIN labels USING (doc_id))"""
+
+
+def _guessed(t: Tables):
+    """Quality guessed from the length of the text."""
+    rows = t.documents.select("doc_id", "n_chars").join(t.labels, "doc_id")
+    return rows.withColumn("guess", F.when(F.col("n_chars") > 600, 1).otherwise(0))
+
+
+@query("class_report", f"""
+WITH {GUESS},
+c AS (SELECT c, count(*) FILTER (l = c) AS support, count(*) FILTER (g = c) AS predicted,
+             count(*) FILTER (l = c AND g = c) AS hits
+      FROM p, (SELECT unnest([0, 1]) AS c) GROUP BY c),
+r AS (SELECT c::VARCHAR AS class, support, hits, coalesce(hits / nullif(predicted, 0), 0) AS p,
+             coalesce(hits / nullif(support, 0), 0) AS r FROM c),
+f AS (SELECT *, coalesce(2 * p * r / nullif(p + r, 0), 0) AS f FROM r)
+SELECT class, round(p, 4) AS precision, round(r, 4) AS recall, round(f, 4) AS f1, support FROM f
+UNION ALL SELECT 'accuracy', round(sum(hits) / sum(support), 4), round(sum(hits) / sum(support), 4),
+  round(sum(hits) / sum(support), 4), sum(support)::BIGINT FROM f
+UNION ALL SELECT 'macro avg', round(avg(p), 4), round(avg(r), 4), round(avg(f), 4),
+  sum(support)::BIGINT FROM f
+UNION ALL SELECT 'weighted avg', round(sum(p * support) / sum(support), 4),
+  round(sum(r * support) / sum(support), 4), round(sum(f * support) / sum(support), 4),
+  sum(support)::BIGINT FROM f""")
+def class_report(t: Tables):
+    return metrics.class_report(_guessed(t), "quality", "guess")
+
+
+@query("confusion_matrix", f"""
+WITH {GUESS}
+SELECT l AS quality, count(*) FILTER (g = 0) AS "0", count(*) FILTER (g = 1) AS "1",
+  count(*) AS total FROM p GROUP BY l""")
+def confusion_matrix(t: Tables):
+    return metrics.confusion_matrix(_guessed(t), "quality", "guess", [0, 1])
+
+
+@query("balanced_weights", """
+SELECT doc_id, lang, round((SELECT count(*) FROM documents) / (
+  (SELECT count(DISTINCT lang) FROM documents) * count(*) OVER (PARTITION BY lang)), 6) AS weight
+FROM documents""")
+def balanced_weights(t: Tables):
+    rows = models.balanced_weights(t.documents.select("doc_id", "lang"), "lang")
+    return rows.withColumn("weight", F.round("weight", 6))
+
+
+@query("stable_split")
+def stable_split(t: Tables):
+    return models.stable_split(t.documents.select("doc_id"), "doc_id")
+
+
+@query("topics")
+def topics(t: Tables):
+    return TopicModel(t.documents, "text").terms(10)
+
+
+def _part_features(t: Tables):
+    return models.scaled_features(t.part, ["p_retailprice", "p_size"], ["p_type", "p_brand"])[0]
+
+
+@query("kmeans")
+def kmeans(t: Tables):
+    """Cluster profiles and the silhouette of the clustering."""
+    rows, _ = models.kmeans(_part_features(t), 4)
+    return agg.class_means(rows, "cluster", ["p_retailprice", "p_size"]).withColumn(
+        "silhouette", F.lit(round(models.silhouette(rows), 4)))
+
+
+@query("kmeans_elbow")
+def kmeans_elbow(t: Tables):
+    return models.elbow(_part_features(t))
+
+
+@query("kmeans_centres")
+def kmeans_centres(t: Tables):
+    _, model = models.kmeans(_part_features(t), 4)
+    return models.scaled_centres(model, ["price", "size", "type", "brand"], t.spark)
+
+
+@query("pca")
+def pca(t: Tables):
+    rows, variance = models.pca_2d(_part_features(t))
+    return rows.select("p_partkey", F.round("pc1", 6).alias("pc1"),
+                       F.round("pc2", 6).alias("pc2")).withColumns(
+        {"share1": F.lit(round(variance[0], 6)), "share2": F.lit(round(variance[1], 6))})
+
+
+@query("classify_model")
+def classify_model(t: Tables):
+    """Language of a text by random forest."""
+    held = models.classify_forest(t.documents, "doc_id", "lang", "text", ["n_chars"], trees=20)
+    return metrics.class_report(held, "lang", "prediction")
+
+
+@query("classify_svm")
+def classify_svm(t: Tables):
+    """Language of a text by linear SVM."""
+    held = models.classify_svm(t.documents, "doc_id", "lang", "text", rounds=20)
+    return metrics.class_report(held, "lang", "prediction")
+
+
+def _regression(t: Tables) -> models.RegressionBakeOff:
+    return models.RegressionBakeOff(
+        t.part.withColumn("half", F.col("p_partkey") / 2), "p_partkey", "p_retailprice",
+        ["p_size", "half"], ["p_type", "p_brand"], "p_name", trees=20)
+
+
+@query("regress_model")
+def regress_model(t: Tables):
+    return _regression(t).scores
+
+
+@query("feature_importances")
+def feature_importances(t: Tables):
+    return _regression(t).importances("forest", 20)
