@@ -47,17 +47,18 @@ def first_match(c: ColumnLike, rules: Sequence[tuple[Sequence[str], str]], defau
     ``how`` is ``contains``, ``like`` or ``rlike``. Substring semantics on purpose: the
     pattern "ai" also hits "email".
     """
+    def choose(text: Column) -> Column:
+        out = None
+        for patterns, label in rules:
+            hit = None
+            for p in patterns:
+                test = getattr(text, how)(p)
+                hit = test if hit is None else hit | test
+            out = F.when(hit, F.lit(label)) if out is None else out.when(hit, F.lit(label))
+        return out.otherwise(F.lit(default))
+
     text = F.coalesce(as_col(c), F.lit(""))
-    if lower:
-        text = F.lower(text)
-    out = None
-    for patterns, label in rules:
-        hit = None
-        for p in patterns:
-            test = getattr(text, how)(p)
-            hit = test if hit is None else hit | test
-        out = F.when(hit, F.lit(label)) if out is None else out.when(hit, F.lit(label))
-    return out.otherwise(F.lit(default))
+    return let(F.lower(text), choose) if lower else choose(text)
 
 
 def whitelist(c: ColumnLike, allowed: Sequence, default: str) -> Column:

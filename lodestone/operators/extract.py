@@ -7,14 +7,15 @@ the visible page. Only character references are resolved in Python, in Arrow bat
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import ColumnLike, as_col, first_match, let
 from lodestone.functions.salary import bare_number, normal_salary, salary_in_lines
-from lodestone.functions.text import (clean_markup, one_line, page_text, strip_tags, text_lines,
-                                      unescape, visible_text)
+from lodestone.functions.text import (clean_markup, one_line, page_lines, page_text, strip_tags,
+                                      unescape)
 from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, COMPANY_CLASSES,
                                            COMPANY_LINK, COMPANY_NOISE, DEAD_PAGE_TEXT,
                                            DESCRIPTION_ENDS, DESCRIPTION_NOISE,
@@ -50,9 +51,17 @@ def tag_body(html: ColumnLike, tag: str) -> Column:
 
 
 def class_body(html: ColumnLike, *parts: str) -> Column:
-    """Inner markup of the first element whose class holds all ``parts``."""
-    ahead = "".join(rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*{p})" for p in parts)
-    return F.regexp_extract(as_col(html), rf"(?is)<(\w+)\b{ahead}[^>]*>(.*?)</\1\s*>", 2)
+    """Inner markup of the first element whose class holds all ``parts``, '' if there is none."""
+    ahead = "".join(rf"(?=[^>]*\bclass\s*=\s*[\"'][^\"']*(?-i:{p}))" for p in parts)
+    body = F.regexp_extract(as_col(html), rf"(?is)<(\w+)\b{ahead}[^>]*>(.*?)</\1\s*>", 2)
+    return _if_has(html, parts, body, F.lit(""))
+
+
+def _if_has(html: ColumnLike, words: Sequence[str], found: Column, missing: Column) -> Column:
+    """``found`` only where the page holds all ``words``: a substring test is far cheaper than
+    a pattern that would fail."""
+    test = reduce(lambda a, b: a & b, (as_col(html).contains(w) for w in words))
+    return F.when(test, found).otherwise(missing)
 
 
 # Postings ---------------------------------------------------------------------------------
@@ -92,8 +101,9 @@ def company(html: ColumnLike, post: Column, noise: Sequence[str] = ()) -> Column
     """Hiring organisation, else the first plausible employer link, else an element whose class
     names the employer, else the first h2. ``noise`` adds phrases no employer name contains."""
     links = F.regexp_extract_all(as_col(html), F.lit(
-        rf"""(?is)<a\b[^>]*\bhref\s*=\s*["'][^"']*{COMPANY_LINK}[^"']*["'][^>]*>(.*?)</a\s*>"""),
-        F.lit(1))
+        rf"""(?is)<a\b[^>]*\bhref\s*=\s*["'][^"']*(?-i:{COMPANY_LINK})[^"']*["'][^>]*>(.*?)"""
+        r"</a\s*>"), F.lit(1))
+    links = _if_has(html, [COMPANY_LINK], links, F.array().cast("array<string>"))
     texts = F.split(unescape(F.array_join(F.transform(links, strip_tags), _SEP)), _SEP)
     banned = [*COMPANY_NOISE, *noise]
 
@@ -147,7 +157,9 @@ def salary(html: ColumnLike, post: Column, lines: Column) -> Column:
     """Amount from, in this order, the page's data attribute, its highlighted box, the
     structured posting, the visible ``lines``; "Unknown" without any."""
     h = as_col(html)
-    node = F.regexp_extract(h, rf"""(?is)<[^>]*\bid\s*=\s*["']{SALARY_NODE_ID}["'][^>]*>""", 0)
+    node = F.regexp_extract(
+        h, rf"""(?is)<[^>]*\bid\s*=\s*["'](?-i:{SALARY_NODE_ID})["'][^>]*>""", 0)
+    node = _if_has(h, [SALARY_NODE_ID], node, F.lit(""))
     quoted = F.regexp_extract(node, rf"""(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*"([^"]*)\"""", 1)
     single = F.regexp_extract(node, rf"(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*'([^']*)'", 1)
     data = F.try_parse_json(unescape(F.coalesce(non_empty(quoted), single)))
@@ -159,9 +171,9 @@ def salary(html: ColumnLike, post: Column, lines: Column) -> Column:
                       salary_in_lines(lines), F.lit("Unknown"))
 
 
-def location(post: Column, text: Column) -> Column:
+def location(post: Column, low_text: Column) -> Column:
     """Comma-joined city codes or short place names of the posting; street addresses are left
-    out. Without any, city names and remote / hybrid in the page text decide."""
+    out. Without any, city names and remote / hybrid in the lower-cased page text decide."""
     places = elements(F.try_variant_get(post, "$.jobLocation", "variant"))
     fields = ("addressRegion", "addressLocality", "streetAddress")
     raw = F.flatten(F.transform(places, lambda p: F.array(
@@ -183,8 +195,8 @@ def location(post: Column, text: Column) -> Column:
 
     named = F.array_compact(F.transform(F.filter(F.transform(texts, one_line), usable), code))
     marks = [("remote", "Remote"), ("hybrid", "Hybrid"), *CITY_CODES.items()]
-    seen = let(F.lower(text), lambda page: F.array_compact(F.array(
-        *[F.when(page.contains(n), F.lit(c)) for n, c in marks])))
+    seen = F.array_compact(F.array(
+        *[F.when(low_text.contains(n), F.lit(c)) for n, c in marks]))
     chosen = let(named, lambda x: F.when(F.size(x) > 0, x).otherwise(seen))
     return F.array_join(F.array_distinct(chosen), ",")
 
@@ -279,47 +291,56 @@ def lead_paragraphs(html: ColumnLike, min_chars: int = 50, count: int = 5) -> Co
     return F.array_join(F.slice(long, 1, count), " ")
 
 
-def experience(post: Column, text: Column) -> Column:
+def experience(post: Column, low_text: Column) -> Column:
     """Experience asked for: the posting's text, else a range of years, else a number of years
-    in the page, else "Unknown"."""
-    low = F.lower(text)
+    in the lower-cased page text, else "Unknown"."""
     stated = non_empty(clean_markup(field(post, "$.experienceRequirements")))
-    span = F.regexp_extract(low, r"(\d+)\s*-\s*(\d+)\s*(?:năm|year|yrs?)", 0)
-    one = F.regexp_extract(low, r"(?:ít nhất|at least|minimum)?\s*(\d+)\s*(?:năm|year|yrs?)", 0)
+    span = F.regexp_extract(low_text, r"(\d+)\s*-\s*(\d+)\s*(?:năm|year|yrs?)", 0)
+    one = F.regexp_extract(low_text, r"(?:ít nhất|at least|minimum)?\s*(\d+)\s*(?:năm|year|yrs?)", 0)
     return F.coalesce(stated, non_empty(one_line(span)), non_empty(one_line(one)),
                       F.lit("Unknown"))
 
 
-def level(title_text: Column, text: Column) -> Column:
-    """Seniority by keyword in the title, else in the page, else "Unknown"."""
+def level(title_text: Column, low_text: Column) -> Column:
+    """Seniority by keyword in the title, else in the lower-cased page text, else "Unknown"."""
     return F.coalesce(first_match(title_text, LEVEL_RULES, None, lower=True),
-                      first_match(text, LEVEL_RULES, "Unknown", lower=True))
+                      first_match(low_text, LEVEL_RULES, "Unknown"))
 
 
-def is_dead(html: ColumnLike, post: Column, text: Column) -> Column:
+def is_dead(html: ColumnLike, post: Column, low_text: Column) -> Column:
     """The page says the posting is gone, and there is neither a posting nor a heading."""
-    gone = F.lower(text).contains(DEAD_PAGE_TEXT)
+    gone = low_text.contains(DEAD_PAGE_TEXT)
     return gone & post.isNull() & (page_text(tag_body(html, "h1")) == "")
 
 
 def posting_records(pages: DataFrame, url: str = "url", html: str = "html",
                     merge_skills: bool = False) -> DataFrame:
-    """One record per page that is not dead. The shared parts (posting, visible text, lines)
-    are computed first and once, then the fields built on them."""
-    post, text = F.col("_post"), F.col("_text")
-    shared = pages.withColumns({"_post": posting(html), "_seen": visible_text(html)})
-    shared = shared.withColumns({"_text": one_line("_seen"), "_lines": text_lines("_seen")})
-    rows = shared.filter(~is_dead(html, post, text)).withColumns({
-        "title": title(html, post), "company": company(html, post),
-        "salary": salary(html, post, F.col("_lines")), "location": location(post, text),
-        "description": description(field(post, "$.description"))})
+    """One record per page that is not dead. The shared parts (posting, visible lines, their
+    lower-cased text) are computed first and once, then the fields built on them."""
+    post, low = F.col("_post"), F.col("_low")
+    shared = pinned(pages, _post=posting(html), _lines=page_lines(html))
+    shared = shared.withColumn("_low", F.lower(F.array_join("_lines", " ")))
+    live = pinned(shared, _dead=is_dead(html, post, low)).filter(~F.col("_dead"))
+    rows = pinned(live, title=title(html, post), company=company(html, post),
+                  salary=salary(html, post, F.col("_lines")), location=location(post, low),
+                  description=description(field(post, "$.description")))
     return rows.select(
         F.col(url).alias("url"), "title", "company", "salary", "location",
         flat_text("description").alias("description"),
         F.array_join(skills(post, F.concat_ws(" ", "title", "description"),
                             merge=merge_skills), ", ").alias("skills"),
-        experience(post, text).alias("experience"),
-        level(F.col("title"), text).alias("job_level"))
+        experience(post, low).alias("experience"),
+        level(F.col("title"), low).alias("job_level"))
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed exactly once per row.
+
+    The optimizer copies an expression that holds a Python function into each of its uses. A
+    generator over a one-element array stands between: its output is a plain column.
+    """
+    one = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
+    return df.select("*", F.explode(one).alias("_pin")).select("*", "_pin.*").drop("_pin")
 
 
 def flat_text(c: ColumnLike) -> Column:

@@ -54,14 +54,15 @@ def induced_subgraph(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
-             tolerance: float | None = 1e-6, checkpoint_every: int = 1) -> DataFrame:
+             tolerance: float | None = 1e-6) -> DataFrame:
     """Weighted PageRank of an undirected graph (Page & Brin 1998): ``node``, ``score``.
 
     Runs ``max_rounds`` rounds, or until the L1 change falls below nodes * ``tolerance``. The
     transition weights are kept partitioned by source; a round is one join on that partitioning
     and one partially aggregated sum, so a node with very many neighbours costs one row per
-    task in the shuffle. Nodes whose edges carry no weight spread their score evenly. The
-    lineage is cut with reliable checkpoints.
+    task in the shuffle. Nodes whose edges carry no weight spread their score evenly. Scores go
+    through a reliable checkpoint every round, which keeps the plan of a round small and means
+    that a lost executor costs no more than one round.
     """
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     directed = both_ways(edges).filter(F.col("w") > 0)
@@ -69,39 +70,30 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
     links = (directed.join(out_weight, "src")
              .select("src", "dst", (F.col("w") / F.col("_out")).alias("p"))
              .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
-    nodes = (nodes_of(edges).join(out_weight, F.col("node") == F.col("src"), "left")
-             .select("node", F.col("_out").isNull().alias("_idle"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        n, idle = nodes.agg(F.count(F.lit(1)), F.count_if("_idle")).first()
-        if n == 0:
-            return nodes.select("node", F.lit(0.0).alias("score"))
-        # With idle nodes a round reads the scores twice, so the plan is cut every round.
-        cut_every = 1 if idle else checkpoint_every
-        ranks = nodes.select("node", F.lit(1.0 / n).alias("score"))
-        for round_no in range(1, max_rounds + 1):
+        nodes = nodes_of(edges).join(out_weight, F.col("node") == F.col("src"), "left")
+        start = cut_lineage(nodes.select("node", F.col("_out").isNull().alias("idle")))
+        n, idle = start.agg(F.count(F.lit(1)), F.count_if("idle")).first()
+        ranks = start.select("node", "idle", F.lit(1.0 / max(n, 1)).alias("score"),
+                             F.lit(0.0).alias("_step"))
+        for _ in range(max_rounds if n else 0):
             arrived = (links.join(ranks, links["src"] == ranks["node"])
                        .groupBy("dst").agg(F.sum(F.col("p") * F.col("score")).alias("_in")))
             spread = F.lit((1.0 - damping) / n)
             if idle:
-                resting = nodes.filter("_idle").join(ranks, "node").agg(F.sum("score")).scalar()
-                spread = spread + resting * (damping / n)
-            fresh = nodes.join(arrived, nodes["node"] == arrived["dst"], "left").select(
-                "node", (F.coalesce("_in", F.lit(0.0)) * damping + spread).alias("score"))
-            last = round_no == max_rounds
-            if round_no % cut_every and not last:
-                ranks = fresh
-                continue
-            before, ranks = ranks, cut_lineage(fresh)
-            if tolerance is not None and not last:
-                moved = (ranks.join(before.withColumnRenamed("score", "_old"), "node")
-                         .agg(F.sum(F.abs(F.col("score") - F.col("_old")))).first()[0])
-                if moved < n * tolerance:
-                    break
-        return ranks
+                resting = ranks.filter("idle").agg(F.sum("score")).first()[0]
+                spread = spread + F.lit(resting * damping / n)
+            fresh = F.coalesce("_in", F.lit(0.0)) * damping + spread
+            ranks = cut_lineage(
+                ranks.join(arrived, F.col("node") == F.col("dst"), "left")
+                .select("node", "idle", fresh.alias("score"),
+                        F.abs(fresh - F.col("score")).alias("_step")))
+            if tolerance is not None and ranks.agg(F.sum("_step")).first()[0] < n * tolerance:
+                break
+        return ranks.select("node", "score")
     finally:
-        for held in (links, nodes, edges):
-            held.unpersist()
+        links.unpersist()
+        edges.unpersist()
 
 
 def top_nodes(scores: DataFrame, k: int = 20, digits: int = 4) -> DataFrame:

@@ -175,7 +175,7 @@ def classify_forest(df: DataFrame, key: str, label: str, text: str, numeric: Seq
 
 
 def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 3000,
-                 seed: int = 42, rounds: int = 50) -> DataFrame:
+                 seed: int = 42, rounds: int = 20) -> DataFrame:
     """One-against-rest linear SVM on tf-idf text with balanced weights, vocabulary from the
     training rows only: the held-out fifth with its ``prediction``."""
     _enough(df)
@@ -185,8 +185,13 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
                             stringOrderType="alphabetAsc").fit(df)
     prepare = PipelineModel(stages=[tfidf, indexer])
     svm = LinearSVC(maxIter=rounds, regParam=0.01, standardization=False)
-    model = OneVsRest(classifier=svm, featuresCol="_text", labelCol="_label", predictionCol="_p",
-                      weightCol="weight").fit(prepare.transform(balanced_weights(train, label)))
+    shaped = (prepare.transform(balanced_weights(train, label))
+              .select("_text", "_label", "weight").persist())
+    try:
+        model = OneVsRest(classifier=svm, featuresCol="_text", labelCol="_label",
+                          predictionCol="_p", weightCol="weight", parallelism=4).fit(shaped)
+    finally:
+        shaped.unpersist()
     return _named(model.transform(prepare.transform(test)), indexer).select(
         key, label, "prediction")
 

@@ -15,38 +15,36 @@ ROLE_WORDS = {"anvil": "data engineer", "bolt": "backend dev", "gear": "android
               "widget": "frontend dev"}
 ROLES_SQL = "CASE " + " ".join(f"WHEN contains(p_name, '{w}') THEN '{r}'"
                                for w, r in ROLE_WORDS.items()) + " END"
+# The same statement for both engines; the tables are filled in by name or by frame.
 ADVERT_SQL = f"""
 SELECT p_partkey AS id,
   CASE WHEN p_type IN ('ECONOMY', 'SMALL') THEN 'board_a'
        WHEN p_type IN ('LARGE', 'MEDIUM') THEN 'board_b' ELSE 'board_c' END AS source,
   concat(p_name, ' ', {ROLES_SQL}) AS title_clean,
   CASE WHEN p_brand = 'Brand#1' THEN '' ELSE p_brand END AS company,
-  CASE WHEN p_size = 50 THEN NULL WHEN p_size = 49 THEN 0.0
-       ELSE p_size * 1500000.0 + p_retailprice * 1000 END AS salary_final_vnd,
+  CAST(CASE WHEN p_size = 50 THEN NULL WHEN p_size = 49 THEN 0
+            WHEN p_name = 'new ring' THEN p_size * 6000000 + p_retailprice * 1000
+            ELSE p_size * 1500000 + p_retailprice * 1000 END AS DOUBLE) AS salary_final_vnd,
   CASE WHEN length(p_brand) = 7 THEN 'Hồ Chí Minh' WHEN p_brand >= 'Brand#20' THEN 'Hà Nội'
        WHEN p_brand >= 'Brand#15' THEN 'Đà Nẵng, Hà Nội' WHEN p_brand = 'Brand#14' THEN 'Đà Nẵng'
        WHEN p_brand = 'Brand#13' THEN NULL ELSE 'Cần Thơ' END AS location_clean,
   CASE WHEN p_size > 45 THEN 1 WHEN p_size > 5 THEN 0 END AS is_remote,
   CASE p_type WHEN 'ECONOMY' THEN 'Fresher' WHEN 'SMALL' THEN 'Junior' WHEN 'MEDIUM' THEN 'Senior'
     WHEN 'LARGE' THEN 'Manager' WHEN 'STANDARD' THEN 'Undefined' END AS job_level,
-  CASE WHEN p_size <= 48 THEN p_size / 5.0 END AS yoe_extracted,
+  CASE WHEN p_size <= 48 THEN CAST(p_size AS DOUBLE) / 5 END AS yoe_extracted,
   CASE WHEN p_size > 1 THEN concat(replace(p_name, ' ', ', '), ',, ', p_type, ' ,') END
     AS skills_clean,
   CASE WHEN p_size > 30 THEN 4 WHEN p_size > 10 THEN 3 ELSE 2 END AS skill_count,
   text AS description_clean
-FROM part LEFT JOIN documents ON doc_id = p_partkey"""
+FROM {{part}} LEFT JOIN {{documents}} ON doc_id = p_partkey"""
 
 
 def adverts(t: Tables):
     """One advert per part; the document of the same number is its description."""
-    return t.spark.sql(ADVERT_SQL.replace("FROM part", "FROM {part}").replace(
-        "JOIN documents", "JOIN {documents}").replace("1000 END", "1000.0D END").replace(
-        "1500000.0", "1500000.0D").replace("0.0\n", "0.0D\n").replace("5.0 END", "5.0D END"),
-        part=t.part, documents=t.documents)
+    return t.spark.sql(ADVERT_SQL, part=t.part, documents=t.documents)
 
 
-JOBS = f"""jobs AS MATERIALIZED (SELECT * REPLACE (salary_final_vnd::DOUBLE AS salary_final_vnd,
-  yoe_extracted::DOUBLE AS yoe_extracted) FROM ({ADVERT_SQL})),
+JOBS = f"""jobs AS MATERIALIZED ({ADVERT_SQL.format(part="part", documents="documents")}),
 skills AS (SELECT * FROM (SELECT *, trim(lower(unnest(string_split(skills_clean, ',')))) AS skill
            FROM jobs WHERE skills_clean IS NOT NULL) WHERE skill <> '')"""
 
