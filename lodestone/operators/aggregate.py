@@ -195,9 +195,10 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 30) -> DataFram
     rows = df.select(F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     span = rows.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("s")).scalar()
     width = (F.col("_s.hi") - F.col("_s.lo")) / bins
-    place = F.least(F.floor(F.try_divide(F.col("_v") - F.col("_s.lo"), width)) + 1, F.lit(bins))
+    step = F.floor(F.try_divide(F.col("_v") - F.col("_s.lo"), width)) + 1
+    place = F.when(width > 0, F.least(step, F.lit(bins))).otherwise(F.lit(1))  # one value only
     counts = (rows.withColumn("_s", span)
-              .select(F.coalesce(place, F.lit(1)).alias("bin"))
+              .select(place.alias("bin"))
               .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
     frame = (df.sparkSession.range(1, bins + 1, numPartitions=1).withColumnRenamed("id", "bin")
              .withColumn("_s", span))

@@ -67,10 +67,10 @@ def _blocked(queries, items, query_id, item_id, vector, k, block: int = BLOCK_RO
     ni = max(1, -(-items.count() // block))
 
     def numbered(df, key, n_own, n_other, own, other):
+        others = F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))
         return (df.select(key, vector).filter(F.col(vector).isNotNull())
                 .withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-                            .cast("long")))
+                .withColumn(other, F.explode(others)))
 
     left = numbered(queries, query_id, nq, ni, "_q", "_i").groupBy("_q", "_i")
     right = numbered(items, item_id, ni, nq, "_i", "_q").groupBy("_q", "_i")

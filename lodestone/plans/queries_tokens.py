@@ -148,16 +148,24 @@ def pagerank(t: Tables):
     return graph.top_nodes(scores, 20, digits=6)
 
 
+# Sets of up to three brands: at 1 % support no set of four occurs.
 ITEMSETS = f"""{BASKETS},
 n AS (SELECT count(DISTINCT o) AS n FROM b),
-s1 AS (SELECT i, count(*) AS f FROM b GROUP BY i HAVING count(*) >= ceil(0.01 * (SELECT n FROM n))),
+least_count AS (SELECT ceil(0.01 * n) AS m FROM n),
+s1 AS (SELECT i, count(*) AS f FROM b GROUP BY i HAVING count(*) >= (FROM least_count)),
 s2 AS (SELECT x.i AS i, y.i AS j, count(*) AS f FROM b x JOIN b y ON x.o = y.o AND x.i < y.i
-       GROUP BY ALL HAVING count(*) >= ceil(0.01 * (SELECT n FROM n)))"""
+       GROUP BY ALL HAVING count(*) >= (FROM least_count)),
+s3 AS (SELECT x.i AS i, y.i AS j, z.i AS k, count(*) AS f FROM b x
+       JOIN b y ON x.o = y.o AND x.i < y.i JOIN b z ON y.o = z.o AND y.i < z.i
+       GROUP BY ALL HAVING count(*) >= (FROM least_count)),
+sets AS (SELECT [i] AS items, f FROM s1 UNION ALL SELECT [i, j], f FROM s2
+         UNION ALL SELECT [i, j, k], f FROM s3)"""
 RULES = f"""{ITEMSETS},
-r AS (SELECT a.i AS ant, c.i AS con, p.f / n AS support, p.f / a.f AS confidence,
-             p.f * n / (a.f * c.f) AS lift
-      FROM (SELECT i, j, f FROM s2 UNION ALL SELECT j, i, f FROM s2) p
-      JOIN s1 a ON a.i = p.i JOIN s1 c ON c.i = p.j CROSS JOIN n),
+r AS (SELECT a.items AS ant, c.items AS con, w.f / n AS support, w.f / a.f AS confidence,
+             w.f * n / (a.f * c.f) AS lift
+      FROM sets w JOIN sets a ON len(a.items) < len(w.items) AND list_has_all(w.items, a.items)
+      JOIN sets c ON c.items = list_filter(w.items, lambda x: NOT list_contains(a.items, x))
+      CROSS JOIN n),
 k AS (SELECT * FROM r WHERE confidence >= 0.1 AND lift > 1 ORDER BY lift DESC, ant, con LIMIT 20)"""
 
 
@@ -171,8 +179,8 @@ def brand_rules(t: Tables):
 
 @query("frequent_itemsets", f"""
 WITH {ITEMSETS}
-SELECT i AS items, 1 AS size, f AS freq, round(f / n, 6) AS support FROM s1, n
-UNION ALL SELECT i || ' + ' || j, 2, f, round(f / n, 6) FROM s2, n""")
+SELECT array_to_string(items, ' + ') AS items, len(items)::INTEGER AS size, f AS freq,
+  round(f / n, 6) AS support FROM sets, n""")
 def frequent_itemsets(t: Tables):
     return brand_itemsets(t).select(F.array_join("items", " + ").alias("items"),
                                     F.size("items").alias("size"), "freq",
@@ -181,8 +189,8 @@ def frequent_itemsets(t: Tables):
 
 @query("rules", f"""
 WITH {RULES}
-SELECT ant AS antecedent, con AS consequent, round(support, 6) AS support,
-  round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM k""")
+SELECT array_to_string(ant, ', ') AS antecedent, array_to_string(con, ', ') AS consequent,
+  round(support, 6) AS support, round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM k""")
 def rules(t: Tables):
     return brand_rules(t).select(
         F.array_join("antecedent", ", ").alias("antecedent"),
@@ -192,9 +200,11 @@ def rules(t: Tables):
 
 @query("lift_matrix", f"""
 WITH {RULES},
-m AS (SELECT DISTINCT unnest([ant, con]) AS item FROM k)
-SELECT x.item AS antecedent, y.item AS consequent, round(coalesce(min(k.lift), 0), 6) AS lift
-FROM m x CROSS JOIN m y LEFT JOIN k ON k.ant = x.item AND k.con = y.item GROUP BY ALL""")
+x AS (SELECT unnest(ant) AS a, con, lift FROM k),
+p AS (SELECT a, unnest(con) AS c, lift FROM x),
+m AS (SELECT a AS item FROM p UNION SELECT c FROM p)
+SELECT x.item AS antecedent, y.item AS consequent, round(coalesce(min(p.lift), 0), 6) AS lift
+FROM m x CROSS JOIN m y LEFT JOIN p ON p.a = x.item AND p.c = y.item GROUP BY ALL""")
 def lift_matrix(t: Tables):
     return basket.lift_cells(brand_rules(t)).withColumn("lift", F.round("lift", 6))
 
