@@ -24,6 +24,7 @@ from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, COMPANY_CL
                                            SALARY_NODE_ATTRIBUTE, SALARY_NODE_FIELD,
                                            SALARY_NODE_ID, SKILL_NOISE, TAG_NOISE)
 from lodestone.operators.tokens import dictionary_terms
+from lodestone.session import spread
 
 _LD_JSON = (r"""(?is)<script\b[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>"""
             r"""(.*?)</script\s*>""")
@@ -257,8 +258,10 @@ def description(raw: Column, max_chars: int | None = None) -> Column:
 
     The text is processed whole; ``max_chars`` shortens the result on request.
     """
-    def spots(text: Column, marks: Sequence[str]) -> list[Column]:
-        return [F.nullif(F.instr(F.lower(text), m.lower()), F.lit(0)) for m in marks]
+    def spot(text: Column, marks: Sequence[str], pick) -> Column:
+        """Where the earliest (``least``) or first listed (``coalesce``) mark found begins."""
+        return let(F.lower(text), lambda low: pick(
+            *[F.nullif(F.instr(low, m.lower()), F.lit(0)) for m in marks]))
 
     def before(text: Column, spot: Column) -> Column:
         return let(spot, lambda at: F.when(at.isNull(), text)
@@ -266,18 +269,20 @@ def description(raw: Column, max_chars: int | None = None) -> Column:
 
     text = F.regexp_replace(strip_tags(unescape(F.coalesce(raw, F.lit(""))), "\n"),
                             r"\r\n|\r", "\n")
-    text = let(text, lambda x: before(x, F.least(*spots(x, DESCRIPTION_STOPS))))
+    text = let(text, lambda x: before(x, spot(x, DESCRIPTION_STOPS, F.least)))
     text = let(text, lambda x: F.substring(
-        x, F.coalesce(*spots(x, DESCRIPTION_STARTS), F.lit(1)), F.length(x)))
-    text = let(text, lambda x: before(x, F.coalesce(*spots(x, DESCRIPTION_ENDS))))
+        x, F.coalesce(spot(x, DESCRIPTION_STARTS, F.coalesce), F.lit(1)), F.length(x)))
+    text = let(text, lambda x: before(x, spot(x, DESCRIPTION_ENDS, F.coalesce)))
 
-    def wanted(line: Column) -> Column:
-        low = F.lower(line)
-        keep = (F.length(line) >= 10) & ~low.rlike(rf"(?U)\b({ADDRESS_WORDS})\b")
+    def working(low: Column) -> Column:
+        keep = ~low.rlike(rf"(?U)\b({ADDRESS_WORDS})\b")
         for phrase in DESCRIPTION_NOISE:
-            keep = keep & ~low.contains(phrase)
+            keep = ~low.contains(phrase) & keep
         return keep
 
+    def wanted(line: Column) -> Column:
+        return (F.length(line) >= 10) & let(F.lower(line), working)
+
     lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), wanted)
     out = F.array_join(lines, "\n")
     return out if max_chars is None else F.substring(out, 1, max_chars)
@@ -318,6 +323,7 @@ def posting_records(pages: DataFrame, url: str = "url", html: str = "html",
     """One record per page that is not dead. The shared parts (posting, visible lines, their
     lower-cased text) are computed first and once, then the fields built on them."""
     post, low = F.col("_post"), F.col("_low")
+    pages = spread(pages.select(url, html))
     shared = pinned(pages, _post=posting(html), _lines=page_lines(html))
     shared = shared.withColumn("_low", F.lower(F.array_join("_lines", " ")))
     live = pinned(shared, _dead=is_dead(html, post, low)).filter(~F.col("_dead"))
@@ -377,7 +383,8 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html",
     tag = "a" if list(attributes) == ["href"] else r"\w+"
     hrefs = F.regexp_extract_all(F.col(html), F.lit(
         rf"""(?is)<{tag}\b[^>]*?\s(?:{names})\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    rows = (pages.select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
+    rows = (spread(pages.select(url, html))
+            .select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
             .select("page_url", absolute_url("page_url", unescape("_h")).alias("link"))
             .filter(F.col("link").isNotNull()))
     path = F.regexp_extract("link", r"^https?://[^/?]*([^?]*)", 1)

@@ -13,21 +13,32 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import (LONG_WORD, WORD, bilingual_stop_words, english_stop_words,
                                       with_bigrams, words)
 from lodestone.operators.window import top_n_per_group
+from lodestone.session import spread
 
 
-def group_terms(df: DataFrame, group: str, tokens: Column) -> DataFrame:
-    """Term counts per group: ``group``, ``term``, ``tf``. The group's text is never put
-    together; counts are summed inside the tasks first."""
-    return (df.select(group, F.explode(tokens).alias("term"))
+def group_terms(df: DataFrame, group: str, tokens: Column,
+                stop: Sequence[str] = ()) -> DataFrame:
+    """Term counts per group, ``stop`` words left out: ``group``, ``term``, ``tf``. The group's
+    text is never put together; counts are summed inside the tasks first.
+
+    The null test drops nothing. It is what a later join on the terms would add to its own copy
+    of this plan; stated here, all copies are alike and share one shuffle.
+    """
+    return (spread(df).select(group, F.explode(tokens).alias("term"))
+            .filter(F.col("term").isNotNull() & F.col(group).isNotNull() & _wanted(stop))
             .groupBy(group, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
+def _wanted(stop: Sequence[str]) -> Column:
+    return ~F.col("term").isin(*stop) if stop else F.lit(True)
+
+
 def top_terms(df: DataFrame, text: str, k: int = 100, pattern: str = LONG_WORD,
               stop: Sequence[str] | None = None) -> DataFrame:
     """Corpus term frequencies, commonest first."""
     stop = bilingual_stop_words() if stop is None else stop
-    return (df.select(F.explode(words(text, pattern, stop)).alias("term"))
-            .groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return (spread(df.select(text)).select(F.explode(words(text, pattern)).alias("term"))
+            .filter(_wanted(stop)).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), F.asc("term")).limit(k))
 
 
@@ -65,7 +76,7 @@ def lexical_richness(df: DataFrame, doc: str, text: str, vocab: int = 3000,
     A document without vocabulary terms scores 0.
     """
     stop = english_stop_words() if stop is None else stop
-    counts = group_terms(df, doc, words(text, WORD, stop))
+    counts = group_terms(df.select(doc, text), doc, words(text, WORD), stop)
     total = df.agg(F.count(F.lit(1))).scalar()
     weighted = (counts.join(vocabulary(counts, vocab), "term")
                 .withColumn("_w", F.col("tf") * _smooth_idf(total, F.col("df"))))
@@ -83,11 +94,15 @@ class TopicModel:
                  rounds: int = 10):
         stop = bilingual_stop_words() if stop is None else stop
         self.tokens = words(text, LONG_WORD, stop)
-        rows = df.select(self.tokens.alias("_tokens"))
+        rows = spread(df.select(text)).select(self.tokens.alias("_tokens"))
         self.counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", minDF=min_df,
                                        vocabSize=vocab).fit(rows)
-        self.lda = LDA(k=topics, seed=seed, maxIter=rounds, featuresCol="_counts",
-                       topicDistributionCol="_mix").fit(self.counter.transform(rows))
+        counted = self.counter.transform(rows).select("_counts").persist()
+        try:
+            self.lda = LDA(k=topics, seed=seed, maxIter=rounds, featuresCol="_counts",
+                           topicDistributionCol="_mix").fit(counted)
+        finally:
+            counted.unpersist()
 
     def terms(self, n: int = 10) -> DataFrame:
         """The ``n`` heaviest words per topic: ``topic``, ``rank``, ``term``, ``weight``."""

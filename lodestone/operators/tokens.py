@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import as_col, percent, token_array
 from lodestone.operators.aggregate import group_profile
+from lodestone.session import spread
 
 
 def explode_tokens(df: DataFrame, column: str, sep: str = ",", lower: bool = True,
@@ -46,7 +47,8 @@ def token_rarity(df: DataFrame, doc: str, column: str, min_docs: int = 5, k: int
     """
     rows = df.filter(F.col(column).isNotNull()).select(doc, column)
     total = rows.agg(F.countDistinct(doc)).scalar()
-    pairs = explode_tokens(rows, column, sep, distinct=True).select(doc, "token").distinct()
+    pairs = (explode_tokens(spread(rows), column, sep, distinct=True).select(doc, "token")
+             .distinct())
     freq = (pairs.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
             .filter(F.col("doc_freq") >= min_docs))
     scored = freq.withColumn("idf", F.round(F.ln(total / F.col("doc_freq")), digits))
@@ -80,10 +82,10 @@ def tag_counts(df: DataFrame, column: str, patterns: Mapping[str, str],
     """How many rows match each named pattern, and the share of all rows: one pass over the
     text. Each row counts once per tag. Patterns are matched on lower-cased text with
     Unicode-aware classes."""
-    text = F.lower(F.coalesce(F.col(column), F.lit("")))
-    hits = [F.count_if(text.rlike("(?U)" + p)).alias(f"t{i}")
+    text = F.lower(F.coalesce(F.col(column), F.lit(""))).alias("_text")
+    hits = [F.count_if(F.col("_text").rlike("(?U)" + p)).alias(f"t{i}")
             for i, p in enumerate(patterns.values())]
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *hits)
+    wide = spread(df.select(column)).select(text).agg(F.count(F.lit(1)).alias("_rows"), *hits)
     tags = F.array(*[F.struct(F.lit(name).alias("tag"), F.col(f"t{i}").alias("n"))
                      for i, name in enumerate(patterns)])
     long = wide.select("_rows", F.explode(tags).alias("_t")).select("_t.*", "_rows")

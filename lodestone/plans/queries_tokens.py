@@ -277,7 +277,7 @@ SELECT lang, term, count(*) AS tf
 FROM (SELECT lang, unnest({_stop_sql(_WORD_SQL, FEW_STOP_WORDS)}) AS term FROM documents)
 GROUP BY ALL""")
 def group_terms(t: Tables):
-    return text.group_terms(t.documents, "lang", words("text", stop=FEW_STOP_WORDS))
+    return text.group_terms(t.documents, "lang", words("text"), FEW_STOP_WORDS)
 
 
 @query("term_top_k", f"""
