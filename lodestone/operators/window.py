@@ -39,10 +39,13 @@ def sorted_nulls_last(df: DataFrame, column: str, tie: str, ascending: bool = Tr
     return df.orderBy(order, F.asc(tie))
 
 
-def number_newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
-                  name: str = "age_rank") -> DataFrame:
-    """Number the rows of each group, newest first."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+def flag_newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column], row_id: str, n: int,
+                name: str = "kept") -> DataFrame:
+    """Mark the ``n`` newest rows of each group. Only those are ever ranked (see
+    :func:`top_n_per_group`); the other rows, however many, are just joined with them."""
+    newest = top_n_per_group(df, keys, order, n).select(F.col(row_id).alias("_kept"))
+    marked = df.join(newest, F.col(row_id) == F.col("_kept"), "left")
+    return marked.withColumn(name, F.col("_kept").isNotNull()).drop("_kept")
 
 
 def union_all(*frames: DataFrame) -> DataFrame:

@@ -18,8 +18,9 @@ from lodestone.functions.wordlists import (BENEFIT_PATTERNS, CITY_RULES, LEVELS,
                                            SALARY_EDGES, SALARY_LABELS, SOFT_SKILL_PATTERNS,
                                            YEAR_EDGES, YEAR_LABELS)
 from lodestone.operators import aggregate as agg
-from lodestone.operators import basket, graph, joins, models, text, tokens, window
-from lodestone.operators.clean import fill_constants, fill_median, keep_valid, typed
+from lodestone.operators import basket, graph, joins, models, similarity, text, tokens, window
+from lodestone.operators.clean import (fill_constants, fill_median, keep_valid, typed,
+                                       value_label)
 from lodestone.operators.text import TopicModel
 
 M = 1e6
@@ -319,3 +320,22 @@ def topic_share(jobs: DataFrame, model: TopicModel, n: int = 5) -> DataFrame:
     rows = fill_constants(jobs, {"job_level": "Unknown"})
     return agg.crosstab_share(model.assign(rows), "job_level", "topic", range(n))
 
+
+
+def recommend(jobs: DataFrame, vectors: DataFrame, profiles: DataFrame, k: int = 5,
+              key: str = "id", vector: str = "embedding") -> DataFrame:
+    """The ``k`` adverts closest to every profile vector, ready for display.
+
+    ``vectors`` holds (key, vector) rows of the adverts, ``profiles`` (query, vector) rows.
+    """
+    best = similarity.similar_top_k(profiles, vectors, "query", key, vector, k)
+    shown = jobs.select(
+        F.col(key).alias("item"), F.coalesce("title_clean", F.lit("Unknown")).alias("title"),
+        F.substring(F.coalesce("company", F.lit("Unknown Company")), 1, 50).alias("company"),
+        F.coalesce("skills_clean", F.lit("No skills listed")).alias("skills"),
+        value_label("salary", "Y-u'll l-ve i-USD", "Thương lượng", "USD",
+                    ["đ", "vnd"]).alias("salary"),
+        F.coalesce("url", F.lit("#")).alias("url"))
+    return best.join(shown, "item").select(
+        "query", "rank", "title", "company", "skills", "salary", "url",
+        F.col("score").alias("similarity_score"))

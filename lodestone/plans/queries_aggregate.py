@@ -365,13 +365,12 @@ def top_k(t: Tables):
 
 @query("keep_newest", """
 SELECT o_custkey, o_orderkey, o_orderdate, row_number() OVER (
-    PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey)::INTEGER AS age_rank,
-  age_rank <= 10 AS kept
+    PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) <= 10 AS kept
 FROM orders""")
 def keep_newest(t: Tables):
-    numbered = window.number_newest(t.orders.select("o_custkey", "o_orderkey", "o_orderdate"),
-                                    ["o_custkey"], [F.desc("o_orderdate"), F.asc("o_orderkey")])
-    return numbered.withColumn("kept", F.col("age_rank") <= 10)
+    return window.flag_newest(t.orders.select("o_custkey", "o_orderkey", "o_orderdate"),
+                              ["o_custkey"], [F.desc("o_orderdate"), F.asc("o_orderkey")],
+                              "o_orderkey", 10)
 
 
 @query("dedupe", """

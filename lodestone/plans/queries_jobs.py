@@ -8,6 +8,7 @@ from lodestone.functions.wordlists import BENEFIT_PATTERNS, SOFT_SKILL_PATTERNS
 from lodestone.operators.aggregate import class_means
 from lodestone.operators.metrics import class_report
 from lodestone.plans import jobs as recipes
+from lodestone.plans.queries_tokens import LABEL_MEANS, label_means
 from lodestone.plans.registry import Tables, query
 
 ROLE_WORDS = {"anvil": "data engineer", "bolt": "backend dev", "gear": "android dev",
@@ -342,6 +343,23 @@ def skill_rules(t: Tables):
                       *[F.round(c, 6).alias(c) for c in ("support", "confidence", "lift")])
 
 
+@_job("recommend", f"""
+, {LABEL_MEANS}
+SELECT query, rank, title_clean AS title, company, coalesce(skills_clean, 'No skills listed') AS skills,
+  CASE WHEN salary_final_vnd IS NULL OR salary_final_vnd = 0 THEN 'Thương lượng'
+       ELSE salary_final_vnd::BIGINT || ' VND' END AS salary,
+  'https://ads.example.org/' || id AS url, score AS similarity_score
+FROM best JOIN jobs ON id = item""")
+def recommend(t: Tables):
+    pay = F.col("salary_final_vnd").cast("bigint").cast("string")
+    rows = adverts(t).withColumns({
+        "salary": F.when(F.col("salary_final_vnd") == 0, F.lit("")).otherwise(
+            F.concat(pay, F.lit(" VND USD"))),
+        "url": F.concat(F.lit("https://ads.example.org/"), F.col("id").cast("string"))})
+    vectors = t.embeddings.select(F.col("vec_id").alias("id"), "embedding")
+    return recipes.recommend(rows, vectors, label_means(t))
+
+
 @_job("level_terms")
 def level_terms(t: Tables):
     return recipes.level_terms(adverts(t))

@@ -209,24 +209,32 @@ def lift_matrix(t: Tables):
     return basket.lift_cells(brand_rules(t)).withColumn("lift", F.round("lift", 6))
 
 
-@query("similar_top_k", """
-WITH c AS (SELECT label, i, avg(x::DOUBLE) AS m FROM (
-             SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i
-             FROM embeddings) GROUP BY ALL),
-q AS (SELECT label, list(m ORDER BY i) AS v FROM c GROUP BY label)
-SELECT q.label AS query, vec_id AS item,
-  round(list_cosine_similarity(v, embedding::DOUBLE[]), 4) AS score,
-  row_number() OVER (PARTITION BY q.label ORDER BY list_cosine_similarity(
-    v, embedding::DOUBLE[]) DESC, vec_id)::INTEGER AS rank
-FROM q CROSS JOIN embeddings QUALIFY rank <= 5""")
-def similar_top_k(t: Tables):
-    """Mean vector of every label against all vectors."""
+LABEL_MEANS = """
+c AS (SELECT label, i, avg(x::DOUBLE) AS m FROM (
+        SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i
+        FROM embeddings) GROUP BY ALL),
+q AS (SELECT label, list(m ORDER BY i) AS v FROM c GROUP BY label),
+best AS (SELECT q.label AS query, vec_id AS item,
+           round(list_cosine_similarity(v, embedding::DOUBLE[]), 4) AS score,
+           row_number() OVER (PARTITION BY q.label ORDER BY list_cosine_similarity(
+             v, embedding::DOUBLE[]) DESC, vec_id)::INTEGER AS rank
+         FROM q CROSS JOIN embeddings QUALIFY rank <= 5)"""
+
+
+def label_means(t: Tables):
+    """Mean vector of every label: ``query``, ``embedding``."""
     cells = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x"))
     means = cells.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    queries = means.groupBy("label").agg(
+    return means.groupBy(F.col("label").alias("query")).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("i", "m"))),
                     lambda c: c["m"]).alias("embedding"))
-    return similarity.similar_top_k(queries, t.embeddings, "label", "vec_id", "embedding", 5)
+
+
+@query("similar_top_k", f"WITH {LABEL_MEANS} SELECT * FROM best")
+def similar_top_k(t: Tables):
+    """Mean vector of every label against all vectors."""
+    return similarity.similar_top_k(label_means(t), t.embeddings, "query", "vec_id", "embedding",
+                                    5)
 
 
 PATTERNS = {**BENEFIT_PATTERNS, **SOFT_SKILL_PATTERNS, "digits": "[0-9]{4}",
