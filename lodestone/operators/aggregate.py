@@ -163,14 +163,27 @@ def crosstab_share(df: DataFrame, key: str, pivot: str, values: Sequence,
         F.round(F.col(f"`{v}`") / F.col("_total"), digits).alias(str(v)) for v in values])
 
 
-def cube_totals(df: DataFrame, dims: Sequence[str], aggs: Sequence[Column],
-                label: str = "ALL") -> DataFrame:
-    """Aggregates for every subset of the dimensions; rolled-up dimensions read ``label``.
-
-    Told apart by grouping bits, not by null: a real null in a dimension stays null.
+def cube_totals(df: DataFrame, dims: Sequence[str], sums: Mapping[str, Column] | None = None,
+                averages: Mapping[str, Column] | None = None, digits: int = 1,
+                count: str = "n", label: str = "ALL") -> DataFrame:
+    """Row count, sums and averages for every subset of the dimensions; rolled-up dimensions
+    read ``label``.
+
+    The rows are first summed per full combination of dimensions. The cube, which copies its
+    input once per subset, then runs on those few sums and not on the rows. Totals are told
+    apart by grouping bits, not by null: a real null in a dimension stays null.
     """
+    sums, averages = sums or {}, averages or {}
+    parts = {f"_s{i}": c for i, c in enumerate([*sums.values(), *averages.values()])}
+    base = df.groupBy(*dims).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(n) for n, c in parts.items()],
+        *[F.count(c).alias(f"_c{n}") for n, c in parts.items()])
+    names = list(parts)
+    totals = [F.sum(n).cast("double").alias(out) for n, out in zip(names, sums)]
+    means = [F.round(F.try_divide(F.sum(n), F.sum(f"_c{n}")), digits).alias(out)
+             for n, out in zip(names[len(sums):], averages)]
     marks = [F.grouping(d).alias(f"_g{i}") for i, d in enumerate(dims)]
-    out = df.cube(*dims).agg(*aggs, *marks)
+    out = base.cube(*dims).agg(F.sum("_n").alias(count), *totals, *means, *marks)
     named = {
         d: F.when(F.col(f"_g{i}") == 1, F.lit(label)).otherwise(F.col(d).cast("string"))
         for i, d in enumerate(dims)

@@ -210,9 +210,9 @@ def salary_cube(jobs: DataFrame) -> DataFrame:
         first_match("location_clean", CITY_RULES[:2], "Other", how="like").alias("loc"),
         whitelist("job_level", LEVELS, "Other").alias("level"),
         flag_label("is_remote", "Remote", "On-site").alias("remote_status"), "salary_final_vnd")
-    return agg.cube_totals(rows, ["loc", "level", "remote_status"], [
-        F.count(F.lit(1)).alias("job_count"),
-        F.round(F.avg("salary_final_vnd") / M, 1).alias("avg_salary_M")])
+    return agg.cube_totals(rows, ["loc", "level", "remote_status"],
+                           averages={"avg_salary_M": F.col("salary_final_vnd") / M},
+                           count="job_count")
 
 
 def company_market(jobs: DataFrame) -> DataFrame:
