@@ -29,3 +29,10 @@ def op7_mixing(spark: SparkSession, root: str) -> DataFrame:
 
     mixture = Mixture(table(spark, root, "documents"))
     return mixture.taken().selectExpr("doc_id", "_size AS size", "source_size", "target", "taken")
+
+
+@query("op9_packing")
+def op9_packing(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.packing import packed_documents
+
+    return packed_documents(table(spark, root, "documents"))
