@@ -36,3 +36,10 @@ def op9_packing(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.packing import packed_documents
 
     return packed_documents(table(spark, root, "documents"))
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.token_counts import token_counts
+
+    return token_counts(table(spark, root, "documents"))
