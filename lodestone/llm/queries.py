@@ -43,3 +43,44 @@ def op4_token_counts(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.token_counts import token_counts
 
     return token_counts(table(spark, root, "documents"))
+
+
+WORDS = r"'[^\x20\x09-\x0D]+'"
+
+
+@query("op6_line_rules", f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, {WORDS}) AS ws FROM d),
+tri AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, i FROM (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM tri) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) v(k)
+  GROUP BY doc_id),
+ln AS (SELECT doc_id, source, t, l, len(regexp_extract_all(l, {WORDS})) AS n,
+    trim(regexp_replace(regexp_replace(lower(l), '[\\x20\\x09-\\x0D]+', ' ', 'g'),
+      '[0-9]+', '0', 'g'), ' ') AS z
+  FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS l FROM d)),
+lw AS (SELECT * FROM ln WHERE n > 0),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lw GROUP BY doc_id),
+host AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
+often AS (SELECT s.source, s.z FROM (
+    SELECT source, z, count(DISTINCT t) AS n FROM lw GROUP BY source, z) s
+  JOIN host h ON s.source IS NOT DISTINCT FROM h.source
+  WHERE s.n > greatest(50.0, h.docs * 0.02)),
+gone AS (SELECT lw.doc_id, sum(lw.n) AS n FROM lw
+  JOIN often o ON lw.source IS NOT DISTINCT FROM o.source AND lw.z = o.z GROUP BY lw.doc_id),
+base AS (SELECT w.doc_id, len(w.ws)::BIGINT AS n_words,
+    length(regexp_replace(w.t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(w.t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
+    (len(w.ws) - coalesce(gone.n, 0))::BIGINT AS n_left
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND n_left >= n_words * 0.5 AS kept, n_left
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+""")
+def op6_line_rules(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.line_rules import quality_rules
+
+    return quality_rules(table(spark, root, "documents"))

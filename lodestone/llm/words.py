@@ -83,9 +83,7 @@ def shingles(words: np.ndarray, width: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     total = np.zeros(n, np.uint64)
-    factor = np.uint64(1)
-    for k in range(width):
-        factor = factor * _BASE
+    for k, factor in enumerate(np.cumprod(np.full(width, _BASE))):
         total += words[k:k + n] * factor
     return mix64(total)
 
