@@ -84,3 +84,17 @@ def op6_line_rules(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.line_rules import quality_rules
 
     return quality_rules(table(spark, root, "documents"))
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.language import languages_of
+
+    return languages_of(table(spark, root, "documents"))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.quality import quality_scores
+
+    return quality_scores(table(spark, root, "documents"), table(spark, root, "labels"))
