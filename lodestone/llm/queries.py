@@ -98,3 +98,10 @@ def op8_quality(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.quality import quality_scores
 
     return quality_scores(table(spark, root, "documents"), table(spark, root, "labels"))
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.jaccard import jaccard_join
+
+    return jaccard_join(table(spark, root, "documents"))
