@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,3 +106,20 @@ def op10_jaccard_join(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.jaccard import jaccard_join
 
     return jaccard_join(table(spark, root, "documents"))
+
+
+@query("op3_top_k", """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT query_id, vec_id, score,
+    row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+""")
+def op3_top_k(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.topk import top_k
+
+    return top_k(table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0)
