@@ -123,3 +123,10 @@ def op3_top_k(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.topk import top_k
 
     return top_k(table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op2_suffixes")
+def op2_suffixes(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.suffixes import deduplicated_bytes
+
+    return deduplicated_bytes(table(spark, root, "documents"))
