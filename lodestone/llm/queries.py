@@ -130,3 +130,11 @@ def op2_suffixes(spark: SparkSession, root: str) -> DataFrame:
     from lodestone.llm.suffixes import deduplicated_bytes
 
     return deduplicated_bytes(table(spark, root, "documents"))
+
+
+@query("op1_surrogates")
+def op1_surrogates(spark: SparkSession, root: str) -> DataFrame:
+    from lodestone.llm.surrogates import with_surrogates
+
+    docs = table(spark, root, "documents")
+    return with_surrogates(docs, count="n_entities").select("doc_id", "text", "n_entities")
