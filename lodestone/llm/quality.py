@@ -222,3 +222,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     return (docs.select("doc_id", held.alias("held_out"),
                         score_column(model)(F.col("text")).alias("score"))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))
+
+
+def accepted_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
+                       max_docs: int = MAX_TRAIN) -> DataFrame:
+    """The documents that score at least ``threshold``; columns as in ``docs``."""
+    model = train(docs, labels, F.coalesce(fold() == 2, F.lit(False)), max_docs)
+    return (docs.withColumn("_score", score_column(model)(F.col("text")))
+            .filter(F.col("_score") >= threshold).select(*docs.columns))

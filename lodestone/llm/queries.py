@@ -138,3 +138,10 @@ def op1_surrogates(spark: SparkSession, root: str) -> DataFrame:
 
     docs = table(spark, root, "documents")
     return with_surrogates(docs, count="n_entities").select("doc_id", "text", "n_entities")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, root: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, root)
