@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.carry import packed, unpacked
 from lodestone.llm.components import components
 from lodestone.llm.words import hashed_batch, shingles
 from lodestone.session import cut_lineage
@@ -294,6 +295,7 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
 
 def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, width: int = WIDTH) -> DataFrame:
     """The documents without all but one (the least id) of each group that links connect."""
+    columns, docs = docs.columns, packed(docs)
     join = Join(docs, threshold, width)
     known = join.documents.select("doc_id", "_text", "_row", "_root")
     first = (known.filter("_root IS NOT NULL").groupBy("_root")
@@ -307,4 +309,4 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD, width: int = WID
             .withColumn("_nth", F.row_number().over(alike))
             .join(kept, F.col("doc_id").eqNullSafe(F.col("_id"))
                   & (F.col("_text") == F.col("_t")) & (F.col("_nth") <= F.col("_n")))
-            .select(*docs.columns))
+            .transform(unpacked, columns))

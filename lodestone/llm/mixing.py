@@ -8,7 +8,8 @@ block numbers, a new permutation for each pass, and slots meet blocks in a join
 
 Defined cases: a null or empty text has no words and takes no part; a null source is a source of
 its own, ordered last; repeated rows are documents of their own; an empty table gives no rows;
-further columns of the input are carried by :func:`mixed_documents` and ignored otherwise.
+further columns of the input, whatever their names, are carried by :func:`mixed_documents` and
+ignored otherwise.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.carry import CARRIED, packed, unpacked
 from lodestone.session import cut_lineage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,9 +72,11 @@ def _key() -> Column:
 def sized_documents(docs: DataFrame) -> DataFrame:
     """The documents with ``_source``, ``_key`` (its name, null apart), ``_size`` (words) and
     ``_hash`` of the row."""
-    plain = [f.name for f in docs.schema if f.name in ("doc_id", "text", "lang", "n_chars")]
+    plain = [F.col(c) for c in docs.columns if c in ("doc_id", "text", "lang", "n_chars")]
+    if CARRIED in docs.columns:
+        plain.append(F.to_json(CARRIED))
     return docs.withColumns({
-        "_source": F.col("source"),
+        "_source": F.col("source").cast("string"),
         "_size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
         "_hash": F.xxhash64(*plain),
     }).withColumn("_key", _key())
@@ -225,7 +229,7 @@ class Mixture:
         self.sized = sized
         self.sources = cut_lineage(sources)
         self.documents = placed.join(self.sources.select("_key", "source_size", "target"), "_key")
-        self.slots = draw_slots(self.sources, seed)
+        self.slots = draw_slots(self.sources, seed).hint("merge")  # grows with the documents
         self.block_words = block_words
 
     def parts(self) -> DataFrame:
@@ -261,6 +265,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     The columns are those of ``docs``; ``text`` holds the words of the blocks taken, in order and
     with the white space after them, and ``n_chars``, where present, its new length.
     """
+    columns, docs = docs.columns, packed(docs)
     mixture = Mixture(docs, **options)
     row = ["_key", "_bucket", "_row"]
     spans = (mixture.pieces().groupBy(*row, "_pass")
@@ -281,4 +286,4 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
                                           s["_length"].cast("int")))))))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+    return unpacked(cut, columns)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm.carry import packed, unpacked
+
 PASSAGE = 512
 HIDDEN = 24
 MAX_TRAIN = 3000
@@ -228,5 +230,5 @@ def accepted_documents(docs: DataFrame, labels: DataFrame, threshold: float = TH
                        max_docs: int = MAX_TRAIN) -> DataFrame:
     """The documents that score at least ``threshold``; columns as in ``docs``."""
     model = train(docs, labels, F.coalesce(fold() == 2, F.lit(False)), max_docs)
-    return (docs.withColumn("_score", score_column(model)(F.col("text")))
-            .filter(F.col("_score") >= threshold).select(*docs.columns))
+    scored = packed(docs).withColumn("_score", score_column(model)(F.col("text")))
+    return unpacked(scored.filter(F.col("_score") >= threshold), docs.columns)

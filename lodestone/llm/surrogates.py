@@ -13,8 +13,8 @@ are built from syllables of their script.
 
 Defined cases: a null or empty text stays; repeated rows and null ids are handled row by row; equal
 rows give equal rows; numbers that fail the check digit, and addresses with parts above 255, are no
-entities and stay; an empty table gives no rows; further columns are carried along. Columns named
-``_k``, ``_n`` or ``_parts`` would clash.
+entities and stay; an empty table gives no rows; further columns, whatever their names, are
+carried along.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.llm.carry import packed, unpacked
 from lodestone.session import cut_lineage
 
 MAX_ROUNDS = 50
@@ -225,6 +226,7 @@ def with_surrogates(docs: DataFrame, key: str = "lodestone", count: str | None =
 
     ``n_chars``, where present, is the new length.
     """
+    columns, docs = docs.columns, packed(docs)
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
     found = F.regexp_extract_all("text", F.lit(f"({PATTERN})"), F.lit(1))
     keyed = docs.filter(hinted).withColumn("_k", F.xxhash64("doc_id", "text"))
@@ -256,4 +258,4 @@ def with_surrogates(docs: DataFrame, key: str = "lodestone", count: str | None =
     if "n_chars" in docs.columns:
         both = both.withColumn("n_chars", F.when(F.col("_n") == 0, F.col("n_chars")).otherwise(
             F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return both.withColumnRenamed("_n", count) if count else both.drop("_n")
+    return unpacked(both, columns, *([F.col("_n").alias(count)] if count else []))
