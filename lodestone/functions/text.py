@@ -24,7 +24,7 @@ LONG_WORD = r"[a-zA-ZÀ-ỹ][a-zA-ZÀ-ỹ_]{2,}"
 _COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 _UNSEEN = r"(?is)<(script|style|template)\b[^>]*>.*?(?:</\1\s*>|\z)"
 # A tag, with > allowed inside quoted attribute values; the plain form takes what is left.
-_TAG = (r"""<[/!?a-zA-Z][^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+){0,100}+>""")
+_TAG = (r"""<[/!?a-zA-Z][^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>""")
 _PLAIN_TAG = r"<[/!?a-zA-Z][^>]*(?:>|\z)"
 
 

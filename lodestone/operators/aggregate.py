@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import (bucket_index, bucket_label, percent, percent_difference,
                                          positive)
-from lodestone.operators.quantiles import approx_quantile
+from lodestone.operators.quantiles import exact_quantiles
 from lodestone.operators.window import top_n_per_group
 
 
@@ -42,7 +42,8 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str, unit: float =
                   min_rows: int | None = None) -> DataFrame:
     """Per group: row count, and min / avg / max of the positive values in ``unit``s.
 
-    ``median`` adds the median, ``extra`` more aggregates, ``min_rows`` a minimum group size.
+    ``median`` adds the exact median (the lower one of an even count), ``extra`` more aggregates,
+    ``min_rows`` a minimum group size.
     """
     v = positive(value)
     aggs = [
@@ -51,11 +52,17 @@ def group_profile(df: DataFrame, keys: Sequence[str], value: str, unit: float =
         F.round(F.avg(v) / unit, digits).alias("avg_value"),
         F.round(F.max(v) / unit, digits).alias("max_value"),
     ]
-    if median:
-        aggs.append(F.round(approx_quantile(v, 0.5) / unit, digits).alias("median_value"))
     aggs += [c.alias(n) for n, c in (extra or {}).items()]
     out = df.groupBy(*keys).agg(*aggs)
-    return out if min_rows is None else out.filter(F.col("n") >= min_rows)
+    if min_rows is not None:
+        out = out.filter(F.col("n") >= min_rows)
+    if median:
+        found = exact_quantiles(df.select(*keys, v.alias("_m")), keys, "_m", [0.5])
+        named = found.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                             F.round(F.col("quantile") / unit, digits).alias("median_value"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        out = out.join(named, same, "left").drop(*[f"_k{i}" for i in range(len(keys))])
+    return out
 
 
 def joined_set(c: str, sep: str = " | ") -> Column:

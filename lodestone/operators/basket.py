@@ -8,6 +8,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.session import cut_lineage
+
 # Items of one basket handled together; a larger basket is split into blocks of this size.
 BLOCK = 1_000
 
@@ -94,7 +96,8 @@ def frequent_itemsets(df: DataFrame, basket: str, item: str,
             # Half a basket below the wanted count, so that rounding up lands on it exactly.
             miner = FPGrowth(itemsCol="items", minSupport=(min_count - 0.5) / kept,
                              minConfidence=1.0)
-            found = miner.fit(baskets).freqItemsets
+            # Mined while the baskets are held, and kept: later reads do not mine again.
+            found = cut_lineage(miner.fit(baskets).freqItemsets)
     finally:
         baskets.unpersist()
     return found.select(F.array_sort("items").alias("items"), "freq",

@@ -24,7 +24,6 @@ from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, COMPANY_CL
                                            SALARY_NODE_ATTRIBUTE, SALARY_NODE_FIELD,
                                            SALARY_NODE_ID, SKILL_NOISE, TAG_NOISE)
 from lodestone.operators.tokens import dictionary_terms
-from lodestone.session import spread
 
 _LD_JSON = (r"""(?is)<script\b[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>"""
             r"""(.*?)</script\s*>""")
@@ -202,7 +201,7 @@ def location(post: Column, low_text: Column) -> Column:
     return F.array_join(F.array_distinct(chosen), ",")
 
 
-def skills(post: Column, text: Column, limit: int | None = 10, merge: bool = False) -> Column:
+def skills(post: Column, text: Column, limit: int | None = None, merge: bool = False) -> Column:
     """Array of skills: the posting's own list, else dictionary terms found in ``text``.
 
     ``merge`` adds the dictionary terms to the posting's list. Punctuation other than + and # is
@@ -288,12 +287,12 @@ def description(raw: Column, max_chars: int | None = None) -> Column:
     return out if max_chars is None else F.substring(out, 1, max_chars)
 
 
-def lead_paragraphs(html: ColumnLike, min_chars: int = 50, count: int = 5) -> Column:
-    """The first ``count`` paragraphs longer than ``min_chars``."""
+def lead_paragraphs(html: ColumnLike, min_chars: int = 50, count: int | None = None) -> Column:
+    """The paragraphs longer than ``min_chars``, the first ``count`` of them on request."""
     bodies = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
     texts = F.split(unescape(F.array_join(F.transform(bodies, strip_tags), _SEP)), _SEP)
     long = F.filter(F.transform(texts, one_line), lambda x: F.length(x) > min_chars)
-    return F.array_join(F.slice(long, 1, count), " ")
+    return F.array_join(long if count is None else F.slice(long, 1, count), " ")
 
 
 def experience(post: Column, low_text: Column) -> Column:
@@ -323,8 +322,7 @@ def posting_records(pages: DataFrame, url: str = "url", html: str = "html",
     """One record per page that is not dead. The shared parts (posting, visible lines, their
     lower-cased text) are computed first and once, then the fields built on them."""
     post, low = F.col("_post"), F.col("_low")
-    pages = spread(pages.select(url, html))
-    shared = pinned(pages, _post=posting(html), _lines=page_lines(html))
+    shared = pinned(pages.select(url, html), _post=posting(html), _lines=page_lines(html))
     shared = shared.withColumn("_low", F.lower(F.array_join("_lines", " ")))
     live = pinned(shared, _dead=is_dead(html, post, low)).filter(~F.col("_dead"))
     rows = pinned(live, title=title(html, post), company=company(html, post),
@@ -383,8 +381,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html",
     tag = "a" if list(attributes) == ["href"] else r"\w+"
     hrefs = F.regexp_extract_all(F.col(html), F.lit(
         rf"""(?is)<{tag}\b[^>]*?\s(?:{names})\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    rows = (spread(pages.select(url, html))
-            .select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
+    rows = (pages.select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
             .select("page_url", absolute_url("page_url", unescape("_h")).alias("link"))
             .filter(F.col("link").isNotNull()))
     path = F.regexp_extract("link", r"^https?://[^/?]*([^?]*)", 1)

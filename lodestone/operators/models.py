@@ -27,7 +27,8 @@ MIN_ROWS = 50
 def stable_split(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> DataFrame:
     """Add ``is_train``, decided by a hash of key and seed: the same under any partitioning and
     on every re-run, so a lost task cannot move a row to the other side."""
-    share = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(10_000))
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
+    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
     return df.withColumn("is_train", share < int(round(train * 10_000)))
 
 

@@ -1,4 +1,4 @@
-"""Group quantiles: a sketch for reports, and an exact form that never gathers a whole group."""
+"""Exact group quantiles that never gather a whole group."""
 
 from __future__ import annotations
 
@@ -12,11 +12,6 @@ ACCURACY = 10_000
 SMALL_GROUP = 10_000
 
 
-def approx_quantile(c: Column, p: float | list[float], accuracy: int = ACCURACY) -> Column:
-    """Element of the group at rank p: exact up to ``accuracy`` rows, a sketch beyond."""
-    return F.percentile_approx(c, p, accuracy)
-
-
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence[float],
                     interpolate: bool = False) -> DataFrame:
     """Exact quantiles per group: columns ``keys``, ``p``, ``n``, ``quantile``.
@@ -24,7 +19,8 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence
     Pass 1 sketches every group and so brackets each wanted rank between two values that hold
     between them a few ten-thousandths of the group. Pass 2 counts the rows below the bracket
     (partial aggregation) and ranks only the distinct values inside it. A group that holds a
-    third of all rows is therefore never sorted in one task.
+    third of all rows is therefore never sorted in one task. The sketch's error is bounded well
+    inside the bracket; a bracket that missed its rank all the same would raise an error.
 
     The plain form returns the element at rank ceil(p*n); ``interpolate`` returns the linear
     interpolation at (n-1)*p.
@@ -63,18 +59,27 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, ps: Sequence
     counts = marked.groupBy(*keys, "p", "n", "_v").agg(F.count(F.lit(1)).alias("_c"))
     upto = (Window.partitionBy(*keys, "p").orderBy(F.col("_v").asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = counts.withColumn("_r", F.sum("_c").over(upto)).filter(F.col("_v").isNotNull())
+    ranked = counts.withColumn("_r", F.sum("_c").over(upto))
+    below = F.coalesce(F.max(F.when(F.col("_v").isNull(), F.col("_r"))), F.lit(0))
+    ranked_values = F.col("_v").isNotNull()
 
     group = [*keys, "p", "n"]
     if not interpolate:
         wanted = F.greatest(F.ceil(F.col("p") * F.col("n")), F.lit(1))
-        return (ranked.filter(F.col("_r") >= wanted)
-                .groupBy(*group).agg(F.min("_v").alias("quantile")))
+        found = F.min(F.when(ranked_values & (F.col("_r") >= wanted), F.col("_v")))
+        spots = ranked.groupBy(*group).agg(found.alias("_q"), below.alias("_below"))
+        right = F.col("_q").isNotNull() & (F.col("_below") < wanted)
+        return spots.select(*group, F.when(right, F.col("_q")).otherwise(
+            F.raise_error(F.lit("a quantile bracket missed its rank"))).alias("quantile"))
     spot = (F.col("n") - 1) * F.col("p")
     low = F.floor(spot) + 1
     high = F.ceil(spot) + 1
     pair = ranked.groupBy(*group).agg(
-        F.min(F.when(F.col("_r") >= low, F.col("_v"))).alias("_lo"),
-        F.min(F.when(F.col("_r") >= high, F.col("_v"))).alias("_hi"))
+        F.min(F.when(ranked_values & (F.col("_r") >= low), F.col("_v"))).alias("_lo"),
+        F.min(F.when(ranked_values & (F.col("_r") >= high), F.col("_v"))).alias("_hi"),
+        below.alias("_below"))
+    missed = F.col("_hi").isNull() | (F.col("_below") >= low)
     between = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (spot - F.floor(spot))
-    return pair.select(*group, between.cast("double").alias("quantile"))
+    return pair.select(*group, F.when(missed, F.raise_error(F.lit(
+        "a quantile bracket missed its rank")).cast("double")).otherwise(
+            between.cast("double")).alias("quantile"))

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from lodestone.operators.window import top_n_per_group
 
-# Largest query side that is shipped to every task: 20,000 vectors of 1,000 floats are 80 MB.
-MAX_SHIPPED_VALUES = 20_000_000
 # Rows per block when both sides are large.
 BLOCK_ROWS = 4_096
 
@@ -19,20 +17,13 @@ def similar_top_k(queries: DataFrame, items: DataFrame, query_id: str, item_id:
                   k: int = 5, digits: int = 4) -> DataFrame:
     """The ``k`` most similar items of every query: ``query``, ``item``, ``score``, ``rank``.
 
-    The usual case is a handful of query vectors. Their size is checked; up to
-    ``MAX_SHIPPED_VALUES`` numbers they go to the tasks as one matrix, and every batch of items
-    gives back only its own ``k`` best per query, so the shuffle carries k rows per query and
-    batch. Beyond that size both sides are cut into blocks and multiplied block by block (see
-    :func:`_blocked`). Both ways are exact.
+    Both sides are cut into blocks of :data:`BLOCK_ROWS` rows, and each task multiplies one block of
+    queries with one block of items and gives back its ``k`` best per query. Memory per task is
+    two blocks, however large either side is; with a handful of queries the items are read and
+    moved once. Vectors that are null, hold a null, or have another length than the query take
+    no part.
     """
-    probe = queries.select(F.size(vector).alias("d")).limit(1).collect()
-    width = max(1, probe[0]["d"]) if probe else 1
-    limit = MAX_SHIPPED_VALUES // width
-    rows = queries.select(query_id, vector).limit(limit + 1).collect()
-    if len(rows) > limit:
-        partial = _blocked(queries, items, query_id, item_id, vector, k)
-    else:
-        partial = _shipped(rows, queries, items, query_id, item_id, vector, k)
+    partial = _blocked(queries, items, query_id, item_id, vector, k)
     best = top_n_per_group(partial, ["query"], [F.desc("score"), F.asc("item")], k, rank="rank")
     return best.withColumn("score", F.round("score", digits))
 
@@ -43,37 +34,19 @@ def _schema(queries: DataFrame, items: DataFrame, query_id: str, item_id: str) -
     return f"query {q}, item {i}, score double"
 
 
-def _shipped(rows, queries, items, query_id, item_id, vector, k) -> DataFrame:
-    keys = np.array([r[0] for r in rows], dtype=object)
-    matrix = _unit(np.array([r[1] for r in rows], dtype="float64"))
-    shared = items.sparkSession.sparkContext.broadcast((keys, matrix))
-
-    def score(batches):
-        keys, matrix = shared.value
-        for batch in batches:
-            if len(batch) and len(keys):
-                vectors = _unit(np.stack(batch[vector].to_numpy()).astype("float64"))
-                yield _best(keys, matrix, batch[item_id].to_numpy(), vectors, k)
-
-    wanted = items.select(item_id, vector).filter(F.col(vector).isNotNull())
-    return wanted.mapInPandas(score, _schema(queries, items, query_id, item_id))
-
-
 def _blocked(queries, items, query_id, item_id, vector, k, block: int = BLOCK_ROWS) -> DataFrame:
-    """Block nested loop as an equi-join on block numbers: each task multiplies one block of
-    queries with one block of items and keeps ``k`` per query. Memory per task is two blocks,
-    however large either side is."""
     nq = max(1, -(-queries.count() // block))
     ni = max(1, -(-items.count() // block))
 
     def numbered(df, key, n_own, n_other, own, other):
         others = F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))
-        return (df.select(key, vector).filter(F.col(vector).isNotNull())
+        usable = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull())
+        return (df.select(key, vector).filter(usable).withColumn("_d", F.size(vector))
                 .withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own)))
                 .withColumn(other, F.explode(others)))
 
-    left = numbered(queries, query_id, nq, ni, "_q", "_i").groupBy("_q", "_i")
-    right = numbered(items, item_id, ni, nq, "_i", "_q").groupBy("_q", "_i")
+    left = numbered(queries, query_id, nq, ni, "_q", "_i").groupBy("_d", "_q", "_i")
+    right = numbered(items, item_id, ni, nq, "_i", "_q").groupBy("_d", "_q", "_i")
 
     def score(q: pd.DataFrame, i: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(i):

@@ -54,13 +54,22 @@ def insert_if_absent(target: DataFrame, source: DataFrame, key: str,
 
 
 def upsert(target: DataFrame, changes: DataFrame, key: str, now: Column | None = None,
-           insert: bool = True) -> DataFrame:
+           insert: bool = True, order: Sequence[Column] | None = None) -> DataFrame:
     """Apply partial rows by key: a null in ``changes`` leaves the old value.
 
     Soft-deleted rows stay untouched. Unknown keys are inserted unless ``insert`` is off.
-    ``changes`` holds one row per key.
+    Of several changes of a key the first in ``order`` holds; without an order they are an error.
+    Changes without a key change nothing.
     """
     columns = [c for c in changes.columns if c != key]
+    changes = changes.filter(F.col(key).isNotNull())
+    if order is None:
+        row = F.first(F.struct(*columns) if columns else F.lit(0))
+        once = changes.groupBy(key).agg(F.when(F.count(F.lit(1)) == 1, row).otherwise(
+            F.raise_error(F.lit(f"several changes of one {key}"))).alias("_row"))
+        changes = once.select(key, *[F.col("_row")[c].alias(c) for c in columns])
+    else:
+        changes = dedupe_on(changes, [key], order)
     named = changes.select(F.col(key).alias("_key"),
                            *[F.col(c).alias(f"_new_{c}") for c in columns])
     joined = target.join(named, F.col(key) == F.col("_key"), "full" if insert else "left")

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import (LONG_WORD, WORD, bilingual_stop_words, english_stop_words,
                                       with_bigrams, words)
 from lodestone.operators.window import top_n_per_group
-from lodestone.session import spread
 
 
 def group_terms(df: DataFrame, group: str, tokens: Column,
@@ -24,7 +23,7 @@ def group_terms(df: DataFrame, group: str, tokens: Column,
     The null test drops nothing. It is what a later join on the terms would add to its own copy
     of this plan; stated here, all copies are alike and share one shuffle.
     """
-    return (spread(df).select(group, F.explode(tokens).alias("term"))
+    return (df.select(group, F.explode(tokens).alias("term"))
             .filter(F.col("term").isNotNull() & F.col(group).isNotNull() & _wanted(stop))
             .groupBy(group, "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -37,7 +36,7 @@ def top_terms(df: DataFrame, text: str, k: int = 100, pattern: str = LONG_WORD,
               stop: Sequence[str] | None = None) -> DataFrame:
     """Corpus term frequencies, commonest first."""
     stop = bilingual_stop_words() if stop is None else stop
-    return (spread(df.select(text)).select(F.explode(words(text, pattern)).alias("term"))
+    return (df.select(F.explode(words(text, pattern)).alias("term"))
             .filter(_wanted(stop)).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), F.asc("term")).limit(k))
 
@@ -94,7 +93,7 @@ class TopicModel:
                  rounds: int = 10):
         stop = bilingual_stop_words() if stop is None else stop
         self.tokens = words(text, LONG_WORD, stop)
-        rows = spread(df.select(text)).select(self.tokens.alias("_tokens"))
+        rows = df.select(self.tokens.alias("_tokens"))
         self.counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", minDF=min_df,
                                        vocabSize=vocab).fit(rows)
         counted = self.counter.transform(rows).select("_counts").persist()

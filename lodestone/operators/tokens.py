@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import as_col, percent, token_array
 from lodestone.operators.aggregate import group_profile
-from lodestone.session import spread
 
 
 def explode_tokens(df: DataFrame, column: str, sep: str = ",", lower: bool = True,
@@ -47,7 +46,7 @@ def token_rarity(df: DataFrame, doc: str, column: str, min_docs: int = 5, k: int
     """
     rows = df.filter(F.col(column).isNotNull()).select(doc, column)
     total = rows.agg(F.countDistinct(doc)).scalar()
-    pairs = (explode_tokens(spread(rows), column, sep, distinct=True).select(doc, "token")
+    pairs = (explode_tokens(rows, column, sep, distinct=True).select(doc, "token")
              .distinct())
     freq = (pairs.groupBy("token").agg(F.count(F.lit(1)).alias("doc_freq"))
             .filter(F.col("doc_freq") >= min_docs))
@@ -85,7 +84,7 @@ def tag_counts(df: DataFrame, column: str, patterns: Mapping[str, str],
     text = F.lower(F.coalesce(F.col(column), F.lit(""))).alias("_text")
     hits = [F.count_if(F.col("_text").rlike("(?U)" + p)).alias(f"t{i}")
             for i, p in enumerate(patterns.values())]
-    wide = spread(df.select(column)).select(text).agg(F.count(F.lit(1)).alias("_rows"), *hits)
+    wide = df.select(text).agg(F.count(F.lit(1)).alias("_rows"), *hits)
     tags = F.array(*[F.struct(F.lit(name).alias("tag"), F.col(f"t{i}").alias("n"))
                      for i, name in enumerate(patterns)])
     long = wide.select("_rows", F.explode(tags).alias("_t")).select("_t.*", "_rows")
@@ -111,7 +110,7 @@ def dictionary_terms(c: Column | str, terms: Sequence[str], capitalise: bool = F
 
 
 def _capitalised(x: Column) -> Column:
-    return F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, 2, 1_000_000))
+    return F.concat(F.upper(F.substring(x, 1, 1)), F.substring(x, F.lit(2), F.length(x)))
 
 
 def _separate(terms: Sequence[str]) -> list[list[str]]:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.session import cut_lineage
+
 
 def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
                     rank: str | None = None) -> DataFrame:
@@ -33,6 +35,29 @@ def ranked_top_k(df: DataFrame, measure: str, tie: str, k: int, rank: str = "ran
     return best.withColumn(rank, F.rank().over(Window.orderBy(F.desc(measure))))
 
 
+def ranked_all(df: DataFrame, measure: str, rank: str = "rank") -> DataFrame:
+    """Every row with its rank by ``measure``, highest first, with gaps after ties; nulls last.
+
+    The distinct values are counted and range-partitioned; a rank is what lies in the partitions
+    before, and before in its own. No task sees more than its range.
+    """
+    order = F.col(measure).desc_nulls_last()
+    counts = df.groupBy(measure).agg(F.count(F.lit(1)).alias("_c"))
+    parts = cut_lineage(counts.repartitionByRange(order)
+                        .withColumn("_p", F.spark_partition_id()))
+    totals = parts.groupBy("_p").agg(F.sum("_c").alias("_t"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select("_p", F.coalesce(F.sum("_t").over(before.orderBy("_p")), F.lit(0))
+                           .alias("_start"))
+    inside = (Window.partitionBy("_p").orderBy(order)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (parts.withColumn("_in", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+             .join(starts, "_p")
+             .select(F.col(measure).alias("_m"),
+                     (F.col("_start") + F.col("_in") + 1).cast("int").alias(rank)))
+    return df.join(ranks, F.col(measure).eqNullSafe(F.col("_m"))).drop("_m")
+
+
 def sorted_nulls_last(df: DataFrame, column: str, tie: str, ascending: bool = True) -> DataFrame:
     """Sort with nulls last in either direction."""
     order = F.col(column).asc_nulls_last() if ascending else F.col(column).desc_nulls_last()

@@ -22,6 +22,7 @@ from lodestone.operators import basket, graph, joins, models, similarity, text,
 from lodestone.operators.clean import (fill_constants, fill_median, keep_valid, typed,
                                        value_label)
 from lodestone.operators.text import TopicModel
+from lodestone.session import cut_lineage
 
 M = 1e6
 TYPES = {"salary_final_vnd": "double", "yoe_extracted": "double", "skill_count": "int",
@@ -63,8 +64,7 @@ def salary_by_level(jobs: DataFrame) -> DataFrame:
     rows = _cast(keep_valid(jobs, not_null=["job_level"], not_empty=["job_level"]))
     profile = agg.group_profile(rows, ["job_level"], "salary_final_vnd", M, 1, median=True,
                                 extra={"avg_yoe": F.round(F.avg("yoe_extracted"), 1)})
-    # A level is one of a few values: the limit only bounds the ranking window.
-    ranked = window.ranked_top_k(profile, "avg_value", "job_level", 1000)
+    ranked = window.ranked_all(cut_lineage(profile), "avg_value")
     return _pick(ranked, PROFILE, "rank", "job_level", "job_count", "min_salary_M",
                  "avg_salary_M", "median_salary_M", "max_salary_M", "avg_yoe")
 
@@ -243,10 +243,11 @@ def benefit_tags(jobs: DataFrame) -> DataFrame:
                              {**BENEFIT_PATTERNS, **SOFT_SKILL_PATTERNS})
 
 
-def level_terms(jobs: DataFrame, top: int = 15) -> DataFrame:
+def level_terms(jobs: DataFrame, top: int = 15,
+                stop: Sequence[str] | None = None) -> DataFrame:
     """Characteristic words and word pairs of the main levels."""
     rows = jobs.filter(F.col("job_level").isin(*LEVELS))
-    return text.term_weights(rows, "job_level", "description_clean", 1500, top)
+    return text.term_weights(rows, "job_level", "description_clean", 1500, top, stop)
 
 
 def skill_baskets(jobs: DataFrame, key: str = "id") -> DataFrame:
@@ -266,8 +267,12 @@ def skill_network(jobs: DataFrame, min_weight: int = 15) -> DataFrame:
     return basket.basket_pairs(skill_baskets(jobs), "id", "skill", min_count=min_weight)
 
 
-def skill_ranks(jobs: DataFrame, min_weight: int = 15, k: int = 20) -> DataFrame:
-    return graph.top_nodes(graph.pagerank(skill_network(jobs, min_weight)), k)
+def skill_ranks(jobs: DataFrame, min_weight: int = 15, k: int = 20, max_rounds: int = 100,
+                tolerance: float | None = 1e-6) -> DataFrame:
+    """Skills by PageRank in their network; ``tolerance`` None runs exactly ``max_rounds``."""
+    scores = graph.pagerank(skill_network(jobs, min_weight), max_rounds=max_rounds,
+                            tolerance=tolerance)
+    return graph.top_nodes(scores, k)
 
 
 def job_segments(jobs: DataFrame, k: int = 4, seed: int = 42):
@@ -328,10 +333,12 @@ def recommend(jobs: DataFrame, vectors: DataFrame, profiles: DataFrame, k: int =
 
     ``vectors`` holds (key, vector) rows of the adverts, ``profiles`` (query, vector) rows.
     """
+    # Only vectors of adverts at hand take places.
+    vectors = vectors.join(jobs.select(key), key, "left_semi")
     best = similarity.similar_top_k(profiles, vectors, "query", key, vector, k)
     shown = jobs.select(
         F.col(key).alias("item"), F.coalesce("title_clean", F.lit("Unknown")).alias("title"),
-        F.substring(F.coalesce("company", F.lit("Unknown Company")), 1, 50).alias("company"),
+        F.coalesce("company", F.lit("Unknown Company")).alias("company"),
         F.coalesce("skills_clean", F.lit("No skills listed")).alias("skills"),
         value_label("salary", "Y-u'll l-ve i-USD", "Thương lượng", "USD",
                     ["đ", "vnd"]).alias("salary"),

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodestone.functions.wordlists import BENEFIT_PATTERNS, SOFT_SKILL_PATTERNS
+from lodestone.functions.wordlists import BENEFIT_PATTERNS, LEVELS, SOFT_SKILL_PATTERNS
 from lodestone.operators.aggregate import class_means
 from lodestone.operators.metrics import class_report
 from lodestone.plans import jobs as recipes
-from lodestone.plans.queries_tokens import LABEL_MEANS, label_means
+from lodestone.plans.queries_tokens import (FEW_STOP_WORDS, LABEL_MEANS, PAGERANK_ROUNDS, label_means,
+                                            pagerank_sql, weights_sql)
 from lodestone.plans.registry import Tables, query
 
 ROLE_WORDS = {"anvil": "data engineer", "bolt": "backend dev", "gear": "android dev",
@@ -317,9 +318,18 @@ def skill_network(t: Tables):
     return recipes.skill_network(adverts(t))
 
 
-@_job("skill_ranks")
+SKILL_EDGES = """
+, t AS (SELECT DISTINCT id, trim(skill) AS skill FROM (
+          SELECT id, unnest(string_split(skills_clean, ',')) AS skill FROM jobs
+          WHERE skills_clean IS NOT NULL) WHERE trim(skill) <> ''),
+e AS (SELECT x.skill AS a, y.skill AS b, count(*) AS n FROM t x JOIN t y
+      ON x.id = y.id AND x.skill < y.skill GROUP BY ALL HAVING count(*) >= 15),
+d AS (SELECT a AS src, b AS dst, n AS w FROM e UNION ALL SELECT b, a, n FROM e)"""
+
+
+@_job("skill_ranks", pagerank_sql(SKILL_EDGES, 4))
 def skill_ranks(t: Tables):
-    return recipes.skill_ranks(adverts(t))
+    return recipes.skill_ranks(adverts(t), max_rounds=PAGERANK_ROUNDS, tolerance=None)
 
 
 @_job("skill_rules", """
@@ -343,8 +353,12 @@ def skill_rules(t: Tables):
                       *[F.round(c, 6).alias(c) for c in ("support", "confidence", "lift")])
 
 
+ADVERT_MEANS = LABEL_MEANS.replace(
+    "CROSS JOIN embeddings", "CROSS JOIN (FROM embeddings WHERE vec_id IN (SELECT id FROM jobs))")
+
+
 @_job("recommend", f"""
-, {LABEL_MEANS}
+, {ADVERT_MEANS}
 SELECT query, rank, title_clean AS title, company, coalesce(skills_clean, 'No skills listed') AS skills,
   CASE WHEN salary_final_vnd IS NULL OR salary_final_vnd = 0 THEN 'Thương lượng'
        ELSE salary_final_vnd::BIGINT || ' VND' END AS salary,
@@ -360,9 +374,17 @@ def recommend(t: Tables):
     return recipes.recommend(rows, vectors, label_means(t))
 
 
-@_job("level_terms")
+MAIN_LEVELS = ", ".join(f"'{x}'" for x in LEVELS)
+
+
+@_job("level_terms", f"""
+, {weights_sql(f"SELECT job_level AS lang, coalesce(description_clean, '') AS text FROM jobs "
+               f"WHERE job_level IN ({MAIN_LEVELS})", FEW_STOP_WORDS)}
+SELECT lang AS job_level, term, score,
+  row_number() OVER (PARTITION BY lang ORDER BY score DESC, term)::INTEGER AS rank
+FROM sc QUALIFY rank <= 15""")
 def level_terms(t: Tables):
-    return recipes.level_terms(adverts(t))
+    return recipes.level_terms(adverts(t), stop=FEW_STOP_WORDS)
 
 
 @_job("segments")

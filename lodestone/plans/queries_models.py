@@ -67,7 +67,9 @@ def balanced_weights(t: Tables):
     return rows.withColumn("weight", F.round("weight", 6))
 
 
-@query("stable_split")
+@query("stable_split", """
+SELECT doc_id, ('0x' || substr(md5(doc_id || ':42'), 1, 8))::BIGINT % 10000 < 8000 AS is_train
+FROM documents""")
 def stable_split(t: Tables):
     return models.stable_split(t.documents.select("doc_id"), "doc_id")
 

@@ -9,6 +9,7 @@ from lodestone.functions.wordlists import BENEFIT_PATTERNS, SOFT_SKILL_PATTERNS
 from lodestone.operators import aggregate as agg
 from lodestone.operators import basket, graph, similarity, text, tokens
 from lodestone.plans.registry import Tables, query
+from lodestone.session import cut_lineage
 
 PART_TOKENS = """
 SELECT p.*, token FROM (SELECT *, unnest(string_split(p_name, ' ')) AS raw FROM part) p,
@@ -84,8 +85,9 @@ d AS (SELECT a AS src, b AS dst, n AS w FROM e UNION ALL SELECT b, a, n FROM e)"
 
 
 def brand_edges(t: Tables):
+    """Built once and kept: degrees and sizes read the edges several times."""
     pairs = basket.basket_pairs(order_brands(t), "l_orderkey", "p_brand")
-    return graph.heavy_edges(pairs)
+    return graph.heavy_edges(cut_lineage(pairs))
 
 
 @query("basket_pairs", f"WITH {EDGES} SELECT * FROM p")
@@ -126,7 +128,7 @@ def subgraph(t: Tables):
 PAGERANK_ROUNDS = 20
 
 
-def _pagerank_sql() -> str:
+def pagerank_sql(edges: str, digits: int) -> str:
     rounds = ["""
 r0 AS MATERIALIZED (SELECT src AS node, 1.0::DOUBLE / count(*) OVER () AS s
                     FROM (SELECT DISTINCT src FROM d))"""]
@@ -137,12 +139,12 @@ r{i} AS MATERIALIZED (
   FROM r0 z JOIN (SELECT d.dst, sum(r.s * d.w / o.t) AS s FROM d JOIN r{i - 1} r ON r.node = d.src
                   JOIN o ON o.src = d.src GROUP BY d.dst) y ON y.dst = z.node)""")
     return f"""
-WITH {EDGES.replace("d AS (", "d AS MATERIALIZED (")},
+{edges.replace("d AS (", "d AS MATERIALIZED (")},
 o AS MATERIALIZED (SELECT src, sum(w) AS t FROM d GROUP BY src),{",".join(rounds)}
-SELECT node, round(s, 6) AS score FROM r{PAGERANK_ROUNDS} ORDER BY s DESC, node LIMIT 20"""
+SELECT node, round(s, {digits}) AS score FROM r{PAGERANK_ROUNDS} ORDER BY s DESC, node LIMIT 20"""
 
 
-@query("pagerank", _pagerank_sql())
+@query("pagerank", pagerank_sql(f"WITH {EDGES}", 6))
 def pagerank(t: Tables):
     scores = graph.pagerank(brand_edges(t), max_rounds=PAGERANK_ROUNDS, tolerance=None)
     return graph.top_nodes(scores, 20, digits=6)
@@ -296,20 +298,25 @@ def term_top_k(t: Tables):
     return text.top_terms(t.documents, "text", 100, stop=FEW_STOP_WORDS)
 
 
-WEIGHTS = f"""
-tok AS (SELECT lang, {_stop_sql(_WORD_SQL, FEW_STOP_WORDS)} AS w FROM documents
-        WHERE lang IS NOT NULL),
+def weights_sql(rows: str, stop: list[str]) -> str:
+    """Weights of words and word pairs by language in ``rows``, a query for (lang, text)."""
+    return f"""
+src AS ({rows}),
+tok AS (SELECT lang, {_stop_sql(_WORD_SQL, stop)} AS w FROM src WHERE lang IS NOT NULL),
 gram AS (SELECT lang, unnest(w) AS term FROM tok UNION ALL
          SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))
          FROM tok),
 cnt AS (SELECT lang, term, count(*) AS tf FROM gram GROUP BY ALL),
 voc AS (SELECT term, count(*) AS df FROM cnt GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 1500),
-wt AS (SELECT lang, term, tf * (ln((1 + (SELECT count(DISTINCT lang) FROM documents))::DOUBLE
+wt AS (SELECT lang, term, tf * (ln((1 + (SELECT count(DISTINCT lang) FROM src))::DOUBLE
                                    / (1 + df)) + 1) AS w FROM cnt JOIN voc USING (term)),
 sc AS (SELECT lang, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY lang)), 4) AS score
        FROM wt)"""
 
 
+WEIGHTS = weights_sql("SELECT lang, text FROM documents", FEW_STOP_WORDS)
+
+
 @query("term_weights", f"""
 WITH {WEIGHTS}
 SELECT lang, term, score,

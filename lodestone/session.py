@@ -55,18 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a local checkpoint."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame, task_bytes: int = 1 << 20) -> DataFrame:
-    """Deal the rows of a small input out over all cores before costly work on each row.
-
-    A file is read by as many tasks as it has splits, often one for a small table. Inputs large
-    enough to occupy every core by themselves are left alone, so nothing is shuffled there; the
-    size is the optimizer's estimate and costs no job.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    split = 128 << 20
-    if size >= cores * split:
-        return df
-    return df.repartition(min(cores, max(32, -(-size // task_bytes))))

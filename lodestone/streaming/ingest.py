@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -10,13 +11,20 @@ from lodestone.operators.tables import unseen_rows
 from lodestone.sources.versioned import VersionedTable
 
 
-def ingest_new(source: DataFrame, table: VersionedTable, key: str) -> None:
+def ingest_new(source: DataFrame, table: VersionedTable, key: str,
+               rejected: VersionedTable | None = None) -> None:
     """Append the rows of ``source`` whose key the table does not hold, one per key. Running it
-    again with the same rows adds nothing, so a replayed batch is harmless."""
+    again with the same rows adds nothing, so a replayed batch is harmless.
+
+    Rows without a key never enter the table, in whatever batch they come; they are appended to
+    ``rejected`` if it is given.
+    """
     if table.exists():
         table.append(unseen_rows(table.read(), source, key))
     else:
-        table.replace(source.dropDuplicates([key]))
+        table.replace(source.filter(F.col(key).isNotNull()).dropDuplicates([key]))
+    if rejected is not None:
+        rejected.append(source.filter(F.col(key).isNull()))
 
 
 def stream_files(spark: SparkSession, path: str, schema: StructType | str,

@@ -111,3 +111,26 @@ def test_dictionary_terms(spark):
     assert got == [["c#", "c++", "javascript", "machine learning"], [], []]
     assert df.select(tokens.dictionary_terms("s", ["machine learning", "learning"])).first()[0] == [
         "machine learning", "learning"]
+
+
+def test_group_median_is_exact_in_large_groups(spark):
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("k"),
+        (F.pmod(F.xxhash64("id"), F.lit(10**9)) + 1).cast("double").alias("v"))
+    got = {r["k"]: r["median_value"] for r in agg.group_profile(
+        rows, ["k"], "v", median=True).collect()}
+    values = {}
+    for k, v in rows.collect():
+        values.setdefault(k, []).append(v)
+    assert got == {k: sorted(v)[(len(v) - 1) // 2] for k, v in values.items()}
+
+
+def test_every_row_gets_a_rank(spark):
+    rows = spark.range(1500).select("id", (F.col("id") % 700).cast("double").alias("m"))
+    rows = rows.unionByName(spark.createDataFrame([(1500, None)], "id long, m double"))
+    got = window.ranked_all(rows, "m").collect()
+    values = [r["m"] for r in got if r["m"] is not None]
+    assert len(got) == 1501
+    for r in got:
+        above = len(values) if r["m"] is None else sum(v > r["m"] for v in values)
+        assert r["rank"] == above + 1

@@ -86,24 +86,22 @@ def test_pagerank_against_power_iteration(spark, idle):
     assert [got[i] for i in range(n)] == pytest.approx(score, abs=1e-6)
 
 
-def test_blocked_similarity_equals_shipped(spark, monkeypatch):
+@pytest.mark.parametrize("block", [13, 4096])
+def test_similarity_by_blocks(spark, monkeypatch, block):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(60, 8)).round(3)
     vectors[7] = vectors[3]                  # a tie
-    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)],
-                               "id int, v array<double>").repartition(4)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    odd = [(60, None), (61, [1.0, None] * 4)]  # take no part, as query and as item
+    df = spark.createDataFrame(data + odd, "id int, v array<double>").repartition(4)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     scores = unit @ unit.T
     want = sorted((q, int(i)) for q in range(60)
                   for i in sorted(range(60), key=lambda i: (-round(scores[q, i], 9), i))[:3])
-    shipped = rows(similarity.similar_top_k(df, df, "id", "id", "v", 3), "query", "item")
-    assert sorted(shipped) == want
-    monkeypatch.setattr(similarity, "MAX_SHIPPED_VALUES", 16)
     original = similarity._blocked
-    monkeypatch.setattr(similarity, "_blocked",
-                        lambda *args: original(*args, block=13))
-    blocked = rows(similarity.similar_top_k(df, df, "id", "id", "v", 3), "query", "item")
-    assert sorted(blocked) == want
+    monkeypatch.setattr(similarity, "_blocked", lambda *args: original(*args, block=block))
+    got = rows(similarity.similar_top_k(df, df, "id", "id", "v", 3), "query", "item")
+    assert sorted(got) == want
 
 
 def test_k_larger_than_the_table(spark):

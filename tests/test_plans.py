@@ -52,3 +52,9 @@ def test_scans_are_pruned(spark, data, name, pushed, columns):
 def test_counts_are_summed_before_the_shuffle(spark, data):
     text = plan(QUERIES["pair_cooccurrence"](spark, data))
     assert "partial_count" in text
+
+
+@pytest.mark.parametrize("name", ["term_weights", "richness", "token_rarity", "tag_counts",
+                                  "page_posting", "page_links"])
+def test_raw_text_is_not_dealt_out_again(spark, data, name):
+    assert "RoundRobinPartitioning" not in plan(QUERIES[name](spark, data))

@@ -141,3 +141,21 @@ def test_report_lines(spark):
         df, [report.Field("g", 5), report.Field("n", 3, right=True, fmt="%d", missing="-")],
         tail=report.bar("p")).collect()]
     assert got == ["abc   |   5 | " + "█" * 9, "a lon |   - | " + "█" * 28]
+
+
+def test_rows_without_a_key_never_enter(spark, scratch):
+    batch = spark.createDataFrame([(None, 1), (None, 2), ("u", 3)], "url string, v int")
+    table, rejected = VersionedTable(spark, scratch()), VersionedTable(spark, scratch())
+    ingest_new(batch, table, "url", rejected)
+    ingest_new(batch, table, "url", rejected)
+    assert rows(table.read()) == [("u", 3)]
+    assert rejected.read().count() == 4
+
+
+def test_several_changes_of_one_key(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    changes = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "id long, v string, t int")
+    latest = tb.upsert(target, changes, "id", order=[F.desc("t")])
+    assert rows(latest, "id", "v") == [(1, "y"), (2, "b")]
+    with pytest.raises(Exception, match="several changes"):
+        tb.upsert(target, changes.drop("t"), "id").collect()
