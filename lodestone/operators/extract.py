@@ -104,7 +104,7 @@ def company(html: ColumnLike, post: Column, noise: Sequence[str] = ()) -> Column
         rf"""(?is)<a\b[^>]*\bhref\s*=\s*["'][^"']*(?-i:{COMPANY_LINK})[^"']*["'][^>]*>(.*?)"""
         r"</a\s*>"), F.lit(1))
     links = _if_has(html, [COMPANY_LINK], links, F.array().cast("array<string>"))
-    texts = F.split(unescape(F.array_join(F.transform(links, strip_tags), _SEP)), _SEP)
+    texts = F.split(unescape(F.array_join(F.transform(links, lambda x: strip_tags(x)), _SEP)), _SEP)
     banned = [*COMPANY_NOISE, *noise]
 
     def plausible(x: Column) -> Column:
@@ -240,7 +240,7 @@ def tag_skills(html: ColumnLike) -> Column:
     """Short digit-free texts of links and badges, in page order, known site words left out."""
     bodies = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<(a|span)\b[^>]*>(.*?)</\1\s*>"),
                                   F.lit(2))
-    texts = F.split(unescape(F.array_join(F.transform(bodies, strip_tags), _SEP)), _SEP)
+    texts = F.split(unescape(F.array_join(F.transform(bodies, lambda x: strip_tags(x)), _SEP)), _SEP)
 
     def wanted(x: Column) -> Column:
         keep = (F.length(x) > 2) & (F.length(x) < 25) & ~x.rlike(r"\d")
@@ -290,7 +290,7 @@ def description(raw: Column, max_chars: int | None = None) -> Column:
 def lead_paragraphs(html: ColumnLike, min_chars: int = 50, count: int | None = None) -> Column:
     """The paragraphs longer than ``min_chars``, the first ``count`` of them on request."""
     bodies = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
-    texts = F.split(unescape(F.array_join(F.transform(bodies, strip_tags), _SEP)), _SEP)
+    texts = F.split(unescape(F.array_join(F.transform(bodies, lambda x: strip_tags(x)), _SEP)), _SEP)
     long = F.filter(F.transform(texts, one_line), lambda x: F.length(x) > min_chars)
     return F.array_join(long if count is None else F.slice(long, 1, count), " ")
 
@@ -318,23 +318,29 @@ def is_dead(html: ColumnLike, post: Column, low_text: Column) -> Column:
 
 
 def posting_records(pages: DataFrame, url: str = "url", html: str = "html",
-                    merge_skills: bool = False) -> DataFrame:
+                    merge_skills: bool = False, crawl_time: Column | None = None) -> DataFrame:
     """One record per page that is not dead. The shared parts (posting, visible lines, their
-    lower-cased text) are computed first and once, then the fields built on them."""
+    lower-cased text) are computed first and once, then the fields built on them.
+
+    A page without a structured description is described by its long paragraphs. ``crawl_time``
+    adds the time of the visit, from a column of ``pages`` or as a literal.
+    """
     post, low = F.col("_post"), F.col("_low")
-    shared = pinned(pages.select(url, html), _post=posting(html), _lines=page_lines(html))
+    visit = [] if crawl_time is None else [crawl_time.alias("crawl_time")]
+    shared = pinned(pages.select(url, html, *visit), _post=posting(html), _lines=page_lines(html))
     shared = shared.withColumn("_low", F.lower(F.array_join("_lines", " ")))
     live = pinned(shared, _dead=is_dead(html, post, low)).filter(~F.col("_dead"))
     rows = pinned(live, title=title(html, post), company=company(html, post),
                   salary=salary(html, post, F.col("_lines")), location=location(post, low),
-                  description=description(field(post, "$.description")))
+                  description=F.coalesce(non_empty(description(field(post, "$.description"))),
+                                         lead_paragraphs(html)))
     return rows.select(
         F.col(url).alias("url"), "title", "company", "salary", "location",
         flat_text("description").alias("description"),
         F.array_join(skills(post, F.concat_ws(" ", "title", "description"),
                             merge=merge_skills), ", ").alias("skills"),
         experience(post, low).alias("experience"),
-        level(F.col("title"), low).alias("job_level"))
+        level(F.col("title"), low).alias("job_level"), *(["crawl_time"] if visit else []))
 
 
 def pinned(df: DataFrame, **columns: Column) -> DataFrame:

@@ -98,7 +98,7 @@ def test_skills(spark):
     assert of({"skills": ["R&amp;D", {"name": "Go lang"}]}) == ["RD", "Go lang"]
     assert of({}, "c++ and C# dev, javascript") == ["C#", "C++", "Javascript"]
     assert of({"skills": ["Java"]}, "java, python", merge=True) == ["Java", "python"]
-    assert len(of({"skills": [f"skill{i}" for i in range(20)]})) == 10
+    assert len(of({"skills": [f"skill{i}" for i in range(20)]})) == 20
 
 
 def test_description(spark):
@@ -171,3 +171,12 @@ def test_shared_parts_are_computed_once(spark):
     plan = extract.posting_records(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") < 20
     assert rows(extract.posting_records(df), "url", "title") == [("u", "x")]
+
+
+def test_all_skills_are_kept(spark):
+    names = [f"skill{chr(97 + i)}" for i in range(14)]
+    page = ('<script type="application/ld+json">{"@type":"JobPosting","title":"t","skills":"'
+            + ", ".join(names) + '"}</script>')
+    got = extract.posting_records(spark.createDataFrame([("u", page)], "url string, html string"),
+                                  crawl_time=F.lit("2024-01-01")).first()
+    assert got["skills"].split(", ") == names and got["crawl_time"] == "2024-01-01"
