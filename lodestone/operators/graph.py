@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from lodestone.session import cut_lineage
 
+# Edges of one node that are kept together; a node with more is dealt into parts.
+HUB_EDGES = 100_000
+
 
 def both_ways(edges: DataFrame) -> DataFrame:
     """Directed form: every edge in both directions, self loops once."""
@@ -58,26 +61,31 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
     """Weighted PageRank of an undirected graph (Page & Brin 1998): ``node``, ``score``.
 
     Runs ``max_rounds`` rounds, or until the L1 change falls below nodes * ``tolerance``. The
-    transition weights are kept partitioned by source; a round is one join on that partitioning
-    and one partially aggregated sum, so a node with very many neighbours costs one row per
-    task in the shuffle. Nodes whose edges carry no weight spread their score evenly. Scores go
+    transition weights are kept partitioned by source, those of a node with more than
+    :data:`HUB_EDGES` edges in several parts, each met by a copy of the node's score; a round is
+    one join on that partitioning and one partially aggregated sum. Nodes whose edges carry no weight spread their score evenly. Scores go
     through a reliable checkpoint every round, which keeps the plan of a round small and means
     that a lost executor costs no more than one round.
     """
     edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
     directed = both_ways(edges).filter(F.col("w") > 0)
-    out_weight = directed.groupBy("src").agg(F.sum("w").alias("_out"))
+    out_weight = directed.groupBy("src").agg(
+        F.sum("w").alias("_out"),
+        F.ceil(F.count(F.lit(1)) / F.lit(HUB_EDGES)).cast("int").alias("_parts"))
     links = (directed.join(out_weight, "src")
-             .select("src", "dst", (F.col("w") / F.col("_out")).alias("p"))
-             .repartition("src").persist(StorageLevel.MEMORY_AND_DISK))
+             .select("src", "dst", (F.col("w") / F.col("_out")).alias("p"),
+                     F.pmod(F.xxhash64("dst"), F.col("_parts")).cast("int").alias("part"))
+             .repartition("src", "part").persist(StorageLevel.MEMORY_AND_DISK))
     try:
         nodes = nodes_of(edges).join(out_weight, F.col("node") == F.col("src"), "left")
-        start = cut_lineage(nodes.select("node", F.col("_out").isNull().alias("idle")))
+        start = cut_lineage(nodes.select("node", F.col("_out").isNull().alias("idle"), "_parts"))
         n, idle = start.agg(F.count(F.lit(1)), F.count_if("idle")).first()
-        ranks = start.select("node", "idle", F.lit(1.0 / max(n, 1)).alias("score"),
+        ranks = start.select("node", "idle", "_parts", F.lit(1.0 / max(n, 1)).alias("score"),
                              F.lit(0.0).alias("_step"))
         for _ in range(max_rounds if n else 0):
-            arrived = (links.join(ranks, links["src"] == ranks["node"])
+            copies = ranks.select(F.col("node").alias("src"), "score", F.explode(F.sequence(
+                F.lit(0), F.col("_parts") - 1)).alias("part"))
+            arrived = (links.join(copies, ["src", "part"])
                        .groupBy("dst").agg(F.sum(F.col("p") * F.col("score")).alias("_in")))
             spread = F.lit((1.0 - damping) / n)
             if idle:
@@ -86,7 +94,7 @@ def pagerank(edges: DataFrame, damping: float = 0.85, max_rounds: int = 100,
             fresh = F.coalesce("_in", F.lit(0.0)) * damping + spread
             ranks = cut_lineage(
                 ranks.join(arrived, F.col("node") == F.col("dst"), "left")
-                .select("node", "idle", fresh.alias("score"),
+                .select("node", "idle", "_parts", fresh.alias("score"),
                         F.abs(fresh - F.col("score")).alias("_step")))
             if tolerance is not None and ranks.agg(F.sum("_step")).first()[0] < n * tolerance:
                 break
