@@ -1,8 +1,8 @@
 """Pack tokenised documents into windows of a fixed capacity by multiway differencing.
 
-Each document is tokenised whole, closed with a separator id and cut: full windows first, then what
-remains in pieces of at most ``PIECE`` tokens. The remains are dealt by hash into batches that fill
-about ``BATCH_WINDOWS`` windows, and each batch is partitioned by the Karmarkar-Karp method: the
+Each document is tokenised whole, closed with a separator id and cut: full windows first, then the
+rest, with its last eighth and the last quarter of that as pieces of their own, which fill the gaps
+of others. The rests are dealt by hash into batches that fill about ``BATCH_WINDOWS`` windows, and each batch is partitioned by the Karmarkar-Karp method: the
 two partial partitions with the largest spreads are merged with opposing order (fullest with
 emptiest) until one is left. If a window then exceeds the capacity, the batch gets one window more.
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from lodestone.session import cut_lineage
 
 CAPACITY = 1024
-PIECE = 256
-BATCH_WINDOWS = 32
+BATCH_WINDOWS = 64
+WHOLE = 64  # a shorter rest is not cut
 SEPARATOR = 0
 SLICE = 1 << 20
 VOCABULARY = "byte_bpe_50k"
@@ -77,18 +77,17 @@ def token_ids(text: str | None, vocabulary: str = VOCABULARY) -> np.ndarray:
     return np.array(parts[0] if len(parts) == 1 else [x for p in parts for x in p], "<u4")
 
 
-def cuts(n: int, capacity: int = CAPACITY, piece: int = PIECE) -> list[tuple[int, int]]:
+def cuts(n: int, capacity: int = CAPACITY) -> list[tuple[int, int]]:
     """Start and length of the pieces of a document of n tokens."""
     whole, rest = divmod(n, capacity)
     found = [(k * capacity, capacity) for k in range(whole)]
     if rest:
-        count = -(-rest // piece)
-        edges = [whole * capacity + rest * k // count for k in range(count + 1)]
-        found += [(a, b - a) for a, b in zip(edges, edges[1:])]
+        edges = [0, rest] if rest < WHOLE else [0, rest - rest // 8, rest - rest // 32, rest]
+        found += [(whole * capacity + a, b - a) for a, b in zip(edges, edges[1:])]
     return found
 
 
-def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, piece: int = PIECE,
+def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY,
                      separator: int = SEPARATOR, vocabulary: str = VOCABULARY,
                      keep_ids: bool = False) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens`` and, on request, ``ids`` of every piece."""
@@ -102,7 +101,7 @@ def tokenised_pieces(docs: DataFrame, capacity: int = CAPACITY, piece: int = PIE
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 found = np.append(token_ids(text.as_py(), vocabulary), np.uint32(separator))
                 found = found.astype("<u4")
-                for start, length in cuts(len(found), capacity, piece):
+                for start, length in cuts(len(found), capacity):
                     part = found[start:start + length]
                     for column, value in zip(rows, (doc_id, start, length,
                                                     zlib.crc32(part.tobytes()), len(found))):
