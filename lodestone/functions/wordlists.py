@@ -150,4 +150,7 @@ COMPANY_LINK = "/nha-tuyen-dung/"
 LINK_ATTRIBUTES = ["href", "data-job-url", "data-href", "data-url", "data-link", "data-target"]
 
 # Amounts in the local currency per unit.
+EXPERIENCE_RANGE = r"(\d+)\s*-\s*(\d+)\s*(?:năm|year|yrs?)"
+EXPERIENCE_YEARS = r"(?:ít nhất|at least|minimum)?\s*(\d+)\s*(?:năm|year|yrs?)"
+NO_PAY_TEXT = "Y-u'll l-ve i-USD"
 SALARY_RATES = {"usd": 25_400.0, "million": 1e6, "triệu": 1e6, "vnđ": 1.0, "vnd": 1.0}

@@ -19,7 +19,8 @@ from lodestone.functions.text import (clean_markup, one_line, page_lines, page_t
 from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, COMPANY_CLASSES,
                                            COMPANY_LINK, COMPANY_NOISE, DEAD_PAGE_TEXT,
                                            DESCRIPTION_ENDS, DESCRIPTION_NOISE,
-                                           DESCRIPTION_STARTS, DESCRIPTION_STOPS, KNOWN_SKILLS,
+                                           DESCRIPTION_STARTS, DESCRIPTION_STOPS, EXPERIENCE_RANGE,
+                                           EXPERIENCE_YEARS, KNOWN_SKILLS,
                                            LEVEL_RULES, LINK_ATTRIBUTES, SALARY_BOX_CLASSES,
                                            SALARY_NODE_ATTRIBUTE, SALARY_NODE_FIELD,
                                            SALARY_NODE_ID, SKILL_NOISE, TAG_NOISE)
@@ -240,7 +241,8 @@ def tag_skills(html: ColumnLike) -> Column:
     """Short digit-free texts of links and badges, in page order, known site words left out."""
     bodies = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<(a|span)\b[^>]*>(.*?)</\1\s*>"),
                                   F.lit(2))
-    texts = F.split(unescape(F.array_join(F.transform(bodies, lambda x: strip_tags(x)), _SEP)), _SEP)
+    plain = F.transform(bodies, lambda x: strip_tags(x))
+    texts = F.split(unescape(F.array_join(plain, _SEP)), _SEP)
 
     def wanted(x: Column) -> Column:
         keep = (F.length(x) > 2) & (F.length(x) < 25) & ~x.rlike(r"\d")
@@ -290,7 +292,8 @@ def description(raw: Column, max_chars: int | None = None) -> Column:
 def lead_paragraphs(html: ColumnLike, min_chars: int = 50, count: int | None = None) -> Column:
     """The paragraphs longer than ``min_chars``, the first ``count`` of them on request."""
     bodies = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), F.lit(1))
-    texts = F.split(unescape(F.array_join(F.transform(bodies, lambda x: strip_tags(x)), _SEP)), _SEP)
+    plain = F.transform(bodies, lambda x: strip_tags(x))
+    texts = F.split(unescape(F.array_join(plain, _SEP)), _SEP)
     long = F.filter(F.transform(texts, one_line), lambda x: F.length(x) > min_chars)
     return F.array_join(long if count is None else F.slice(long, 1, count), " ")
 
@@ -299,8 +302,8 @@ def experience(post: Column, low_text: Column) -> Column:
     """Experience asked for: the posting's text, else a range of years, else a number of years
     in the lower-cased page text, else "Unknown"."""
     stated = non_empty(clean_markup(field(post, "$.experienceRequirements")))
-    span = F.regexp_extract(low_text, r"(\d+)\s*-\s*(\d+)\s*(?:năm|year|yrs?)", 0)
-    one = F.regexp_extract(low_text, r"(?:ít nhất|at least|minimum)?\s*(\d+)\s*(?:năm|year|yrs?)", 0)
+    span = F.regexp_extract(low_text, EXPERIENCE_RANGE, 0)
+    one = F.regexp_extract(low_text, EXPERIENCE_YEARS, 0)
     return F.coalesce(stated, non_empty(one_line(span)), non_empty(one_line(one)),
                       F.lit("Unknown"))
 
@@ -387,7 +390,8 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html",
     tag = "a" if list(attributes) == ["href"] else r"\w+"
     hrefs = F.regexp_extract_all(F.col(html), F.lit(
         rf"""(?is)<{tag}\b[^>]*?\s(?:{names})\s*=\s*["']([^"']*)["']"""), F.lit(1))
-    rows = (pages.select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
+    rows = (pages
+            .select(F.col(url).alias("page_url"), F.explode(F.array_distinct(hrefs)).alias("_h"))
             .select("page_url", absolute_url("page_url", unescape("_h")).alias("link"))
             .filter(F.col("link").isNotNull()))
     path = F.regexp_extract("link", r"^https?://[^/?]*([^?]*)", 1)

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import (combine_text, first_match, flag_label, scaled,
                                          whitelist)
-from lodestone.functions.wordlists import (BENEFIT_PATTERNS, CITY_RULES, LEVELS, ROLE_RULES,
-                                           SALARY_EDGES, SALARY_LABELS, SOFT_SKILL_PATTERNS,
-                                           YEAR_EDGES, YEAR_LABELS)
+from lodestone.functions.wordlists import (BENEFIT_PATTERNS, CITY_RULES, LEVELS, NO_PAY_TEXT,
+                                           ROLE_RULES, SALARY_EDGES, SALARY_LABELS,
+                                           SOFT_SKILL_PATTERNS, YEAR_EDGES, YEAR_LABELS)
 from lodestone.operators import aggregate as agg
 from lodestone.operators import basket, graph, joins, models, similarity, text, tokens, window
 from lodestone.operators.clean import (fill_constants, fill_median, keep_valid, typed,
@@ -340,7 +340,7 @@ def recommend(jobs: DataFrame, vectors: DataFrame, profiles: DataFrame, k: int =
         F.col(key).alias("item"), F.coalesce("title_clean", F.lit("Unknown")).alias("title"),
         F.coalesce("company", F.lit("Unknown Company")).alias("company"),
         F.coalesce("skills_clean", F.lit("No skills listed")).alias("skills"),
-        value_label("salary", "Y-u'll l-ve i-USD", "Thương lượng", "USD",
+        value_label("salary", NO_PAY_TEXT, "Thương lượng", "USD",
                     ["đ", "vnd"]).alias("salary"),
         F.coalesce("url", F.lit("#")).alias("url"))
     return best.join(shown, "item").select(

@@ -19,6 +19,7 @@ def local_session(cores: int | str = 8, app: str = "lodestone", **conf: str) ->
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in conf.items():
