@@ -85,6 +85,17 @@ def lexical_richness(df: DataFrame, doc: str, text: str, vocab: int = 3000,
             .select(doc, F.coalesce("_r", F.lit(0.0)).alias("richness")))
 
 
+def count_vectors(df: DataFrame, key: str, text: str, vocab: int = 1 << 18, min_df: int = 5,
+                  stop: Sequence[str] = (), name: str = "counts") -> DataFrame:
+    """Each row's counts of the corpus's commonest words, as a sparse vector: ``key``, ``name``.
+
+    Words in fewer than ``min_df`` rows are left out.
+    """
+    rows = df.select(key, words(text, WORD, stop).alias("_tokens"))
+    counter = CountVectorizer(inputCol="_tokens", outputCol=name, minDF=min_df, vocabSize=vocab)
+    return counter.fit(rows).transform(rows).drop("_tokens")
+
+
 class TopicModel:
     """Latent Dirichlet allocation over the commonest long words of a corpus."""
 

@@ -290,6 +290,24 @@ def group_terms(t: Tables):
     return text.group_terms(t.documents, "lang", words("text"), FEW_STOP_WORDS)
 
 
+@query("count_vectors", f"""
+WITH tok AS (SELECT doc_id, unnest({_WORD_SQL}) AS term FROM documents),
+cnt AS (SELECT doc_id, term, count(*) AS tf FROM tok GROUP BY ALL),
+voc AS (SELECT term FROM cnt GROUP BY term HAVING count(*) >= 5),
+v AS (SELECT doc_id, count(*) AS terms, sum(tf)::DOUBLE AS total, max(tf)::DOUBLE AS most
+      FROM cnt SEMI JOIN voc USING (term) GROUP BY doc_id)
+SELECT doc_id, coalesce(terms, 0) AS terms, coalesce(total, 0) AS total, coalesce(most, 0) AS most
+FROM documents LEFT JOIN v USING (doc_id)""")
+def count_vectors(t: Tables):
+    """Number, sum and maximum of the entries of every text's count vector."""
+    vectors = text.count_vectors(t.documents, "doc_id", "text")
+    entries = F.from_json(F.to_json(F.struct(F.col("counts").alias("c"))),
+                          "c struct<values: array<double>>")["c"]["values"]
+    return vectors.select("doc_id", F.size(entries).cast("long").alias("terms"), F.aggregate(
+        entries, F.lit(0.0), lambda a, x: a + x).alias("total"),
+        F.coalesce(F.array_max(entries), F.lit(0.0)).alias("most"))
+
+
 @query("term_top_k", f"""
 SELECT term, count(*) AS n
 FROM (SELECT unnest({_stop_sql(_LONG_SQL, FEW_STOP_WORDS)}) AS term FROM documents)
