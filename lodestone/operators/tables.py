@@ -59,9 +59,9 @@ def upsert(target: DataFrame, changes: DataFrame, key: str, now: Column | None =
 
     Soft-deleted rows stay untouched. Unknown keys are inserted unless ``insert`` is off.
     Of several changes of a key the first in ``order`` holds; without an order they are an error.
-    Changes without a key change nothing.
+    Changes without a key change nothing; columns that the target lacks only serve the order.
     """
-    columns = [c for c in changes.columns if c != key]
+    columns = [c for c in changes.columns if c != key and c in target.columns]
     changes = changes.filter(F.col(key).isNotNull())
     if order is None:
         row = F.first(F.struct(*columns) if columns else F.lit(0))
