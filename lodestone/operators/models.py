@@ -147,9 +147,10 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
             .withColumn(name, F.col("_w.n") / (F.col("_w.k") * F.col("_n"))).drop("_n", "_w"))
 
 
-def _enough(df: DataFrame) -> None:
-    if df.limit(MIN_ROWS).count() < MIN_ROWS:
-        raise ValueError(f"fewer than {MIN_ROWS} rows to learn from")
+def _enough(df: DataFrame, least: int = MIN_ROWS) -> None:
+    """Raise if there are fewer than ``least`` rows to learn from."""
+    if df.limit(least).count() < least:
+        raise ValueError(f"fewer than {least} rows to learn from")
 
 
 def _named(df: DataFrame, indexer) -> DataFrame:

@@ -21,9 +21,14 @@ def read_csv(spark: SparkSession, path: str, schema: Schema = None, infer: bool
     return reader.csv(path, inferSchema=infer)
 
 
-def read_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str]) -> DataFrame:
-    """Quoted multi-line UTF-8 CSV: read as text, then cast by column; bad text becomes null."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="utf-8",
+def read_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str],
+                   line_breaks: bool = True) -> DataFrame:
+    """Quoted UTF-8 CSV: read as text, then cast by column; bad text becomes null.
+
+    With ``line_breaks`` a field may hold line breaks, and then a file is one task. Turn it off
+    where no field does: large files are then split.
+    """
+    raw = spark.read.csv(path, header=True, multiLine=line_breaks, escape='"', encoding="utf-8",
                          inferSchema=False)
     return typed(raw, types).select(*types)
 

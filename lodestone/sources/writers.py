@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lodestone.operators.tables import active
@@ -22,10 +23,15 @@ def write_sink(df: DataFrame, fmt: str, mode: str = "overwrite", **options: str)
     df.write.format(fmt).options(**options).mode(mode).save()
 
 
-def write_outputs(outputs: dict[str, DataFrame], root: str) -> None:
-    """Several results of one job, each below ``root``."""
-    for name, df in outputs.items():
-        write_parquet(df, f"{root}/{name}")
+def write_outputs(source: DataFrame, outputs: Mapping[str, Callable[[DataFrame], DataFrame]],
+                  root: str) -> None:
+    """Several results of one input, each below ``root``; the input is computed once."""
+    held = source.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, make in outputs.items():
+            write_parquet(make(held), f"{root}/{name}")
+    finally:
+        held.unpersist()
 
 
 def append_table(df: DataFrame, name: str) -> None:

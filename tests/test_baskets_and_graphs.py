@@ -116,3 +116,11 @@ def test_subgraph(spark):
     assert rows(graph.induced_subgraph(edges, nodes), "a", "b", "n") == [("a", "b", 1)]
     assert rows(graph.heavy_edges(edges), "n") == [(2,)]
     assert rows(graph.heavy_edges(edges, 1).agg(F.count("n"))) == [(2,)]
+
+
+def test_square_lift_matrix(spark):
+    rules = spark.createDataFrame([(["a"], ["b"], 1.5), (["b"], ["a"], 2.0), (["a"], ["b", "c"], 1.2)],
+                                  "antecedent array<string>, consequent array<string>, lift double")
+    got = basket.lift_matrix(rules)
+    assert got.columns == ["antecedent", "a", "b", "c"]
+    assert rows(got) == [("a", 0.0, 1.2, 1.2), ("b", 2.0, 0.0, 0.0), ("c", 0.0, 0.0, 0.0)]

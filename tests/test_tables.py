@@ -159,3 +159,23 @@ def test_several_changes_of_one_key(spark):
     assert rows(latest, "id", "v") == [(1, "y"), (2, "b")]
     with pytest.raises(Exception, match="several changes"):
         tb.upsert(target, changes.drop("t"), "id").collect()
+
+
+def test_an_interrupted_append_is_not_seen(spark, scratch):
+    table = VersionedTable(spark, scratch())
+    table.replace(keys(spark, 1))
+    table.append(keys(spark, 2))
+    keys(spark, 3).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{table.root}/v1.2")
+    assert rows(table.read()) == [(1,), (2,)]
+    table.append(keys(spark, 4))
+    table.replace(table.read().filter("id > 1"))
+    assert rows(table.read()) == [(2,), (4,)] and rows(table.read(1)) == [(1,), (2,), (4,)]
+
+
+def test_several_outputs_of_one_input(spark, scratch):
+    root = scratch()
+    writers.write_outputs(keys(spark, 1, 2, 3), {
+        "all": lambda df: df, "odd": lambda df: df.filter("id % 2 = 1")}, root)
+    assert rows(spark.read.parquet(f"{root}/all")) == [(1,), (2,), (3,)]
+    assert rows(spark.read.parquet(f"{root}/odd")) == [(1,), (3,)]
