@@ -32,7 +32,9 @@ PHONE = (rf"\+\d{{1,3}}{_GAP}\d{{3}}{_GAP}\d{{3}}{_GAP}\d{{4}}(?!\d)"
          r"|(?<![\d.])\(?\d{3}\)?[ .\-]\d{3}[.\-]\d{4}(?!\d)|\+\d{10,14}(?!\d)")
 CARD = r"(?<![\d.])\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{1,7}(?![\d])"
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
-SECRET = r"(?i:token|secret|password|api[_\-]?key)\s*[=:]\s*\"[^\"\s]{8,}\""
+_LOOSE = r"[^\p{L}\p{N}\"=:]{0,8}"
+SECRET = (rf"(?i:token|secret|password|api[_\-]?key){_LOOSE}[=:]{_LOOSE}"
+          r"\"[^\"\s]{8,}\"")
 #: Titles by gender (fixed values).
 MALE = r"Mr\.|Herr|Sr\.|Monsieur|г-н"
 FEMALE = r"Mrs\.|Ms\.|Miss|Frau|Sra\.|Mme|Madame|г-жа"
