@@ -46,7 +46,7 @@ from lodestone.session import scratch_path
 
 WINDOW = 200
 GRAM = 64
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 BUCKET_BYTES = 8 << 20
 _CHUNK = 1 << 15  # positions handled at once: small arrays stay in the cache
 _ZSTD = zstandard.ZstdCompressor(level=3)
@@ -152,11 +152,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     # Spark drops the shuffle files of a finished step when the driver collects its garbage.
     df.sparkSession._jvm.System.gc()
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables on which nothing depends any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _repeated_grams(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """``_key, _blocks, _near``: each text's blocks with repeated grams, and the least gram."""
+def _repeated_grams(docs: DataFrame, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The stored table of all blocks, and ``_key, _blocks, _near``: each text's blocks with repeated grams, and the least gram."""
     schema = pa.schema([("g", pa.int64()), ("_key", pa.int64()), ("first", pa.int64()),
                         ("count", pa.int32()), ("anchor", pa.int64())])
 
@@ -190,7 +200,7 @@ def _repeated_grams(docs: DataFrame, window: int, gram: int) -> DataFrame:
         _joined(places), "g long, _key long, first long, count int, anchor long"), "suffix-blocks")
     often = found.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g")
     # Equal texts share a key and have equal blocks: sets, so that copies do not pile up.
-    return (found.join(often.hint("merge"), "g").groupBy("_key")
+    return found, (found.join(often.hint("merge"), "g").groupBy("_key")
             .agg(F.collect_set(F.struct("first", "count", "anchor", "g")).alias("_blocks"),
                  F.min("g").alias("_near")))
 
@@ -467,7 +477,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW,
     """
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("text"),
                         F.xxhash64("text").alias("_key"))
-    found = _repeated_grams(docs.withColumn("_key", F.xxhash64("text")), window, gram)
+    every, found = _repeated_grams(docs.withColumn("_key", F.xxhash64("text")), window, gram)
     none = F.col("_blocks").isNull()
     parted = stored(
         keyed.join(found.hint("merge"), "_key", "left").select(
@@ -475,7 +485,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW,
             F.when(none, F.sha2("text", 256)).alias("kept_sha256"),
             F.when(~none, F.col("text")).alias("text"), "_blocks", "_near", "_key"),
         "suffix-documents")
-    clean = parted.filter("text IS NULL").select("doc_id", "n_bytes", "kept_sha256")
+    discard(every)
+    clean = stored(parted.filter("text IS NULL").select("doc_id", "n_bytes", "kept_sha256"),
+                   "suffix-clean")
     # Near copies often share their least gram: they come into one run, where equal strings are
     # settled and travel once.
     near = parted.filter("text IS NOT NULL").repartitionByRange("_near", "_key")
@@ -483,6 +495,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW,
                   .withColumn("run", F.monotonically_increasing_id())
                   .withColumn("sizes", F.transform("texts", lambda t: F.octet_length(t))),
                   "suffix-runs")
+    discard(parted)
     total = runs.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"),
                                        lambda n, t: n + t))).first()[0] or 0
     buckets = max(1, -(-total * 4 // BUCKET_BYTES))
@@ -614,7 +627,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW,
                         held = None
                 yield _blob_batch(run.run, [(1, items)], buckets, window, gram, settled)
 
-    more = _spans_of(state.join(listed, "run").mapInArrow(middles, _BLOBS), window)
+    more = stored(_spans_of(state.join(listed, "run").mapInArrow(middles, _BLOBS), window),
+                  "suffix-middles")
+    discard(seen, state)
     both = spans.union(more).groupBy("run").agg(F.collect_list("spans").alias("found"))
     return clean, runs.select("run", "ids", "texts").join(both.hint("merge"), "run", "left")
 
