@@ -7,9 +7,12 @@ their format: a mention's own separators and letter case are kept. Surrogates ar
 one that is also an original, or that two entities drew, is drawn again with the next counter until
 all are distinct. Only SQL functions run here; nothing is collected or broadcast by hand.
 
-Names: given and family names are entities of their own, so that a person met by family name alone
-keeps the surrogate; only names behind a title are detected. Given names come from lists by gender (of the title) and script, family names
-are built from syllables of their script.
+Names: any number of words behind a title, with inner capitals, hyphens, apostrophes, initials and
+particles (``von``, ``de``), in any case. Every word is an entity of its own, the last one the
+family name, so that a person met by family name alone keeps the surrogate; particles stay. A full
+name found so is also replaced where the same document repeats it without the title (if several
+titles stand before it, as with the first of them by gender). Given names come from lists by gender
+(of the title) and script, family names are built from syllables of their script.
 
 Defined cases: a null or empty text stays; repeated rows and null ids are handled row by row; equal
 rows give equal rows; numbers that fail the check digit, and addresses with parts above 255, are no
@@ -36,12 +39,21 @@ _LOOSE = r"[^\p{L}\p{N}\"=:]{0,8}"
 SECRET = (rf"(?i:token|secret|password|api[_\-]?key){_LOOSE}[=:]{_LOOSE}"
           r"\"[^\"\s]{8,}\"")
 #: Titles by gender (fixed values).
-MALE = r"Mr\.|Herr|Sr\.|Monsieur|г-н"
-FEMALE = r"Mrs\.|Ms\.|Miss|Frau|Sra\.|Mme|Madame|г-жа"
-NAME = rf"(?<!\p{{L}})(?:{MALE}|{FEMALE}) \p{{Lu}}[\p{{Ll}}'\-]+(?: \p{{Lu}}[\p{{Ll}}'\-]+)?"
+MALE = r"Mr\.|MR\.|Herr|HERR|Sr\.|SR\.|Monsieur|MONSIEUR|г-н|Г-н|Г-Н"
+FEMALE = (r"Mrs\.|MRS\.|Ms\.|MS\.|Miss|MISS|Frau|FRAU|Sra\.|SRA\.|Mme|MME|Madame|MADAME"
+          r"|г-жа|Г-жа|Г-ЖА")
+TITLE = rf"(?:{MALE}|{FEMALE}) "
+#: Words of a name that stay (fixed values).
+PARTICLE = (r"(?i:von|vom|van|der|den|de|del|della|di|da|dos|das|do|du|des|la|las|los|le|el|al|bin"
+            r"|ben|ibn|zu|zur|zum|ter|ten)")
+_INITIAL = r"\p{Lu}\.(?:-?\p{Lu}\.)*"
+_WORD = (r"\p{Lu}[\p{L}\p{M}]*"
+         r"(?:-[\p{L}\p{M}]+|['’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*")
+_NAME_WORD = rf"(?:{PARTICLE} )*(?:{_INITIAL}|{_WORD})"
+NAME = rf"(?<!\p{{L}}){TITLE}{_NAME_WORD}(?: {_NAME_WORD})*"
 PATTERN = "|".join((SECRET, EMAIL, IP, PHONE, CARD, NAME))
 #: Any entity holds one of these; other texts are not searched.
-HINT = rf"[0-9@\"]|(?:{MALE}|{FEMALE}) "
+HINT = rf"[0-9@\"]|{TITLE}"
 #: Surrogate names (fixed values) by gender and script.
 GIVEN = {
     "m": ("Adam", "Bruno", "Conrad", "Dario", "Emil", "Felix", "Gustav", "Hugo", "Ivo", "Julian",
@@ -59,6 +71,7 @@ SYLLABLES = {
     "cyrillic": ("ба", "ден", "фил", "гор", "хан", "яс", "кел", "лор", "мар", "нел", "пол", "рос",
                  "сал", "тор", "вен", "вил"),
 }
+INITIALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ"}
 
 
 def _digits(c: Column) -> Column:
@@ -97,24 +110,34 @@ def _national(mention: Column) -> Column:
     return F.right(_digits(mention), F.lit(10))
 
 
+def _bare(name: Column) -> Column:
+    """A name without its title."""
+    return F.regexp_replace(name, f"^{TITLE}", "")
+
+
 def _parts(kind: Column, mention: Column) -> Column:
-    """The entities of a mention, as (type, canonical form), in order."""
-    words = F.split(F.regexp_replace(mention, rf"^(?:{MALE}|{FEMALE}) ", ""), " ")
-    cyrillic = mention.rlike(r"\p{IsCyrillic}$")
+    """The entities of a mention, as (type, canonical form), in order; null for particles."""
+    words = F.split(_bare(mention), " ")
     gender = F.when(mention.rlike(rf"^(?:{MALE}) "), "m").otherwise("f")
-    given = F.concat(F.lit("given-"), gender, F.when(cyrillic, "c").otherwise(""))
-    family = F.when(cyrillic, "family-cyrillic").otherwise("family-latin")
 
     def entity(kind: Column, text: Column) -> Column:
         return F.struct(kind.alias("type"), text.alias("canon"))
 
+    def part(word: Column, i: Column) -> Column:
+        cyrillic = word.rlike(r"\p{IsCyrillic}")
+        script = F.when(cyrillic, "cyrillic").otherwise("latin")
+        group = F.concat(F.lit("given-"), gender, F.when(cyrillic, "c").otherwise(""))
+        last = i == F.size(words) - 1
+        return (F.when(word.rlike(rf"^{_INITIAL}$"), entity(
+                    F.concat(F.lit("initial-"), script), F.regexp_replace(word, r"\.$", "")))
+                .when(last, entity(F.concat(F.lit("family-"), script), F.lower(word)))
+                .when(~word.rlike(rf"^{PARTICLE}$"), entity(group, F.lower(word))))
+
     secret = F.regexp_extract(mention, "\"([^\"]+)\"", 1)
     plain = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", secret)
              .when(kind == "ip", mention).when(kind == "phone", _national(mention))
              .otherwise(_digits(mention)))
-    names = F.when(F.size(words) > 1, F.array(entity(given, words[0]), entity(family, words[1]))
-                   ).otherwise(F.array(entity(family, words[0])))
-    return F.when(kind == "name", names).otherwise(F.array(entity(kind, plain)))
+    return F.when(kind == "name", F.transform(words, part)).otherwise(F.array(entity(kind, plain)))
 
 
 def _stream(key: str, *parts: Column) -> Column:
@@ -171,6 +194,12 @@ def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column
             F.concat(pick, F.lit("-"), second, F.when(attempt < 6, "").otherwise(
                 F.concat(F.lit("-"), F.element_at(F.array(*map(F.lit, names)),
                                                   value[2] % len(names) + 1))))))
+    for script, alphabet in INITIALS.items():
+        # More initials after some attempts: single letters may all be in use.
+        letter = [F.substr(F.lit(alphabet), value[k] % len(alphabet) + 1, F.lit(1))
+                  for k in range(8)]
+        out = out.when(kind == f"initial-{script}", F.array_join(
+            F.slice(F.array(*letter), F.lit(1), F.least(attempt + 1, F.lit(8))), "."))
     for script, parts in SYLLABLES.items():
         pieces = [F.element_at(F.array(*map(F.lit, parts)), value[k] % len(parts) + 1)
                   for k in range(6)]
@@ -181,21 +210,37 @@ def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column
 
 
 def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
-    """The mention with its entities' surrogates, in the mention's own format."""
-    first = F.get(surrogates, F.lit(0))
+    """The mention with its entities' surrogates (by place), in the mention's own format."""
+    first = F.try_element_at(surrogates, F.lit(0))
     country = F.length(_digits(mention)) - F.length(first)
     number = F.when(kind == "phone", F.concat(
         F.substr(_digits(mention), F.lit(1), country), first)).otherwise(first)
     digit = F.transform(F.split(mention, ""), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(number, F.length(_digits(F.substr(
             mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c))
-    upper = (mention == F.upper(mention)) & (mention != F.lower(mention))
-    title = F.regexp_extract(mention, rf"^((?:{MALE}|{FEMALE}) )", 1)
+    title = F.regexp_extract(mention, f"^({TITLE})", 1)
     quoted = F.concat(F.regexp_extract(mention, "^([^\"]*\")", 1), first, F.lit("\""))
-    return (F.when(kind == "email", F.when(upper, F.upper(first)).otherwise(first))
+
+    def word(old: Column, i: Column) -> Column:
+        new = F.try_element_at(surrogates, i)
+        dotted = F.when(old.endswith("."), F.concat(new, F.lit("."))).otherwise(new)
+        return F.coalesce(F.when((F.length(old) > 1) & _upper(old), F.upper(dotted))
+                          .otherwise(dotted), old)
+
+    return (F.when(kind == "email", F.when(_upper(mention), F.upper(first)).otherwise(first))
             .when(kind.isin("phone", "card"), F.array_join(digit, ""))
             .when(kind == "secret", quoted).when(kind == "ip", first)
-            .otherwise(F.concat(title, F.array_join(surrogates, " "))))
+            .otherwise(F.concat(title, F.array_join(F.transform(
+                F.split(_bare(mention), " "), word), " "))))
+
+
+def _upper(c: Column) -> Column:
+    return (c == F.upper(c)) & (c != F.lower(c))
+
+
+def _same(kind: Column, text: Column) -> Column:
+    """Names are the same in any case."""
+    return F.when(kind.rlike("^(given|family|initial)"), F.lower(text)).otherwise(text)
 
 
 def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
@@ -203,18 +248,19 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
     and none of them an original."""
     now = cut_lineage(entities.select("type", "canon").distinct()
                       .withColumn("attempt", F.lit(0)))
-    originals = now.select("type", F.col("canon").alias("surrogate")).withColumn(
-        "taken", F.lit(True))
+    same = _same(F.col("type"), F.col("surrogate"))
+    originals = now.select("type", _same(F.col("type"), F.col("canon")).alias("_same")).distinct(
+        ).withColumn("taken", F.lit(True))
     for _ in range(MAX_ROUNDS):
         drawn = now.withColumn("surrogate", _surrogate(key, F.col("type"), F.col("canon"),
-                                                       F.col("attempt")))
+                                                       F.col("attempt"))).withColumn("_same", same)
         # Given names may be shared by people of one gender; family names tell them apart.
         shared = F.col("type").startswith("given")
-        nth = F.row_number().over(Window.partitionBy("type", "surrogate")
+        nth = F.row_number().over(Window.partitionBy("type", "_same")
                                   .orderBy("attempt", "canon"))
         clash = F.col("taken").isNotNull() | ((nth > 1) & ~shared)
         checked = cut_lineage(
-            drawn.join(originals, ["type", "surrogate"], "left")
+            drawn.join(originals, ["type", "_same"], "left")
             .withColumn("clash", clash & ~(shared & (F.col("attempt") >= 8))))
         if not checked.filter("clash").limit(1).count():
             return checked.select("type", "canon", "surrogate")
@@ -223,6 +269,20 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
     raise RuntimeError("surrogates did not become distinct")
 
 
+def _pattern(text: Column) -> Column:
+    """``PATTERN``, and the full names that the text holds behind a title."""
+    names = F.array_distinct(F.transform(F.filter(
+        F.regexp_extract_all(text, F.lit(f"({NAME})"), F.lit(1)),
+        lambda x: _bare(x).contains(" ")), lambda x: F.lower(_bare(x))))
+    # The longest first, so that no name hides a longer one that begins with it.
+    ranked = F.array_sort(F.transform(names, lambda x: F.struct(-F.length(x), x.alias("n"))))
+    either = F.array_join(F.transform(ranked, lambda x: F.concat(
+        F.lit(r"\Q"), x["n"], F.lit(r"\E"))), "|")
+    more = F.concat(F.lit(rf"{PATTERN}|(?<![\p{{L}}\-'’])(?=\p{{Lu}}|{PARTICLE} )(?iu:"), either,
+                    F.lit(r")(?!\p{L}|-\p{L})"))
+    return F.when(text.rlike(TITLE) & (F.size(names) > 0), more).otherwise(F.lit(PATTERN))
+
+
 def with_surrogates(docs: DataFrame, key: str = "lodestone", count: str | None = None) -> DataFrame:
     """``docs`` with the entities of ``text`` replaced; ``count`` names a column for their number.
 
@@ -230,24 +290,37 @@ def with_surrogates(docs: DataFrame, key: str = "lodestone", count: str | None =
     """
     columns, docs = docs.columns, packed(docs)
     hinted = F.coalesce(F.col("text").rlike(HINT), F.lit(False))
-    found = F.regexp_extract_all("text", F.lit(f"({PATTERN})"), F.lit(1))
-    keyed = docs.filter(hinted).withColumn("_k", F.xxhash64("doc_id", "text"))
+    keyed = (docs.filter(hinted).withColumn("_k", F.xxhash64("doc_id", "text"))
+             .withColumn("_pattern", _pattern(F.col("text"))))
+    found = F.regexp_extract_all("text", F.concat(F.lit("("), "_pattern", F.lit(")")), F.lit(1))
     mentions = (keyed.select("_k", F.posexplode(found).alias("_pos", "_mention"))
                 .withColumn("_type", _kind(F.col("_mention"))).filter("_type IS NOT NULL")
                 .groupBy("_k", "_pos", "_mention", "_type").agg(F.lit(1).alias("_one")))
-    parts = cut_lineage(mentions.select(
+    mentions = cut_lineage(mentions.drop("_one"))
+    name = F.lower(_bare(F.col("_mention"))).alias("_name")
+    titled = F.col("_mention").rlike(f"^{TITLE}")
+    # A name without title is read like the first titled one of its document.
+    told_by = (mentions.filter((F.col("_type") == "name") & titled & _bare(
+        F.col("_mention")).contains(" ")).groupBy("_k", name)
+        .agg(F.max(F.regexp_extract("_mention", f"^({TITLE})", 1)).alias("_title")))
+    plain = (F.col("_type") == "name") & ~titled
+    read = (mentions.filter(plain).select("*", name).join(told_by, ["_k", "_name"])
+            .select(*mentions.columns, F.concat("_title", "_mention").alias("_read"))
+            .unionByName(mentions.filter(~plain).withColumn("_read", F.col("_mention"))))
+    parts = cut_lineage(read.select(
         "_k", "_pos", "_mention", "_type",
-        F.posexplode(_parts(F.col("_type"), F.col("_mention"))).alias("_part", "_e"))
+        F.posexplode(_parts(F.col("_type"), F.col("_read"))).alias("_part", "_e"))
+        .filter("_e IS NOT NULL")
         .select("_k", "_pos", "_mention", "_type", "_part", "_e.type", "_e.canon"))
     known = entity_surrogates(parts, key)
     told = (parts.join(known, ["type", "canon"])
             .groupBy("_k", "_pos", "_mention", "_type")
-            .agg(F.array_sort(F.collect_list(F.struct("_part", "surrogate"))).alias("_s"))
+            .agg(F.map_from_entries(F.collect_list(F.struct("_part", "surrogate"))).alias("_s"))
             .select("_k", "_pos", _formatted(F.col("_type"), F.col("_mention"),
-                                             F.col("_s.surrogate")).alias("_new"))
+                                             F.col("_s")).alias("_new"))
             .groupBy("_k").agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new")))
                                .alias("_parts")))
-    between = F.split("text", PATTERN, -1)
+    between = F.split("text", F.col("_pattern"), -1)
     rebuilt = F.array_join(F.transform(between, lambda s, i: F.concat(s, F.coalesce(
         F.try_element_at(F.col("_parts"), i),
         F.get(F.col("_found"), i), F.lit("")))), "")

@@ -381,6 +381,28 @@ def test_surrogates_are_distinct(spark):
     assert not {r[1] for r in got} & {r[2] for r in got}
 
 
+def replaced(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: r[1] for r in surrogates.with_surrogates(df).select("doc_id", "text").collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_names_are_replaced_whole(spark):
+    names = ("Mr. Jean-Paul Martin", "Mr. O'Brien", "Mr. McDonald", "Mr. John Paul Smith",
+             "Mr. J. Smith", "MR. SMITH", "Herr von der Leyen", "Mrs. Mary Ann O’Neil-Jones")
+    for old, new in zip(names, replaced(spark, *names)):
+        assert new.split(" ")[0] == old.split(" ")[0]
+        for word in re.findall(r"[^\W\d_]{3,}", old)[1:]:
+            assert word in ("von", "der") or not re.search(rf"\b{word}\b", new), (old, new)
+    a, b, c, d = replaced(spark, "Mr. John Paul Smith came. John Paul Smith and MR. SMITH left, "
+                          "Mr. Smith's car too; John Paul Smith-Jones stayed", "John Paul Smith",
+                          "Mr. J. Smith, J. Smith", "Mrs. Smith")
+    name = re.match(r"Mr\. (\S+ \S+ (\S+)) came\. (.+) and MR\. (\S+) left, Mr\. (\S+)'s car", a)
+    assert name[3] == name[1] and name[4] == name[2].upper() and name[5] == name[2]
+    assert a.endswith("John Paul Smith-Jones stayed") and b == "John Paul Smith"
+    assert re.fullmatch(r"Mr\. ([A-Z]\. \w+), \1", c) and c.endswith(d.split(" ")[1])
+
+
 def test_forward_sums_over_all_segmentations():
     pieces = language.n_pieces()
     p = np.random.default_rng(1).dirichlet(np.ones(pieces), 2).T
