@@ -5,7 +5,7 @@ check digit, IP addresses, quoted secrets, names behind a title). Every distinct
 corpus gets one surrogate from a keyed hash, so all its mentions agree (coreference), whatever
 their format: a mention's own separators and letter case are kept. Surrogates are then checked:
 one that is also an original, or that two entities drew, is drawn again with the next counter until
-all are distinct. Only SQL functions run here; nothing is collected or broadcast by hand.
+all are distinct, given names too. Only SQL functions run here; nothing is collected or broadcast by hand.
 
 Names: any number of words behind a title, with inner capitals, hyphens, apostrophes, initials and
 particles (``von``, ``de``), in any case. Every word is an entity of its own, the last one the
@@ -105,6 +105,10 @@ def _kind(mention: Column) -> Column:
             .otherwise("name"))
 
 
+def _secret(mention: Column) -> Column:
+    return F.regexp_extract(mention, "\"([^\"]+)\"", 1)
+
+
 def _national(mention: Column) -> Column:
     """The last ten digits: the same number with and without its country is one entity."""
     return F.right(_digits(mention), F.lit(10))
@@ -133,8 +137,7 @@ def _parts(kind: Column, mention: Column) -> Column:
                 .when(last, entity(F.concat(F.lit("family-"), script), F.lower(word)))
                 .when(~word.rlike(rf"^{PARTICLE}$"), entity(group, F.lower(word))))
 
-    secret = F.regexp_extract(mention, "\"([^\"]+)\"", 1)
-    plain = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", secret)
+    plain = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", _secret(mention))
              .when(kind == "ip", mention).when(kind == "phone", _national(mention))
              .otherwise(_digits(mention)))
     return F.when(kind == "name", F.transform(words, part)).otherwise(F.array(entity(kind, plain)))
@@ -163,61 +166,69 @@ def _shaped(text: Column, stream: Column, letters: str) -> Column:
 
 
 def _surrogate(key: str, kind: Column, canon: Column, attempt: Column) -> Column:
-    """The surrogate of an entity in canonical form."""
+    """The surrogate of an entity in canonical form; later attempts draw from more values."""
     stream = _stream(key, kind, canon, attempt.cast("string"))
-    value = [F.conv(F.substring(stream, 1 + 4 * k, 4), 16, 10).cast("int") for k in range(8)]
+    # Bound to a variable, so that the hashes are made once.
+    return F.get(F.transform(F.array(stream), lambda s: _drawn(key, kind, canon, attempt, s)),
+                 F.lit(0))
+
+
+def _drawn(key: str, kind: Column, canon: Column, attempt: Column, stream: Column) -> Column:
+    def value(k: int) -> Column:
+        return F.conv(F.substring(stream, 1 + 4 * k, 4), 16, 10).cast("int")
+
+    def pieces(of: list[str] | tuple[str, ...], number: Column, glue: str = "") -> Column:
+        drawn = F.transform(F.sequence(F.lit(1), number), lambda i: F.element_at(
+            F.array(*map(F.lit, of)), F.conv(F.substr(stream, (i * 2 + 7) % 255 + 1, F.lit(2)),
+                                             16, 10).cast("int") % len(of) + 1))
+        return F.when(number > 0, F.array_join(drawn, glue)).otherwise("")
+
     digits = F.regexp_replace(stream, "[a-f]", "")
     size = F.length(canon)
-    phone = F.concat((value[0] % 8 + 2).cast("string"), F.substr(digits, F.lit(1), size - 1))
+    more = F.lit(0)
+    phone = F.concat((value(0) % 8 + 2).cast("string"),
+                     F.substr(digits, F.lit(1), size - 1 + more))
     body = F.concat(F.substring(canon, 1, 1), F.substr(digits, F.lit(1), size - 2))
     last = (10 - _check_sum(F.concat(body, F.lit("0"))) % 10) % 10
-    address = F.concat_ws(".", *[((value[k] % 254) + 1).cast("string") for k in range(4)])
+    address = F.concat_ws(".", *[((value(k) % 254) + 1).cast("string") for k in range(4)])
     at = F.instr(canon, "@")
     domain = F.substr(canon, at + 1, size)
     top = F.regexp_extract(domain, r"(\.[^.]+)$", 1)
     host = F.substr(domain, F.lit(1), F.length(domain) - F.length(top))
     letters = "abcdefghijklmnopqrstuvwxyz"
     email = F.concat(
-        _shaped(F.substr(canon, F.lit(1), at - 1), stream, letters), F.lit("@"),
-        _shaped(host, _stream(key, F.lit("domain"), domain), letters), top)
+        _shaped(F.substr(canon, F.lit(1), at - 1), stream, letters), pieces(list(letters), more),
+        F.lit("@"), _shaped(host, _stream(key, F.lit("domain"), domain), letters), top)
     hexadecimal = canon.rlike("^[0-9a-fA-F]+$")
-    secret = F.when(hexadecimal, _shaped(canon, stream, "abcdef")).otherwise(
-        _shaped(canon, stream, letters))
+    secret = F.concat(
+        F.when(hexadecimal, _shaped(canon, stream, "abcdef")).otherwise(
+            _shaped(canon, stream, letters)), pieces(list("abcdef"), more))
     out = (F.when(kind == "email", email).when(kind == "phone", phone)
            .when(kind == "card", F.concat(body, last.cast("string"))).when(kind == "ip", address)
            .when(kind == "secret", secret))
     for group, names in GIVEN.items():
-        pick = F.element_at(F.array(*map(F.lit, names)), value[0] % len(names) + 1)
-        # After some attempts a second given name keeps surrogates distinct.
-        second = F.element_at(F.array(*map(F.lit, names)), value[1] % len(names) + 1)
+        pick = F.element_at(F.array(*map(F.lit, names)), value(0) % len(names) + 1)
+        parts = SYLLABLES["cyrillic" if group.endswith("c") else "latin"]
         out = out.when(kind == f"given-{group}", F.when(attempt < 2, pick).otherwise(
-            F.concat(pick, F.lit("-"), second, F.when(attempt < 6, "").otherwise(
-                F.concat(F.lit("-"), F.element_at(F.array(*map(F.lit, names)),
-                                                  value[2] % len(names) + 1))))))
+            F.concat(pick, F.lit("-"), F.initcap(pieces(parts, attempt)))))
     for script, alphabet in INITIALS.items():
-        # More initials after some attempts: single letters may all be in use.
-        letter = [F.substr(F.lit(alphabet), value[k] % len(alphabet) + 1, F.lit(1))
-                  for k in range(8)]
-        out = out.when(kind == f"initial-{script}", F.array_join(
-            F.slice(F.array(*letter), F.lit(1), F.least(attempt + 1, F.lit(8))), "."))
+        out = out.when(kind == f"initial-{script}", pieces(list(alphabet), attempt + 1, "."))
     for script, parts in SYLLABLES.items():
-        pieces = [F.element_at(F.array(*map(F.lit, parts)), value[k] % len(parts) + 1)
-                  for k in range(6)]
-        out = out.when(kind == f"family-{script}", F.initcap(F.concat(
-            *pieces[:3], F.when(attempt < 2, "").otherwise(pieces[3]),
-            F.when(attempt < 4, "").otherwise(F.concat(*pieces[4:])))))
+        out = out.when(kind == f"family-{script}", F.initcap(pieces(parts, attempt + 3)))
     return out
 
 
 def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
     """The mention with its entities' surrogates (by place), in the mention's own format."""
     first = F.try_element_at(surrogates, F.lit(0))
-    country = F.length(_digits(mention)) - F.length(first)
+    country = F.length(_digits(mention)) - F.length(_national(mention))
     number = F.when(kind == "phone", F.concat(
         F.substr(_digits(mention), F.lit(1), country), first)).otherwise(first)
     digit = F.transform(F.split(mention, ""), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(number, F.length(_digits(F.substr(
             mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c))
+    # Digits that a widened surrogate has beyond the mention's.
+    longer = F.substr(number, F.length(_digits(mention)) + 1, F.length(number))
     title = F.regexp_extract(mention, f"^({TITLE})", 1)
     quoted = F.concat(F.regexp_extract(mention, "^([^\"]*\")", 1), first, F.lit("\""))
 
@@ -228,7 +239,7 @@ def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
                           .otherwise(dotted), old)
 
     return (F.when(kind == "email", F.when(_upper(mention), F.upper(first)).otherwise(first))
-            .when(kind.isin("phone", "card"), F.array_join(digit, ""))
+            .when(kind.isin("phone", "card"), F.concat(F.array_join(digit, ""), longer))
             .when(kind == "secret", quoted).when(kind == "ip", first)
             .otherwise(F.concat(title, F.array_join(F.transform(
                 F.split(_bare(mention), " "), word), " "))))
@@ -254,14 +265,12 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
     for _ in range(MAX_ROUNDS):
         drawn = now.withColumn("surrogate", _surrogate(key, F.col("type"), F.col("canon"),
                                                        F.col("attempt"))).withColumn("_same", same)
-        # Given names may be shared by people of one gender; family names tell them apart.
-        shared = F.col("type").startswith("given")
         nth = F.row_number().over(Window.partitionBy("type", "_same")
                                   .orderBy("attempt", "canon"))
-        clash = F.col("taken").isNotNull() | ((nth > 1) & ~shared)
+        clash = F.col("taken").isNotNull() | (nth > 1)
         checked = cut_lineage(
             drawn.join(originals, ["type", "_same"], "left")
-            .withColumn("clash", clash & ~(shared & (F.col("attempt") >= 8))))
+            .withColumn("clash", clash))
         if not checked.filter("clash").limit(1).count():
             return checked.select("type", "canon", "surrogate")
         now = checked.select("type", "canon", (F.col("attempt") + F.col("clash").cast("int"))

@@ -1,6 +1,7 @@
 """Operators with one right answer, against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -403,6 +404,13 @@ def test_names_are_replaced_whole(spark):
     assert re.fullmatch(r"Mr\. ([A-Z]\. \w+), \1", c) and c.endswith(d.split(" ")[1])
 
 
+def test_given_names_stay_distinct(spark):
+    names = ["".join(x) for x in itertools.product("BCDFG", "aeiou", "klmn", "aeo")]
+    text, = replaced(spark, ", ".join(f"Mr. {x} Smith" for x in names))
+    people = text.split(", ")
+    assert len(set(people)) == len(names) and len({x.split(" ")[-1] for x in people}) == 1
+
+
 def test_forward_sums_over_all_segmentations():
     pieces = language.n_pieces()
     p = np.random.default_rng(1).dirichlet(np.ones(pieces), 2).T
