@@ -5,7 +5,9 @@ check digit, IP addresses, quoted secrets, names behind a title). Every distinct
 corpus gets one surrogate from a keyed hash, so all its mentions agree (coreference), whatever
 their format: a mention's own separators and letter case are kept. Surrogates are then checked:
 one that is also an original, or that two entities drew, is drawn again with the next counter until
-all are distinct, given names too. Only SQL functions run here; nothing is collected or broadcast by hand.
+all are distinct, given names too. Later attempts draw from more values (further syllables, letters
+or digits), so small spaces of names, initials, addresses, numbers or secrets never block; cards and
+IP addresses keep their length, and are drawn again as long as values are free. Only SQL functions run here; nothing is collected or broadcast by hand.
 
 Names: any number of words behind a title, with inner capitals, hyphens, apostrophes, initials and
 particles (``von``, ``de``), in any case. Every word is an entity of its own, the last one the
@@ -16,7 +18,7 @@ titles stand before it, as with the first of them by gender). Given names come f
 
 Defined cases: a null or empty text stays; repeated rows and null ids are handled row by row; equal
 rows give equal rows; numbers that fail the check digit, and addresses with parts above 255, are no
-entities and stay; an empty table gives no rows; further columns, whatever their names, are
+entities and stay, as do quoted secrets without letter or digit (masks such as ``"********"``); an empty table gives no rows; further columns, whatever their names, are
 carried along.
 """
 
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 from lodestone.llm.carry import packed, unpacked
 from lodestone.session import cut_lineage
 
-MAX_ROUNDS = 50
 _GAP = r"[^\p{L}\p{N}+]{1,8}"
 EMAIL = r"[\p{L}\p{N}._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
 PHONE = (rf"\+\d{{1,3}}{_GAP}\d{{3}}{_GAP}\d{{3}}{_GAP}\d{{4}}(?!\d)"
@@ -94,7 +95,8 @@ def _kind(mention: Column) -> Column:
     """The type of a match, or null if a closer look rejects it."""
     octets = F.transform(F.split(mention, r"\."), lambda x: x.cast("int"))
     whole = rf"^(?:{PHONE})$"
-    return (F.when(mention.rlike(rf"^(?:{SECRET})$"), "secret")
+    return (F.when(mention.rlike(rf"^(?:{SECRET})$"), F.when(
+                _secret(mention).rlike(r"[\p{L}\p{N}]"), "secret"))
             .when(mention.contains("@"), "email")
             .when(mention.rlike(r"^\d+\.\d+\.\d+\.\d+$"),
                   F.when(F.forall(octets, lambda x: x <= 255), "ip"))
@@ -156,7 +158,7 @@ def _shaped(text: Column, stream: Column, letters: str) -> Column:
     def one(c: Column, i: Column) -> Column:
         drawn = F.substr(stream, i % 255 + 1, F.lit(2))
         value = F.conv(drawn, 16, 10).cast("int")
-        return (F.when(c.rlike("[0-9]"), F.substr(F.lit("0123456789"), value % 10 + 1, F.lit(1)))
+        return (F.when(c.rlike(r"\p{N}"), F.substr(F.lit("0123456789"), value % 10 + 1, F.lit(1)))
                 .when(c.rlike(r"\p{Lu}"), F.substr(
                     F.lit(high), value % len(high) + 1, F.lit(1)))
                 .when(c.rlike(r"\p{L}"), F.substr(F.lit(low), value % len(low) + 1, F.lit(1)))
@@ -185,7 +187,7 @@ def _drawn(key: str, kind: Column, canon: Column, attempt: Column, stream: Colum
 
     digits = F.regexp_replace(stream, "[a-f]", "")
     size = F.length(canon)
-    more = F.lit(0)
+    more = F.greatest(attempt - 3, F.lit(0))
     phone = F.concat((value(0) % 8 + 2).cast("string"),
                      F.substr(digits, F.lit(1), size - 1 + more))
     body = F.concat(F.substring(canon, 1, 1), F.substr(digits, F.lit(1), size - 2))
@@ -262,7 +264,7 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
     same = _same(F.col("type"), F.col("surrogate"))
     originals = now.select("type", _same(F.col("type"), F.col("canon")).alias("_same")).distinct(
         ).withColumn("taken", F.lit(True))
-    for _ in range(MAX_ROUNDS):
+    while True:
         drawn = now.withColumn("surrogate", _surrogate(key, F.col("type"), F.col("canon"),
                                                        F.col("attempt"))).withColumn("_same", same)
         nth = F.row_number().over(Window.partitionBy("type", "_same")
@@ -275,7 +277,6 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
             return checked.select("type", "canon", "surrogate")
         now = checked.select("type", "canon", (F.col("attempt") + F.col("clash").cast("int"))
                              .alias("attempt"))
-    raise RuntimeError("surrogates did not become distinct")
 
 
 def _pattern(text: Column) -> Column:

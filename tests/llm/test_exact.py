@@ -411,6 +411,18 @@ def test_given_names_stay_distinct(spark):
     assert len(set(people)) == len(names) and len({x.split(" ")[-1] for x in people}) == 1
 
 
+def test_small_spaces_and_masks_do_not_block(spark):
+    mask = 'password: "********" password: "½½½½½½½½"'
+    mails = " ".join(f"{chr(97 + k)}@x.com" for k in range(26))
+    initials = ", ".join(f"Mr. {chr(65 + k)}. Smith" for k in range(26))
+    short = " ".join(f'token = "-------{k}"' for k in range(10))
+    got = replaced(spark, mask, mails, initials, short)
+    assert got[0].startswith('password: "********" ') and "½" not in got[0]
+    for old, new, cut in zip((mails, initials, short), got[1:], (" ", ", ", " token")):
+        old, new = old.split(cut), new.split(cut)
+        assert len(set(new)) == len(set(old)) and not set(old) & set(new)
+
+
 def test_forward_sums_over_all_segmentations():
     pieces = language.n_pieces()
     p = np.random.default_rng(1).dirichlet(np.ones(pieces), 2).T
