@@ -1,7 +1,7 @@
 """Replace personal data by keyed surrogates of the same type, gender, script and format.
 
 Entities are found by patterns (e-mail addresses, telephone numbers, payment cards that pass their
-check digit, IP addresses, quoted secrets, names behind a title). Every distinct entity of the
+check digit, IPv4 and IPv6 addresses, secrets, names behind a title). Every distinct entity of the
 corpus gets one surrogate from a keyed hash, so all its mentions agree (coreference), whatever
 their format: a mention's own separators and letter case are kept. Surrogates are then checked:
 one that is also an original, or that two entities drew, is drawn again with the next counter until
@@ -16,9 +16,9 @@ name found so is also replaced where the same document repeats it without the ti
 titles stand before it, as with the first of them by gender). Given names come from lists by gender
 (of the title) and script, family names are built from syllables of their script.
 
-Defined cases: a null or empty text stays; repeated rows and null ids are handled row by row; equal
+Defined cases: a null or empty text stays; repeated rows and null ids are handled row by row; IPv6 addresses are written out in full; equal
 rows give equal rows; numbers that fail the check digit, and addresses with parts above 255, are no
-entities and stay, as do quoted secrets without letter or digit (masks such as ``"********"``); an empty table gives no rows; further columns, whatever their names, are
+entities and stay, as do secrets without letter or digit (masks such as ``"********"``); an empty table gives no rows; further columns, whatever their names, are
 carried along.
 """
 
@@ -32,13 +32,37 @@ from lodestone.session import cut_lineage
 
 _GAP = r"[^\p{L}\p{N}+]{1,8}"
 EMAIL = r"[\p{L}\p{N}._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+#: What may stand between two digits of a telephone number.
+_SEP = r"(?:[ \u00a0./\-–]|[ \u00a0]?\(|\)[ \u00a0./\-]?)"
+_DATE = (r"(?:\d{1,2}[./\-]\d{1,2}[./\-](?:(?:19|20)\d{2}(?!\d)|\d{2}(?![./\-]?\d))"
+         r"|\d{1,2} \d{1,2} (?:19|20)\d{2}(?!\d))")
 PHONE = (rf"\+\d{{1,3}}{_GAP}\d{{3}}{_GAP}\d{{3}}{_GAP}\d{{4}}(?!\d)"
-         r"|(?<![\d.])\(?\d{3}\)?[ .\-]\d{3}[.\-]\d{4}(?!\d)|\+\d{10,14}(?!\d)")
-CARD = r"(?<![\d.])\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{1,7}(?![\d])"
+         r"|(?<![\d.])\(?\d{3}\)?[ .\-]\d{3}[ .\-]\d{4}(?!\d)"
+         r"|\+\d{10,14}(?!\d)"
+         rf"|\+[1-9]\d{{0,2}}(?:{_SEP}?\d){{6,12}}(?!\d)"
+         rf"|(?<![\p{{L}}\p{{N}}.,+/\-])00[1-9]\d{{0,2}}{_SEP}(?:{_SEP}?\d){{6,12}}(?!\d)"
+         rf"|(?<![\p{{L}}\p{{N}}.,+/\-])(?!{_DATE})\(?0[1-9]\d{{0,4}}{_SEP}\d"
+         rf"(?:{_SEP}?\d){{5,10}}(?!{_SEP}?\d)")
+#: Country codes (fixed values); all others have three digits.
+COUNTRY = (r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]")
+CARD = (r"(?<![\d.])(?:\d{4}[ \-]\d{6}[ \-]\d{4,5}"
+        r"|\d{4}[ \-]?\d{4}[ \-]?\d{4}[ \-]?\d{1,7})(?!\d)")
 IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)"
 _LOOSE = r"[^\p{L}\p{N}\"=:]{0,8}"
-SECRET = (rf"(?i:token|secret|password|api[_\-]?key){_LOOSE}[=:]{_LOOSE}"
-          r"\"[^\"\s]{8,}\"")
+_SIX = r"[0-9A-Fa-f]{1,4}"
+IP6 = (rf"(?<![\p{{L}}\p{{N}}:.])(?:{_SIX}(?::{_SIX}){{7}}"
+       rf"|[0-9A-Fa-f]{{4}}(?::{_SIX}){{0,5}}::{_SIX}(?::{_SIX}){{0,5}}"
+       rf"|[0-9A-Fa-f]{{4}}(?::{_SIX}){{1,6}}::)(?![\p{{L}}\p{{N}}:])")
+_KEYWORD = (r"(?i:token|secret|password|passwort|passwd|pwd|mot de passe|contraseña"
+            r"|(?:api|access|private)[ _\-]?key)")
+_BARE = r"[^\s\"',;<>()]{7,}[\p{L}\p{N}]"
+#: Keys known by how they begin (fixed values).
+_PREFIX = r"(?:sk-|AKIA|gh[pousr]_|xox[abprs]-|AIza|glpat-)"
+SECRET = (rf"{_KEYWORD}[\"']?{_LOOSE}[=:]{_LOOSE}\"[^\"\s]{{8,}}\""
+          rf"|{_KEYWORD}[\"']?[ \t]*[=:]{{1,2}}>?[ \t]*'[^'\s]{{8,}}'"
+          rf"|{_KEYWORD}={_BARE}"
+          rf"|{_KEYWORD}[ \t]*[=:]{{1,2}}>?[ \t]*(?=[^\s\"',;<>()]*\d){_BARE}"
+          rf"|(?<![\p{{L}}\p{{N}}]){_PREFIX}[A-Za-z0-9_\-]{{15,}}[A-Za-z0-9]")
 #: Titles by gender (fixed values).
 MALE = r"Mr\.|MR\.|Herr|HERR|Sr\.|SR\.|Monsieur|MONSIEUR|г-н|Г-н|Г-Н"
 FEMALE = (r"Mrs\.|MRS\.|Ms\.|MS\.|Miss|MISS|Frau|FRAU|Sra\.|SRA\.|Mme|MME|Madame|MADAME"
@@ -52,9 +76,9 @@ _WORD = (r"\p{Lu}[\p{L}\p{M}]*"
          r"(?:-[\p{L}\p{M}]+|['’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*")
 _NAME_WORD = rf"(?:{PARTICLE} )*(?:{_INITIAL}|{_WORD})"
 NAME = rf"(?<!\p{{L}}){TITLE}{_NAME_WORD}(?: {_NAME_WORD})*"
-PATTERN = "|".join((SECRET, EMAIL, IP, PHONE, CARD, NAME))
+PATTERN = "|".join((SECRET, EMAIL, IP6, IP, PHONE, CARD, NAME))
 #: Any entity holds one of these; other texts are not searched.
-HINT = rf"[0-9@\"]|{TITLE}"
+HINT = rf"[0-9@\"]|{_KEYWORD}|{_PREFIX}|{TITLE}"
 #: Surrogate names (fixed values) by gender and script.
 GIVEN = {
     "m": ("Adam", "Bruno", "Conrad", "Dario", "Emil", "Felix", "Gustav", "Hugo", "Ivo", "Julian",
@@ -98,6 +122,8 @@ def _kind(mention: Column) -> Column:
     return (F.when(mention.rlike(rf"^(?:{SECRET})$"), F.when(
                 _secret(mention).rlike(r"[\p{L}\p{N}]"), "secret"))
             .when(mention.contains("@"), "email")
+            .when(mention.rlike(rf"^(?:{IP6})$"), F.when(mention.rlike("[0-9]") & (
+                F.size(F.filter(F.split(mention, ":"), lambda x: x != "")) <= 8), "ip6"))
             .when(mention.rlike(r"^\d+\.\d+\.\d+\.\d+$"),
                   F.when(F.forall(octets, lambda x: x <= 255), "ip"))
             .when(mention.rlike(whole), "phone")
@@ -108,12 +134,30 @@ def _kind(mention: Column) -> Column:
 
 
 def _secret(mention: Column) -> Column:
-    return F.regexp_extract(mention, "\"([^\"]+)\"", 1)
+    """What is secret in a match: without keyword, quotes and known beginning."""
+    return (F.when(mention.endswith("\""), F.regexp_extract(mention, "\"([^\"]+)\"$", 1))
+            .when(mention.endswith("'"), F.regexp_extract(mention, "'([^']+)'$", 1))
+            .when(mention.rlike(rf"^{_PREFIX}"), F.regexp_replace(mention, rf"^{_PREFIX}", ""))
+            .otherwise(F.regexp_extract(mention, r"[=:]{1,2}>?[ \t]*([^\s\"',;<>()]+)$", 1)))
 
 
 def _national(mention: Column) -> Column:
-    """The last ten digits: the same number with and without its country is one entity."""
-    return F.right(_digits(mention), F.lit(10))
+    """The digits without country code and leading zero: the same number with and without its
+    country is one entity."""
+    digits = F.regexp_replace(_digits(mention), "^00", "")
+    abroad = mention.startswith("+") | mention.startswith("00")
+    return F.regexp_replace(F.when(abroad, F.regexp_replace(
+        digits, rf"^(?:{COUNTRY}|\d{{3}})", "")).otherwise(digits), "^0", "")
+
+
+def _written_out(address: Column) -> Column:
+    """An IPv6 address as eight groups of four lower-case digits."""
+    halves = F.split(F.lower(address), "::")
+    first, rest = [F.filter(F.split(F.coalesce(F.get(halves, F.lit(k)), F.lit("")), ":"),
+                            lambda x: x != "") for k in (0, 1)]
+    zeros = F.array_repeat(F.lit("0"), 8 - F.size(first) - F.size(rest))
+    return F.array_join(F.transform(F.concat(first, zeros, rest),
+                                    lambda x: F.lpad(x, 4, "0")), ":")
 
 
 def _bare(name: Column) -> Column:
@@ -140,7 +184,7 @@ def _parts(kind: Column, mention: Column) -> Column:
                 .when(~word.rlike(rf"^{PARTICLE}$"), entity(group, F.lower(word))))
 
     plain = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", _secret(mention))
-             .when(kind == "ip", mention).when(kind == "phone", _national(mention))
+             .when(kind == "ip6", _written_out(mention)).when(kind == "ip", mention).when(kind == "phone", _national(mention))
              .otherwise(_digits(mention)))
     return F.when(kind == "name", F.transform(words, part)).otherwise(F.array(entity(kind, plain)))
 
@@ -201,12 +245,15 @@ def _drawn(key: str, kind: Column, canon: Column, attempt: Column, stream: Colum
     email = F.concat(
         _shaped(F.substr(canon, F.lit(1), at - 1), stream, letters), pieces(list(letters), more),
         F.lit("@"), _shaped(host, _stream(key, F.lit("domain"), domain), letters), top)
+    groups = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(7)), lambda i: F.substr(
+        stream, i * 4 + 1, F.lit(4))), ":")
     hexadecimal = canon.rlike("^[0-9a-fA-F]+$")
     secret = F.concat(
         F.when(hexadecimal, _shaped(canon, stream, "abcdef")).otherwise(
             _shaped(canon, stream, letters)), pieces(list("abcdef"), more))
     out = (F.when(kind == "email", email).when(kind == "phone", phone)
            .when(kind == "card", F.concat(body, last.cast("string"))).when(kind == "ip", address)
+           .when(kind == "ip6", F.concat(F.lit("2"), F.substring(stream, 1, 3), F.lit(":"), groups))
            .when(kind == "secret", secret))
     for group, names in GIVEN.items():
         pick = F.element_at(F.array(*map(F.lit, names)), value(0) % len(names) + 1)
@@ -232,7 +279,9 @@ def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
     # Digits that a widened surrogate has beyond the mention's.
     longer = F.substr(number, F.length(_digits(mention)) + 1, F.length(number))
     title = F.regexp_extract(mention, f"^({TITLE})", 1)
-    quoted = F.concat(F.regexp_extract(mention, "^([^\"]*\")", 1), first, F.lit("\""))
+    quote = F.regexp_extract(mention, "([\"'])$", 1)
+    lead = F.length(mention) - F.length(_secret(mention)) - F.length(quote)
+    quoted = F.concat(F.substr(mention, F.lit(1), lead), first, quote)
 
     def word(old: Column, i: Column) -> Column:
         new = F.try_element_at(surrogates, i)
@@ -240,7 +289,7 @@ def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
         return F.coalesce(F.when((F.length(old) > 1) & _upper(old), F.upper(dotted))
                           .otherwise(dotted), old)
 
-    return (F.when(kind == "email", F.when(_upper(mention), F.upper(first)).otherwise(first))
+    return (F.when(kind.isin("email", "ip6"), F.when(_upper(mention), F.upper(first)).otherwise(first))
             .when(kind.isin("phone", "card"), F.concat(F.array_join(digit, ""), longer))
             .when(kind == "secret", quoted).when(kind == "ip", first)
             .otherwise(F.concat(title, F.array_join(F.transform(

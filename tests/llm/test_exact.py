@@ -423,6 +423,30 @@ def test_small_spaces_and_masks_do_not_block(spark):
         assert len(set(new)) == len(set(old)) and not set(old) & set(new)
 
 
+def test_forms_of_numbers_and_secrets(spark):
+    found = ("+49 30 1234567", "+33 1 23 45 67 89", "+44 20 7946 0958", "509 555 6973",
+             "0171/1234567", "01.23.45.67.89", "+49 (0)30 1234567", "0049 30 1234567",
+             "3782 822463 10005", "password=hunter2xyz", "password: 'hunter2xyz'",
+             '"api_key": "abcdefgh1"', "passwort: geheim123", "sk-abcdefghijklmnop1234",
+             "2001:db8::ff00:42:8329", "2001:DB8:0:0:0:FF00:42:8329")
+    kept = ("01.02.2024", "01.02.24 10:30", "2024-05-06", "3782 822463 10006", "12:34:56",
+            "the secret: everything", "999.1.1.1", "1,234,567", "add::bed")
+    got = replaced(spark, *[f"so {x} is" for x in found + kept])
+    for old, new in zip(found, got):
+        assert new.startswith("so ") and new.endswith(" is") and old not in new
+        for part in ("hunter2xyz", "abcdefgh1", "geheim123", "abcdefghijklmnop1234", "1234567"):
+            assert part not in new, (old, new)
+    assert got[len(found):] == [f"so {x} is" for x in kept]
+    text, = replaced(spark, "+49 30 1234567, 030 1234567, +49 (0)30 1234567; 2001:db8::1, "
+                     "2001:0db8:0:0:0:0:0:1; password=hunter2xyz, token: 'hunter2xyz'")
+    phones, addresses, secrets = text.split("; ")
+    digits = [re.sub(r"\D", "", x) for x in phones.split(", ")]
+    assert [x[-9:] for x in digits] == [digits[0][-9:]] * 3
+    assert [x[:-9] for x in digits] == ["49", "0", "490"]
+    assert len(set(addresses.split(", "))) == 1
+    assert re.fullmatch(r"password=(\w+), token: '\1'", secrets)
+
+
 def test_forward_sums_over_all_segmentations():
     pieces = language.n_pieces()
     p = np.random.default_rng(1).dirichlet(np.ones(pieces), 2).T
