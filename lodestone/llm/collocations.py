@@ -5,11 +5,17 @@ piece, nulls where the piece ends). Only these longest windows are counted. The
 phrases are sums of them: an occurrence of a phrase is the beginning of exactly one window, so a
 ROLLUP over the lead columns adds the windows up to each prefix, and no n-gram is exploded twice.
 
-Windows are counted within batches of bounded size in the tasks and again by Spark before and
-after its shuffle, on all of their words, so a phrase in a third of all texts is a few rows for
-each task. A phrase of ``min_count`` occurrences consists of parts that occur as often, so
-everything after the ROLLUP reads the frequent phrases only. Counts are sums over all texts, and the
-scores are computed in decimals of 38 digits (exact while 1000000 * a * a stays below 1e38).
+Windows are counted within batches of bounded size in the tasks, travel as one string each, in
+sorted order, and are dealt by ranges of that order, so a phrase in a third of all texts is a few
+rows for each task, and a prefix of many windows is split. There equal windows are added up. Most
+of them are rare: the last word of a window below ``min_count``, and the second last one where the
+whole prefix lies inside one range and is below it as well, is put to null before the ROLLUP. That
+moves no count of a phrase of ``min_count`` occurrences or more, since such windows stay in the sum of
+all their other prefixes, and leaves little to shuffle.
+
+A phrase of ``min_count`` occurrences consists of parts that occur as often, so everything after the
+ROLLUP reads the frequent phrases only. Counts are sums over all texts, and the scores are computed
+in decimals of 38 digits (exact while 1000000 * a * a stays below 1e38).
 
 Defined cases: a null or empty text, and one of separators only, has no words; a null language is
 ``und``; repeated rows, and rows without an id, count as often as they stand there; very long texts
@@ -19,7 +25,8 @@ columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +38,7 @@ from lodestone.session import cut_lineage
 
 SPACES = " \t"
 BREAKS = ".,;:!?\n\v\f\r"
-SLICE = 1 << 24  # bytes whose windows are counted at once
+SLICE = 1 << 22  # bytes whose windows are counted at once
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[list(SPACES.encode())] = 1
@@ -100,21 +107,36 @@ def windows_of(data: bytes, width: int, size: int = SLICE) -> Iterator[pa.Table]
     yield counted_windows(data[at:], width)[0]
 
 
-def window_counts(docs: DataFrame, width: int, text: str = "text", lang: str = "lang") -> DataFrame:
-    """``_lang, w1 ... w<width>, _n``: the longest windows of all texts and their number.
+# Bytes below the blank would break the order of windows by their words; 0x7f marks their stand-ins.
+_ESCAPES = {chr(c): "\x7f" + chr(c + 64) for c in range(32)} | {"\x7f": "\x7f\x7f"}
+_ODD = "[\x00-\x1f\x7f]"
 
-    A window is shuffled as one string of its words, and each batch of them in sorted order: such
-    rows take a half of the space of rows with a column for each word.
-    """
-    names = [f"w{k + 1}" for k in range(width)]
 
+def _translated(strings: pa.Array, pattern: str, new: Callable[[re.Match], str]) -> pa.Array:
+    if not pc.any(pc.match_substring_regex(strings, pattern)).as_py():
+        return strings
+    return pa.array([s if s is None else re.sub(pattern, new, s) for s in strings.to_pylist()],
+                    pa.string())
+
+
+def _escaped(strings: pa.Array) -> pa.Array:
+    return _translated(strings, _ODD, lambda m: _ESCAPES[m[0]])
+
+
+def _plain(strings: pa.Array) -> pa.Array:
+    return _translated(strings, "\x7f.", lambda m: "\x7f" if m[0][1] == "\x7f" else chr(ord(m[0][1]) - 64))
+
+
+def window_counts(docs: DataFrame, width: int, text: str = "text", lang: str = "lang") -> DataFrame:
+    """``_lang, _window, _n``: the longest windows of all texts, counted by batch, each as one string."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list[bytes]] = {}
         size = 0
 
         def out(lang: str, table: pa.Table) -> Iterator[pa.RecordBatch]:
             for part in table.to_batches(65_536):
-                window = pc.binary_join_element_wise(*part.columns[:width], " ", null_handling="skip")
+                words = [_escaped(c) for c in part.columns[:width]]
+                window = pc.binary_join_element_wise(*words, " ", null_handling="skip")
                 yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(part)), window, part["n"]],
                                                  ["_lang", "_window", "_n"])
 
@@ -138,16 +160,78 @@ def window_counts(docs: DataFrame, width: int, text: str = "text", lang: str = "
                     held, size = {}, 0
         yield from flush()
 
-    found = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("_lang"),
-                        F.col(text).alias("_text")).mapInArrow(
-                            count, "_lang string, _window string, _n long")
-    words = F.split("_window", " ")
-    # By ranges, so that the windows of a prefix meet without their number being bound to one task.
-    found = found.repartitionByRange("_lang", "_window")
-    counted = found.groupBy("_lang", "_window").agg(F.sum("_n").alias("_n"))
-    # Sorted rows make the sums of the prefixes small to shuffle, too.
-    return counted.sortWithinPartitions("_lang", "_window").select(
-        "_lang", *[F.get(words, F.lit(k)).alias(c) for k, c in enumerate(names)], "_n")
+    return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("_lang"),
+                       F.col(text).alias("_text")).mapInArrow(
+                           count, "_lang string, _window string, _n long")
+
+
+class RareEnds:
+    """Adds up the sorted windows of one range and takes the ends of rare ones off.
+
+    Feed tables ``_window, _lang, _n`` in the order of the windows; each gives a table of the same form
+    whose windows are prefixes. What is open at a table's end (its last window and the rest of its
+    last prefix) is carried to the next one. The first and the last prefix of a range may go on in
+    others and keep their words.
+    """
+
+    def __init__(self, width: int, min_count: int):
+        self.width, self.min_count = width, min_count
+        self.held: pa.Table | None = None      # rows of the last window
+        self.open: pa.Table | None = None      # _prefix, _lang, _n, _often of the last prefix
+        self.first: str | None = None          # the first prefix
+
+    def feed(self, rows: pa.Table, last: bool = False) -> pa.Table:
+        rows = rows.select(["_window", "_lang", "_n"])
+        if self.held is not None:
+            rows = pa.concat_tables([self.held, rows])
+        self.held = None
+        if not last and len(rows):
+            going_on = pc.equal(rows["_window"], rows["_window"][-1])
+            self.held, rows = _summed(rows.filter(going_on)), rows.filter(pc.invert(going_on))
+        # The last prefix by order; grouping does not keep the order.
+        words = pc.add(pc.count_substring(rows["_window"], " "), 1)
+        ending = rows["_window"].filter(pc.greater_equal(words, self.width - 1))
+        now = _shortened(ending[-1].as_py(), self.width - 1) if len(ending) else (
+            self.open["_prefix"][0].as_py() if self.open is not None else None)
+        if self.first is None and len(ending):
+            self.first = _shortened(ending[0].as_py(), self.width - 1)
+
+        merged = _summed(rows)
+        words = pc.add(pc.count_substring(merged["_window"], " "), 1)
+        inside = pc.greater_equal(words, self.width - 1)
+        often = pc.and_(pc.equal(words, self.width), pc.greater_equal(merged["_n"], self.min_count))
+        kept = merged.filter(pc.or_(often, pc.invert(inside)))
+        inner, words, often = merged.filter(inside), words.filter(inside), often.filter(inside)
+        prefix = pc.if_else(pc.equal(words, self.width), pc.replace_substring_regex(
+            inner["_window"], " [^ ]*$", ""), inner["_window"])
+        rest = pa.table([prefix, inner["_lang"], pc.if_else(often, 0, inner["_n"]),
+                         pc.cast(often, pa.int64())], ["_prefix", "_lang", "_n", "_often"])
+        if self.open is not None:
+            rest = pa.concat_tables([self.open, rest])
+        rest = rest.group_by(["_prefix", "_lang"], use_threads=False).aggregate(
+            [("_n", "sum"), ("_often", "max")]).rename_columns(["_prefix", "_lang", "_n", "_often"])
+        edge = pc.equal(rest["_prefix"], self.first or "")
+        final = pc.equal(rest["_prefix"], now or "")
+        self.open = None
+        if last:
+            edge = pc.or_(edge, final)
+        elif now is not None:
+            self.open, rest = rest.filter(final), rest.filter(pc.invert(final))
+            edge = edge.filter(pc.invert(final))
+        rare = pc.and_(pc.equal(rest["_often"], 0), pc.less(rest["_n"], self.min_count))
+        cut = pc.replace_substring_regex(rest["_prefix"], " [^ ]*$", "")
+        ends = pc.if_else(pc.and_(rare, pc.invert(edge)), cut, rest["_prefix"])
+        found = pa.table([ends, rest["_lang"], rest["_n"]], ["_window", "_lang", "_n"])
+        return _summed(pa.concat_tables([kept, found.filter(pc.greater(rest["_n"], 0))]))
+
+
+def _summed(rows: pa.Table) -> pa.Table:
+    return (rows.group_by(["_window", "_lang"], use_threads=False).aggregate([("_n", "sum")])
+            .rename_columns(["_window", "_lang", "_n"]).combine_chunks())
+
+
+def _shortened(window: str, words: int) -> str:
+    return " ".join(window.split(" ")[:words])
 
 
 def phrase_counts(docs: DataFrame, max_words: int, min_count: int, text: str = "text",
@@ -155,24 +239,38 @@ def phrase_counts(docs: DataFrame, max_words: int, min_count: int, text: str = "
     """``_lang, _words, _phrase, _f``: phrases of 1 to ``max_words`` words that occur ``min_count``
     times or more, and for each language a row of 0 words that holds the number of all words."""
     names = [f"w{k + 1}" for k in range(max_words)]
-    longest = window_counts(docs, max_words, text, lang)
-    whole = sum(F.col(c).isNotNull().cast("int") for c in names)
-    # A test of the words alone would be pushed below the shuffle, which then could not be shared.
-    full = longest.filter(F.when(whole == max_words, F.col("_n")) >= min_count)
-    keys = ["_lang", *names[:-1]]
-    sums = (longest.rollup(*keys).agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_level"))
-            .filter(F.col("_lang").isNotNull()))
-    # The ROLLUP leaves out 0, 1, ... of the last words: its level is 0, 1, 3, 7, ...
-    left = (max_words - 1) - F.bit_count("_level")
-    there = sum(F.col(c).isNotNull().cast("int") for c in names[:-1])
-    sums = sums.filter((there == left) & ((left == 0) | (F.col("_n") >= min_count)))
+    schema = "_lang string, " + ", ".join(f"{c} string" for c in names) + ", _n long"
+
+    def without_rare_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = RareEnds(max_words, min_count)
 
-    def shaped(df: DataFrame, words: list[str]) -> DataFrame:
-        count = sum(F.col(c).isNotNull().cast("int") for c in words)
-        return df.select("_lang", count.alias("_words"),
-                         F.concat_ws(" ", *words).alias("_phrase"), F.col("_n").alias("_f"))
+        def lead(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            for part in table.to_batches():
+                words = pc.split_pattern(part["_window"], " ")
+                columns = [_plain(pc.list_element(pc.list_slice(
+                    words, k, k + 1, return_fixed_size_list=True), 0)) for k in range(max_words)]
+                yield pa.RecordBatch.from_arrays([part["_lang"], *columns, part["_n"]],
+                                                 ["_lang", *names, "_n"])
 
-    return shaped(full, names).unionByName(shaped(sums, names[:-1]))
+        empty = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            empty = table.slice(0, 0)
+            yield from lead(state.feed(table))
+        if empty is not None:
+            yield from lead(state.feed(empty, last=True))
+
+    windows = (window_counts(docs, max_words, text, lang).repartitionByRange("_window", "_lang")
+               .sortWithinPartitions("_window", "_lang"))
+    keys = ["_lang", *names]
+    sums = (windows.mapInArrow(without_rare_ends, schema).rollup(*keys)
+            .agg(F.sum("_n").alias("_f"), F.grouping_id().alias("_level"))
+            .filter(F.col("_lang").isNotNull()))
+    # The ROLLUP leaves out 0, 1, ... of the last words: its level is 0, 1, 3, 7, ...
+    words = sum(F.col(c).isNotNull().cast("int") for c in names)
+    left = max_words - F.bit_count("_level")
+    return (sums.filter((words == left) & ((left == 0) | (F.col("_f") >= min_count)))
+            .select("_lang", words.alias("_words"), F.concat_ws(" ", *names).alias("_phrase"), "_f"))
 
 
 def scored(phrases: DataFrame) -> DataFrame:
