@@ -65,6 +65,33 @@ def basket_pairs(df: DataFrame, basket: str, item: str, min_count: int = 1,
     return counts if min_count <= 1 else counts.filter(F.col("n") >= min_count)
 
 
+def top_pairs(df: DataFrame, basket: str, item: str, k: int, head: int = 256,
+              block: int = BLOCK) -> DataFrame:
+    """The ``k`` commonest item pairs, and perhaps more: all pairs that can be among them.
+
+    A pair is never more frequent than its rarer item. The pairs of the ``head`` commonest items are
+    counted first; the k-th best of them is a floor. If the items outside are rarer than the floor,
+    these pairs are all that is needed; else only items of the floor's support are paired. Where the
+    floor is no help (it is 1), more items come first. A basket of many items thus makes few pairs,
+    and what is left of it is cut into blocks by :func:`basket_pairs`.
+    """
+    items = cut_lineage(basket_items(df, basket, item))
+    support = cut_lineage(item_support(items))
+    kinds = support.count()
+    while True:
+        first = support.orderBy(F.desc("freq"), F.asc("item")).limit(head)
+        common = cut_lineage(basket_pairs(items.join(first.select("item"), "item", "left_semi"),
+                                          "basket", "item", 1, block))
+        best = common.orderBy(F.desc("n")).limit(k).agg(
+            F.count(F.lit(1)).alias("found"), F.min("n").alias("floor")).first()
+        floor = best["floor"] if best["found"] == k else 0
+        if head >= kinds or floor > first.agg(F.min("freq")).first()[0]:
+            return common
+        if floor > 1:
+            return basket_pairs(items, "basket", "item", floor, block)
+        head *= 8
+
+
 def basket_count(df: DataFrame, basket: str, item: str) -> DataFrame:
     """One row: the number of non-empty baskets."""
     return (df.filter(F.col(basket).isNotNull() & F.col(item).isNotNull())

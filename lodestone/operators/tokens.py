@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import as_col, percent, token_array
 from lodestone.operators.aggregate import group_profile
+from lodestone.operators.basket import top_pairs
 
 
 def explode_tokens(df: DataFrame, column: str, sep: str = ",", lower: bool = True,
@@ -70,8 +71,11 @@ def row_pairs(df: DataFrame, column: str, sep: str = ",", lower: bool = True) ->
 
 def pair_cooccurrence(df: DataFrame, column: str, k: int = 50, sep: str = ",",
                       lower: bool = True) -> DataFrame:
-    """The ``k`` commonest token pairs as text "a + b"."""
-    return (row_pairs(df, column, sep, lower)
+    """The ``k`` commonest token pairs as text "a + b"; see :func:`top_pairs` for what is counted."""
+    rows = df.select(F.monotonically_increasing_id().alias("row"),
+                     token_array(column, sep, lower, distinct=True).alias("_t"))
+    rows = rows.select("row", F.explode("_t").alias("token"))
+    return (top_pairs(rows, "row", "token", k)
             .select(F.concat_ws(" + ", "a", "b").alias("pair"), "n")
             .orderBy(F.desc("n"), F.asc("pair")).limit(k))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestone.functions.columns import combine_text, first_match, flag_label, scaled, whitelist
 from lodestone.operators import aggregate as agg
-from lodestone.operators import clean, joins, tokens, window
+from lodestone.operators import clean, joins, paging, tokens, window
 from lodestone.operators.quantiles import exact_quantiles
 from lodestone.plans.registry import Tables, query
 
@@ -263,6 +263,20 @@ def page_slice(t: Tables):
     return clean.paginate(t.customer, "c_acctbal", "c_custkey", ascending=False, page=3, size=20)
 
 
+@query("page_deep", """
+SELECT l_orderkey * 10 + l_linenumber AS line, l_quantity, flag,
+  (SELECT count(*) FROM lineitem) AS total_rows
+FROM (SELECT *, l_returnflag AS flag FROM lineitem)
+ORDER BY l_quantity DESC NULLS LAST, line LIMIT 25
+OFFSET (SELECT (count(*) * 3 // 5 // 25) * 25 FROM lineitem)""")
+def page_deep(t: Tables):
+    """A page behind three fifths of all lines, sorted by a column of few values."""
+    lines = t.lineitem.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line"),
+                              "l_quantity", F.col("l_returnflag").alias("flag"))
+    page = lines.count() * 3 // 5 // 25 + 1
+    return paging.deep_page(lines, "l_quantity", "line", ascending=False, page=page, size=25)
+
+
 @query("classify", """
 SELECT p_partkey,
   CASE WHEN contains(p_name, 'ring') OR contains(p_name, 'gear') THEN 'Moving'

@@ -12,9 +12,10 @@ from lodestone.plans.queries_aggregate import BRACKET_SQL, PRICE_EDGES, PRICE_LA
 from lodestone.plans.registry import Tables, query
 from lodestone.session import scratch_path
 from lodestone.sources import catalog, readers, report, writers
+from lodestone.sources.keyed import KeyedTable
 from lodestone.sources.snapshots import SnapshotStore, retire_old
 from lodestone.sources.versioned import VersionedTable
-from lodestone.streaming.ingest import ingest_new, start_ingest, stream_files
+from lodestone.streaming.ingest import ingest_new, start_ingest, start_keyed_ingest, stream_files
 
 CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_TYPES = {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
@@ -214,7 +215,7 @@ def insert_if_absent(t: Tables):
     return tb.insert_if_absent(t.customer.filter("c_acctbal > 0"), _source(t), "c_custkey")
 
 
-@query("upsert", """
+UPSERT = """
 WITH ch AS (SELECT o_custkey AS k, round(max(o_totalprice), 2) AS bal, NULL::VARCHAR AS seg
             FROM orders GROUP BY o_custkey
             UNION ALL SELECT s_suppkey + 1000000000, s_acctbal, 'SUPPLIER' FROM supplier)
@@ -223,17 +224,56 @@ SELECT coalesce(c_custkey, k) AS c_custkey, c_name, c_nationkey,
   CASE WHEN coalesce(c_acctbal, 0) < 0 THEN c_mktsegment ELSE coalesce(seg, c_mktsegment) END
     AS c_mktsegment,
   CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS is_deleted
-FROM customer FULL JOIN ch ON c_custkey = k""")
+FROM customer FULL JOIN ch ON c_custkey = k"""
+
+
+@query("upsert", UPSERT)
 def upsert(t: Tables):
     """Customers in debt count as deleted and stay untouched."""
-    target = t.customer.withColumn("is_deleted", (F.col("c_acctbal") < 0).cast("int"))
+    return tb.upsert(_flagged_customers(t), _changes(t), "c_custkey")
+
+
+def _flagged_customers(t: Tables):
+    return t.customer.withColumn("is_deleted", (F.col("c_acctbal") < 0).cast("int"))
+
+
+def _changes(t: Tables):
+    """The largest order of every customer as its balance; sellers under new keys."""
     spent = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.round(F.max("o_totalprice"), 2).alias("c_acctbal"))
     sellers = t.supplier.select((F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"),
                                 F.col("s_acctbal").alias("c_acctbal"),
                                 F.lit("SUPPLIER").alias("c_mktsegment"))
-    changes = spent.unionByName(sellers, allowMissingColumns=True)
-    return tb.upsert(target, changes, "c_custkey")
+    return spent.unionByName(sellers, allowMissingColumns=True)
+
+
+@query("upsert_keyed", UPSERT)
+def upsert_keyed(t: Tables):
+    """The same changes in two rounds on a stored table that is dealt by its key."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), "c_custkey", 16)
+    table.create(_flagged_customers(t))
+    changes = _changes(t)
+    sold = F.col("c_mktsegment").isNotNull()
+    table.upsert(changes.filter(sold))
+    table.upsert(changes.filter(~sold))
+    return table.read()
+
+
+@query("delete_keyed", f"""
+WITH {IDLE} SELECT c_custkey, CASE WHEN c_nationkey = 3 THEN 1 ELSE 0 END AS is_deleted
+FROM customer WHERE c_custkey NOT IN (SELECT * FROM idle)
+UNION ALL SELECT c_custkey, 2 FROM customer
+WHERE c_nationkey = 3 AND c_custkey NOT IN (SELECT * FROM idle)""")
+def delete_keyed(t: Tables):
+    """Hard and soft deletes on a table dealt by its key; the audit rows count as 2."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), "c_custkey", 16)
+    audit = VersionedTable(t.spark, scratch_path(t.spark, "audit"))
+    table.create(_stored(t))
+    table.hard_delete(_idle(t))
+    for _ in range(2):
+        table.soft_delete(t.customer.filter("c_nationkey = 3"), "moved", audit, _changed())
+    return table.read().select("c_custkey", "is_deleted").unionByName(
+        audit.read().select("c_custkey", F.lit(2).alias("is_deleted")))
 
 
 @query("set_field", f"""
@@ -369,3 +409,35 @@ def ingest_stream(t: Tables):
         start_ingest(stream, table, "o_orderkey", checkpoint).awaitTermination()
         writers.write_parquet(t.orders, inbox, mode="append")
     return table.read()
+
+
+@query("ingest_keyed", f"WITH {SOURCE} SELECT * FROM source")
+def ingest_keyed(t: Tables):
+    """The three batches of ``ingest_new`` into a table dealt by its key."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "ingest-keyed"), "c_custkey", 16)
+    ingest_new(t.customer.drop("c_mktsegment"), table, "c_custkey")
+    ingest_new(_source(t).unionByName(_source(t)), table, "c_custkey")
+    ingest_new(_source(t), table, "c_custkey")
+    return table.read()
+
+
+@query("ingest_keyed_stream", """
+SELECT * FROM orders UNION ALL
+SELECT NULL, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""")
+def ingest_keyed_stream(t: Tables):
+    """Orders twice as a file stream with a state for each key, some of them loaded before; rows
+    without a key are kept apart."""
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed-stream"), "o_orderkey", 16)
+    rejected = VersionedTable(t.spark, scratch_path(t.spark, "keyless"))
+    checkpoint = scratch_path(t.spark, "stream-checkpoint")
+    inbox = scratch_path(t.spark, "inbox")
+    table.create(t.orders.filter("o_orderstatus = 'P'"))
+    urgent = t.orders.filter("o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+    writers.write_parquet(t.orders.unionByName(urgent.withColumn(
+        "o_orderkey", F.lit(None).cast("long"))), inbox, mode="append")
+    for _ in range(2):
+        stream = stream_files(t.spark, inbox, t.orders.schema)
+        start_keyed_ingest(stream, table, checkpoint, rejected=rejected).awaitTermination()
+        writers.write_parquet(t.orders, inbox, mode="append")
+    return table.read().unionByName(rejected.read())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import english_stop_words, words
 from lodestone.functions.wordlists import BENEFIT_PATTERNS, SOFT_SKILL_PATTERNS
 from lodestone.operators import aggregate as agg
-from lodestone.operators import basket, graph, similarity, text, tokens
+from lodestone.operators import balls, basket, graph, similarity, text, tokens
 from lodestone.plans.registry import Tables, query
 from lodestone.session import cut_lineage
 
@@ -239,6 +239,12 @@ def similar_top_k(t: Tables):
                                     5)
 
 
+@query("similar_balls", f"WITH {LABEL_MEANS} SELECT * FROM best")
+def similar_balls(t: Tables):
+    """The same result by an index that skips most of the vectors."""
+    return balls.ball_top_k(label_means(t), t.embeddings, "query", "vec_id", "embedding", 5, balls=32)
+
+
 PATTERNS = {**BENEFIT_PATTERNS, **SOFT_SKILL_PATTERNS, "digits": "[0-9]{4}",
             "address": r"[a-z0-9.]+@[a-z0-9.]+", "the": "(^| )the ", "und": "(^| )und "}
 

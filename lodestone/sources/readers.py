@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from lodestone.operators.clean import typed
+from lodestone.sources.csv_records import read_csv_split
 
 Schema = StructType | str | None
 
@@ -25,11 +26,12 @@ def read_csv_typed(spark: SparkSession, path: str, types: Mapping[str, str],
                    line_breaks: bool = True) -> DataFrame:
     """Quoted UTF-8 CSV: read as text, then cast by column; bad text becomes null.
 
-    With ``line_breaks`` a field may hold line breaks, and then a file is one task. Turn it off
-    where no field does: large files are then split.
+    With ``line_breaks`` a field may hold line breaks; large files are split all the same, for
+    which they are read twice (see :mod:`lodestone.sources.csv_records`). Turn it off where no
+    field does.
     """
-    raw = spark.read.csv(path, header=True, multiLine=line_breaks, escape='"', encoding="utf-8",
-                         inferSchema=False)
+    raw = read_csv_split(spark, path) if line_breaks else spark.read.csv(
+        path, header=True, escape='"', encoding="utf-8", inferSchema=False)
     return typed(raw, types).select(*types)
 
 
