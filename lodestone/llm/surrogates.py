@@ -1,7 +1,7 @@
 """Replace personal data by keyed surrogates of the same type, gender, script and format.
 
 Entities are found by patterns (e-mail addresses, telephone numbers, payment cards that pass their
-check digit, IPv4 and IPv6 addresses, secrets, names behind a title). Every distinct entity of the
+check digit, account numbers (IBAN) that pass theirs, IPv4 and IPv6 addresses, secrets, names behind a title). Every distinct entity of the
 corpus gets one surrogate from a keyed hash, so all its mentions agree (coreference), whatever
 their format: a mention's own separators and letter case are kept. Surrogates are then checked:
 one that is also an original, or that two entities drew, is drawn again with the next counter until
@@ -9,7 +9,7 @@ all are distinct, given names too. Later attempts draw from more values (further
 or digits), so small spaces of names, initials, addresses, numbers or secrets never block; cards and
 IP addresses keep their length, and are drawn again as long as values are free. Only SQL functions run here; nothing is collected or broadcast by hand.
 
-Names: any number of words behind a title, with inner capitals, hyphens, apostrophes, initials and
+Names: up to six words behind a title, with inner capitals, hyphens, apostrophes, initials and
 particles (``von``, ``de``), in any case. Every word is an entity of its own, the last one the
 family name, so that a person met by family name alone keeps the surrogate; particles stay. A full
 name found so is also replaced where the same document repeats it without the title (if several
@@ -31,7 +31,13 @@ from lodestone.llm.carry import packed, unpacked
 from lodestone.session import cut_lineage
 
 _GAP = r"[^\p{L}\p{N}+]{1,8}"
-EMAIL = r"[\p{L}\p{N}._%+\-]+@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+# Java matches a repeated group by recursion, so every repeat of a group is bounded; runs of one
+# class are not, but may only begin where the run does.
+_LOCAL = r"[\p{L}\p{N}._%+\-]"
+_LABEL = r"[\p{L}\p{N}\-]{1,63}"
+EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@{_LABEL}(?:\.{_LABEL}){{0,30}}\.\p{{L}}{{2,63}}"
+IBAN = (r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?"
+        r"(?![\p{L}\p{N}])")
 #: What may stand between two digits of a telephone number.
 _SEP = r"(?:[ \u00a0./\-–]|[ \u00a0]?\(|\)[ \u00a0./\-]?)"
 _DATE = (r"(?:\d{1,2}[./\-]\d{1,2}[./\-](?:(?:19|20)\d{2}(?!\d)|\d{2}(?![./\-]?\d))"
@@ -71,12 +77,12 @@ TITLE = rf"(?:{MALE}|{FEMALE}) "
 #: Words of a name that stay (fixed values).
 PARTICLE = (r"(?i:von|vom|van|der|den|de|del|della|di|da|dos|das|do|du|des|la|las|los|le|el|al|bin"
             r"|ben|ibn|zu|zur|zum|ter|ten)")
-_INITIAL = r"\p{Lu}\.(?:-?\p{Lu}\.)*"
+_INITIAL = r"\p{Lu}\.(?:-?\p{Lu}\.){0,5}"
 _WORD = (r"\p{Lu}[\p{L}\p{M}]*"
-         r"(?:-[\p{L}\p{M}]+|['’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+)*")
-_NAME_WORD = rf"(?:{PARTICLE} )*(?:{_INITIAL}|{_WORD})"
-NAME = rf"(?<!\p{{L}}){TITLE}{_NAME_WORD}(?: {_NAME_WORD})*"
-PATTERN = "|".join((SECRET, EMAIL, IP6, IP, PHONE, CARD, NAME))
+         r"(?:-[\p{L}\p{M}]+|['’](?![sS](?![\p{L}\p{M}]))[\p{L}\p{M}]+){0,5}")
+_NAME_WORD = rf"(?:{PARTICLE} ){{0,4}}(?:{_INITIAL}|{_WORD})"
+NAME = rf"(?<!\p{{L}}){TITLE}{_NAME_WORD}(?: {_NAME_WORD}){{0,5}}"
+PATTERN = "|".join((SECRET, EMAIL, IP6, IP, IBAN, PHONE, CARD, NAME))
 #: Any entity holds one of these; other texts are not searched.
 HINT = rf"[0-9@\"]|{_KEYWORD}|{_PREFIX}|{TITLE}"
 #: Surrogate names (fixed values) by gender and script.
@@ -87,6 +93,10 @@ GIVEN = {
           "Karla", "Laura", "Maria", "Nora", "Olga", "Paula"),
     "mc": ("Антон", "Борис", "Виктор", "Глеб", "Денис", "Егор", "Иван", "Кирилл", "Лев", "Марк",
            "Никита", "Олег", "Павел", "Роман", "Семён", "Фёдор"),
+    "mg": ("Αλέξης", "Βασίλης", "Γιάννης", "Δημήτρης", "Ηλίας", "Θωμάς", "Κώστας", "Λευτέρης",
+           "Μάριος", "Νίκος", "Ορέστης", "Παύλος", "Σπύρος", "Τάσος", "Φίλιππος", "Χρήστος"),
+    "fg": ("Άννα", "Βασιλική", "Γεωργία", "Δήμητρα", "Ελένη", "Ζωή", "Ηρώ", "Ιωάννα", "Κατερίνα",
+           "Λυδία", "Μαρία", "Νίκη", "Όλγα", "Ρένα", "Σοφία", "Χριστίνα"),
     "fc": ("Анна", "Вера", "Галина", "Дарья", "Елена", "Жанна", "Зоя", "Ирина", "Клара", "Лидия",
            "Мария", "Нина", "Ольга", "Полина", "Софья", "Юлия"),
 }
@@ -95,8 +105,13 @@ SYLLABLES = {
               "sal", "tor", "ven", "wil"),
     "cyrillic": ("ба", "ден", "фил", "гор", "хан", "яс", "кел", "лор", "мар", "нел", "пол", "рос",
                  "сал", "тор", "вен", "вил"),
+    "greek": ("βα", "δεν", "φιλ", "γορ", "χαν", "ιασ", "κελ", "λορ", "μαρ", "νελ", "πολ", "ροσ",
+              "σαλ", "τορ", "βεν", "ζιλ"),
 }
-INITIALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ"}
+INITIALS = {"latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЭЮЯ",
+            "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
+#: Endings of the keys of GIVEN by script.
+ENDING = {"latin": "", "cyrillic": "c", "greek": "g"}
 
 
 def _digits(c: Column) -> Column:
@@ -115,6 +130,23 @@ def _luhn(digit: Column, place: Column) -> Column:
     return F.when(place % 2 == 1, digit).otherwise(twice - F.when(twice > 9, 9).otherwise(0))
 
 
+def _mod97(number: Column) -> Column:
+    """The remainder by 97 of a number with letters (A is 10, ..., Z is 35), for account numbers."""
+    return F.aggregate(F.split(number, ""), F.lit(0), lambda total, c: F.when(
+        c == "", total).when(c.rlike("[0-9]"), (total * 10 + c.cast("int")) % 97).otherwise(
+            (total * 100 + F.ascii(c) - 55) % 97))
+
+
+def _account(mention: Column) -> Column:
+    return F.replace(mention, F.lit(" "), F.lit(""))
+
+
+def _is_account(mention: Column) -> Column:
+    plain = _account(mention)
+    return F.length(plain).between(15, 34) & (_mod97(F.concat(
+        F.substr(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+
 def _kind(mention: Column) -> Column:
     """The type of a match, or null if a closer look rejects it."""
     octets = F.transform(F.split(mention, r"\."), lambda x: x.cast("int"))
@@ -126,6 +158,7 @@ def _kind(mention: Column) -> Column:
                 F.size(F.filter(F.split(mention, ":"), lambda x: x != "")) <= 8), "ip6"))
             .when(mention.rlike(r"^\d+\.\d+\.\d+\.\d+$"),
                   F.when(F.forall(octets, lambda x: x <= 255), "ip"))
+            .when(mention.rlike(rf"^(?:{IBAN})$"), F.when(_is_account(mention), "iban"))
             .when(mention.rlike(whole), "phone")
             .when(mention.rlike(r"^[\d \-]+$"), F.when(
                 (F.length(_digits(mention)) >= 13) & (_check_sum(_digits(mention)) % 10 == 0),
@@ -135,10 +168,11 @@ def _kind(mention: Column) -> Column:
 
 def _secret(mention: Column) -> Column:
     """What is secret in a match: without keyword, quotes and known beginning."""
-    return (F.when(mention.endswith("\""), F.regexp_extract(mention, "\"([^\"]+)\"$", 1))
-            .when(mention.endswith("'"), F.regexp_extract(mention, "'([^']+)'$", 1))
-            .when(mention.rlike(rf"^{_PREFIX}"), F.regexp_replace(mention, rf"^{_PREFIX}", ""))
-            .otherwise(F.regexp_extract(mention, r"[=:]{1,2}>?[ \t]*([^\s\"',;<>()]+)$", 1)))
+    inner = (F.when(mention.endswith("\""), F.regexp_extract(mention, "\"([^\"]+)\"$", 1))
+             .when(mention.endswith("'"), F.regexp_extract(mention, "'([^']+)'$", 1))
+             .when(mention.rlike(rf"^{_PREFIX}"), mention)
+             .otherwise(F.regexp_extract(mention, r"[=:]{1,2}>?[ \t]*([^\s\"',;<>()]+)$", 1)))
+    return F.regexp_replace(inner, rf"^{_PREFIX}", "")
 
 
 def _national(mention: Column) -> Column:
@@ -174,9 +208,10 @@ def _parts(kind: Column, mention: Column) -> Column:
         return F.struct(kind.alias("type"), text.alias("canon"))
 
     def part(word: Column, i: Column) -> Column:
-        cyrillic = word.rlike(r"\p{IsCyrillic}")
-        script = F.when(cyrillic, "cyrillic").otherwise("latin")
-        group = F.concat(F.lit("given-"), gender, F.when(cyrillic, "c").otherwise(""))
+        script = (F.when(word.rlike(r"\p{IsCyrillic}"), "cyrillic")
+                  .when(word.rlike(r"\p{IsGreek}"), "greek").otherwise("latin"))
+        group = F.concat(F.lit("given-"), gender, F.when(script == "cyrillic", "c").when(
+            script == "greek", "g").otherwise(""))
         last = i == F.size(words) - 1
         return (F.when(word.rlike(rf"^{_INITIAL}$"), entity(
                     F.concat(F.lit("initial-"), script), F.regexp_replace(word, r"\.$", "")))
@@ -184,7 +219,8 @@ def _parts(kind: Column, mention: Column) -> Column:
                 .when(~word.rlike(rf"^{PARTICLE}$"), entity(group, F.lower(word))))
 
     plain = (F.when(kind == "email", F.lower(mention)).when(kind == "secret", _secret(mention))
-             .when(kind == "ip6", _written_out(mention)).when(kind == "ip", mention).when(kind == "phone", _national(mention))
+             .when(kind == "ip6", _written_out(mention)).when(kind == "ip", mention)
+             .when(kind == "iban", _account(mention)).when(kind == "phone", _national(mention))
              .otherwise(_digits(mention)))
     return F.when(kind == "name", F.transform(words, part)).otherwise(F.array(entity(kind, plain)))
 
@@ -251,13 +287,17 @@ def _drawn(key: str, kind: Column, canon: Column, attempt: Column, stream: Colum
     secret = F.concat(
         F.when(hexadecimal, _shaped(canon, stream, "abcdef")).otherwise(
             _shaped(canon, stream, letters)), pieces(list("abcdef"), more))
+    country = F.substring(canon, 1, 2)
+    number = _shaped(F.substr(canon, F.lit(5), size), stream, letters)
+    proof = F.lpad((98 - _mod97(F.concat(number, country, F.lit("00")))).cast("string"), 2, "0")
     out = (F.when(kind == "email", email).when(kind == "phone", phone)
+           .when(kind == "iban", F.concat(country, proof, number))
            .when(kind == "card", F.concat(body, last.cast("string"))).when(kind == "ip", address)
            .when(kind == "ip6", F.concat(F.lit("2"), F.substring(stream, 1, 3), F.lit(":"), groups))
            .when(kind == "secret", secret))
     for group, names in GIVEN.items():
         pick = F.element_at(F.array(*map(F.lit, names)), value(0) % len(names) + 1)
-        parts = SYLLABLES["cyrillic" if group.endswith("c") else "latin"]
+        parts = SYLLABLES[next(n for n, e in ENDING.items() if group[1:] == e)]
         out = out.when(kind == f"given-{group}", F.when(attempt < 2, pick).otherwise(
             F.concat(pick, F.lit("-"), F.initcap(pieces(parts, attempt)))))
     for script, alphabet in INITIALS.items():
@@ -276,6 +316,9 @@ def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
     digit = F.transform(F.split(mention, ""), lambda c, i: F.when(
         c.rlike("[0-9]"), F.substr(number, F.length(_digits(F.substr(
             mention, F.lit(1), i + 1))), F.lit(1))).otherwise(c))
+    spaced = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
+        c == " ", c).otherwise(F.substr(first, F.length(_account(F.substr(
+            mention, F.lit(1), i + 1))), F.lit(1)))), "")
     # Digits that a widened surrogate has beyond the mention's.
     longer = F.substr(number, F.length(_digits(mention)) + 1, F.length(number))
     title = F.regexp_extract(mention, f"^({TITLE})", 1)
@@ -291,7 +334,7 @@ def _formatted(kind: Column, mention: Column, surrogates: Column) -> Column:
 
     return (F.when(kind.isin("email", "ip6"), F.when(_upper(mention), F.upper(first)).otherwise(first))
             .when(kind.isin("phone", "card"), F.concat(F.array_join(digit, ""), longer))
-            .when(kind == "secret", quoted).when(kind == "ip", first)
+            .when(kind == "secret", quoted).when(kind == "ip", first).when(kind == "iban", spaced)
             .otherwise(F.concat(title, F.array_join(F.transform(
                 F.split(_bare(mention), " "), word), " "))))
 
