@@ -64,11 +64,11 @@ ln AS (SELECT doc_id, source, t, l, len(regexp_extract_all(l, {WORDS})) AS n,
   FROM (SELECT doc_id, source, t, unnest(string_split(t, chr(10))) AS l FROM d)),
 lw AS (SELECT * FROM ln WHERE n > 0),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lw GROUP BY doc_id),
-host AS (SELECT source, count(DISTINCT t) AS docs FROM d GROUP BY source),
+host AS (SELECT source, count(*) AS docs FROM d GROUP BY source),
 often AS (SELECT s.source, s.z FROM (
-    SELECT source, z, count(DISTINCT t) AS n FROM lw GROUP BY source, z) s
+    SELECT source, z, count(DISTINCT doc_id) AS n FROM lw GROUP BY source, z) s
   JOIN host h ON s.source IS NOT DISTINCT FROM h.source
-  WHERE s.n > greatest(50.0, h.docs * 0.02)),
+  WHERE s.n > greatest(3.0, h.docs * 0.02)),
 gone AS (SELECT lw.doc_id, sum(lw.n) AS n FROM lw
   JOIN often o ON lw.source IS NOT DISTINCT FROM o.source AND lw.z = o.z GROUP BY lw.doc_id),
 base AS (SELECT w.doc_id, len(w.ws)::BIGINT AS n_words,

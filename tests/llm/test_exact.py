@@ -129,10 +129,10 @@ def test_line_rules(docs, no_docs):
     got = rows(line_rules.quality_rules(docs, min_docs=1, max_share=0.0))
     plain = docs.select("doc_id", "text", "source").collect()
     holders = defaultdict(set)
-    for _, t, host in plain:
+    for row, (_, t, host) in enumerate(plain):
         for line in (t or "").split("\n"):
             if WORD.search(line):
-                holders[host, line_rules.normal_line(line)].add(t)
+                holders[host, line_rules.normal_line(line)].add(row)
     want = []
     for i, t, host in plain:
         t = t or ""
@@ -151,6 +151,22 @@ def test_line_rules(docs, no_docs):
     assert line_rules.quality_rules(no_docs).count() == 0
 
 
+def test_depleted_documents_are_rejected(spark):
+    rng = random.Random(3)
+
+    def own(n):
+        return " ".join("".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(n))
+
+    menu = own(60)
+    data = [(i, "h", f"{menu}\n{own(40)}") for i in range(4)] + [(9, "h", f"{menu}\n{own(80)}")]
+    data += [(20 + i, "h", own(70)) for i in range(20)]
+    df = spark.createDataFrame(data, "doc_id long, source string, text string")
+    got = {r["doc_id"]: (r["base_failed"], r["kept"], r["n_left"])
+           for r in line_rules.quality_rules(df).collect()}
+    assert [got[i] for i in range(4)] == [(False, False, 40)] * 4
+    assert got[9] == (False, True, 80) and all(got[20 + i] == (False, True, 70) for i in range(20))
+
+
 def test_shared_lines_are_taken_out(spark):
     rng = random.Random(6)
     own = ["".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(350)]
