@@ -91,12 +91,12 @@ def bucket_label(index: ColumnLike, labels: Sequence[str]) -> Column:
 def token_array(c: ColumnLike, sep: str = ",", lower: bool = True, distinct: bool = False,
                 ordered: bool = False) -> Column:
     """Split a delimited string, trim, drop empties; null gives an empty array."""
-    def clean(x: Column) -> Column:
-        x = F.trim(x)
-        return F.lower(x) if lower else x
-
-    parts = F.split(F.coalesce(as_col(c), F.lit("")), "\\Q" + sep + "\\E")
-    out = F.filter(F.transform(parts, clean), lambda x: x != "")
+    text = F.coalesce(as_col(c), F.lit(""))
+    parts = F.split(F.lower(text) if lower and sep == sep.lower() == sep.upper() else text,
+                    "\\Q" + sep + "\\E")
+    if lower and not sep == sep.lower() == sep.upper():
+        parts = F.transform(parts, lambda x: F.lower(x))
+    out = F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != "")
     if distinct:
         out = F.array_distinct(out)
     return F.array_sort(out) if ordered else out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections.abc import Sequence
 
@@ -77,6 +78,45 @@ def nfc(c: pd.Series) -> pd.Series:
     return c.map(lambda s: unicodedata.normalize("NFC", s), na_action="ignore")
 
 
+def composed(c: ColumnLike) -> Column:
+    """:func:`nfc` of the texts that hold a combining mark; the others do not leave the JVM's rows."""
+    text = as_col(c)
+    return F.coalesce(nfc(F.when(text.rlike("[\\u0300-\\u036f]"), text)), text)
+
+
+def clues(pattern: str) -> list[str]:
+    """Strings of which a match of the pattern must hold one; none if there is no such list.
+
+    Read from the pattern's parse tree: runs of plain characters that stand in it by themselves, in a
+    part that occurs at least once, or one for each of a part's alternatives.
+    """
+    def of(tree) -> list[str]:
+        found: list[list[str]] = []
+        run = ""
+        for op, arg in [*tree, (None, None)]:
+            if op is re._constants.LITERAL:
+                run += chr(arg)
+                continue
+            if run:
+                found.append([run])
+            run, inner = "", []
+            if op is re._constants.SUBPATTERN:
+                inner = of(arg[-1])
+            elif op is re._constants.MAX_REPEAT and arg[0] > 0:
+                inner = of(arg[-1])
+            elif op is re._constants.BRANCH:
+                inner = [of(branch) for branch in arg[1]]
+                inner = [x for part in inner for x in part] if all(inner) else []
+            if inner:
+                found.append(inner)
+        return max(found, key=lambda x: min(map(len, x)), default=[])
+
+    try:
+        return of(re._parser.parse(pattern))
+    except re.error:
+        return []
+
+
 def visible_text(c: ColumnLike) -> Column:
     """The visible text of an HTML page, one piece per line."""
     return unescape(strip_tags(c, "\n"))

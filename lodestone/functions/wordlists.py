@@ -102,6 +102,19 @@ SALARY_PHRASES = [
     (["attractive"], "Attractive"),
 ]
 
+# Short blocks of a page that show the pay: words of blocks that do not, the phrase for an open
+# amount with the text it gives, and marks of amounts without a number.
+PAY_BLOCK_NOISE = [
+    "tuyển", "ứng tuyển", "mô tả công việc", "yêu cầu công việc", "thông tin việc làm",
+    "địa điểm làm việc", "việc làm cùng công ty", "tại ", "để xem nhiều việc làm", "intern",
+    "fresher", "dưới 3 năm kinh nghiệm", "tải upzi",
+]
+PAY_BLOCK_OPEN = ("thương lượng", "Thương lượng")
+PAY_BLOCK_MARKS = ["triệu", "usd", "vnd", "/tháng", "/month"]
+
+# City names as pages write them, and their codes, in lookup order.
+CITY_NAMES = [(["Hồ Chí Minh"], "HCM"), (["Hà Nội"], "HN"), (["Đà Nẵng"], "DN")]
+
 SALARY_UNITS = "usd|vnd|vnđ|triệu|million"
 
 # Words that mark a street address rather than a city.

@@ -11,6 +11,7 @@ from lodestone.functions.columns import (bucket_index, bucket_label, percent, pe
                                          positive)
 from lodestone.operators.quantiles import exact_quantiles
 from lodestone.operators.window import top_n_per_group
+from lodestone.session import cut_lineage
 
 
 def value_counts(df: DataFrame, column: str, limit: int | None = None,
@@ -199,6 +200,31 @@ def cube_totals(df: DataFrame, dims: Sequence[str], sums: Mapping[str, Column] |
             .orderBy(*[F.asc_nulls_last(d) for d in dims]))
 
 
+def cube_distinct(df: DataFrame, dims: Sequence[str], value: str, count: str = "n",
+                  name: str = "n_distinct", label: str = "ALL") -> DataFrame:
+    """Row count and exact number of distinct non-null values for every subset of the dimensions.
+
+    The distinct values are numbered once, in runs without gaps. Each full combination of
+    dimensions then keeps its values as bitmaps of 32,768 numbers, and every subset is the union of
+    bitmaps: the rows are read once, not once per subset, and no list of values is ever built.
+    """
+    ids = cut_lineage(df.select(F.col(value).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+                      .withColumn("_id", F.monotonically_increasing_id()))
+    rows = df.select(*dims, F.col(value).alias("_v")).join(ids, "_v", "left")
+    base = rows.groupBy(*dims, F.bitmap_bucket_number("_id").alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.bitmap_construct_agg(F.bitmap_bit_position("_id")).alias("_bits"))
+    subsets = [[d for i, d in enumerate(dims) if mask >> i & 1] for mask in range(1 << len(dims))]
+    marks = [F.grouping(d).alias(f"_g{i}") for i, d in enumerate(dims)]
+    merged = base.groupingSets([[*map(F.col, s), F.col("_part")] for s in subsets], *dims, "_part").agg(
+        F.sum("_n").alias("_n"), F.bitmap_count(F.bitmap_or_agg("_bits")).alias("_bits"), *marks)
+    named = {d: F.when(F.col(f"_g{i}") == 1, F.lit(label)).otherwise(F.col(d).cast("string"))
+             for i, d in enumerate(dims)}
+    groups = [f"_g{i}" for i in range(len(dims))]
+    return (merged.groupBy(*dims, *groups).agg(F.sum("_n").alias(count), F.sum("_bits").alias(name))
+            .withColumns(named).drop(*groups))
+
+
 def bracket_counts(df: DataFrame, value: str, edges: Sequence[float], labels: Sequence[str],
                    right_closed: bool = False, digits: int = 1) -> DataFrame:
     """Histogram over named brackets with the share of each."""

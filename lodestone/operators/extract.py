@@ -16,7 +16,7 @@ from lodestone.functions.columns import ColumnLike, as_col, first_match, let
 from lodestone.functions.salary import bare_number, normal_salary, salary_in_lines
 from lodestone.functions.text import (clean_markup, one_line, page_lines, page_text, strip_tags,
                                       unescape)
-from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, COMPANY_CLASSES,
+from lodestone.functions.wordlists import (ADDRESS_WORDS, CITY_CODES, CITY_NAMES, COMPANY_CLASSES,
                                            COMPANY_LINK, COMPANY_NOISE, DEAD_PAGE_TEXT,
                                            DESCRIPTION_ENDS, DESCRIPTION_NOISE,
                                            DESCRIPTION_STARTS, DESCRIPTION_STOPS, EXPERIENCE_RANGE,
@@ -202,6 +202,28 @@ def location(post: Column, low_text: Column) -> Column:
     return F.array_join(F.array_distinct(chosen), ",")
 
 
+def posting_place(post: Column) -> Column:
+    """Locality and region of the posting's first place, as it writes them; else the place's name;
+    "Unknown" without either. "Remote" counts as a place only if there is no other."""
+    place = F.get(elements(F.try_variant_get(post, "$.jobLocation", "variant")), F.lit(0))
+    locality, region = [non_empty(F.trim(F.try_variant_get(place, f"$.address.{f}", "string")))
+                        for f in ("addressLocality", "addressRegion")]
+
+    def there(x: Column) -> Column:
+        return F.when(F.lower(x) != "remote", x)
+
+    both = non_empty(F.concat_ws(", ", there(locality), there(region)))
+    return F.coalesce(both, region, locality, non_empty(clean_markup(field(place, "$.name"))),
+                      F.lit("Unknown"))
+
+
+def first_city(lines: Column) -> Column:
+    """Code of the first city that the page's text names, '' without any."""
+    codes = F.filter(F.transform(lines, lambda x: first_match(x, CITY_NAMES, None)),
+                     lambda x: x.isNotNull())
+    return F.coalesce(F.get(codes, F.lit(0)), F.lit(""))
+
+
 def skills(post: Column, text: Column, limit: int | None = None, merge: bool = False) -> Column:
     """Array of skills: the posting's own list, else dictionary terms found in ``text``.
 

@@ -14,7 +14,7 @@ from pyspark.ml.feature import (IDF, PCA, CountVectorizer, ElementwiseProduct, I
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import english_stop_words
@@ -27,9 +27,12 @@ MIN_ROWS = 50
 def stable_split(df: DataFrame, key: str, train: float = 0.8, seed: int = 42) -> DataFrame:
     """Add ``is_train``, decided by a hash of key and seed: the same under any partitioning and
     on every re-run, so a lost task cannot move a row to the other side."""
+    return df.withColumn("is_train", _hashed(key, seed) % 10_000 < int(round(train * 10_000)))
+
+
+def _hashed(key: str, seed: int) -> Column:
     digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary"))
-    share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 10_000
-    return df.withColumn("is_train", share < int(round(train * 10_000)))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
 
 
 def halves(df: DataFrame, key: str, train: float = 0.8, seed: int = 42):
@@ -54,6 +57,28 @@ def scaled_features(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     return model.transform(df).drop("_raw"), model
 
 
+def target_means(df: DataFrame, key: str, category: str, target: str, folds: int = 5,
+                 weight: float = 10.0, seed: int = 42, name: str = "target_mean") -> DataFrame:
+    """Add ``name``, a number for a category of any width: the mean target of its rows in the other
+    folds, drawn towards the mean of all rows by ``weight`` rows.
+
+    A row's own fold (a hash of its key) takes no part, so its target does not leak into it; a
+    category that no other fold holds gets the overall mean, and so do rows without one. Sums are made
+    per category and fold in the tasks; categories never meet on the driver or in one array.
+    """
+    marked = df.withColumn("_fold", (_hashed(key, seed) % folds).cast("int"))
+    sums = marked.filter(F.col(category).isNotNull()).groupBy(
+        F.col(category).alias("_c"), F.col("_fold").alias("_f")).agg(
+        F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    whole = Window.partitionBy("_c")  # one row for each fold
+    others = sums.select("_c", "_f", (F.sum("_s").over(whole) - F.coalesce("_s", F.lit(0.0))).alias("_s"),
+                         (F.sum("_n").over(whole) - F.col("_n")).alias("_n"))
+    overall = df.agg(F.avg(target)).scalar()
+    same = (F.col(category) == F.col("_c")) & (F.col("_fold") == F.col("_f"))
+    mean = ((F.coalesce("_s", F.lit(0.0)) + weight * overall) / (F.coalesce("_n", F.lit(0)) + weight))
+    return marked.join(others, same, "left").withColumn(name, mean).drop("_fold", "_c", "_f", "_s", "_n")
+
+
 def fit_tfidf(df: DataFrame, text: str, vocab: int, out: str, pattern: str = r"[\p{L}\p{N}_]{2,}",
               stop: Sequence[str] | None = None) -> PipelineModel:
     """tf * (ln((1+N)/(1+df)) + 1) at unit length, fitted on the rows given (training rows)."""

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions.columns import as_col, percent, token_array
+from lodestone.functions.text import clues, composed
 from lodestone.operators.aggregate import group_profile
 from lodestone.operators.basket import top_pairs
 
@@ -83,11 +85,16 @@ def pair_cooccurrence(df: DataFrame, column: str, k: int = 50, sep: str = ",",
 def tag_counts(df: DataFrame, column: str, patterns: Mapping[str, str],
                digits: int = 1) -> DataFrame:
     """How many rows match each named pattern, and the share of all rows: one pass over the
-    text. Each row counts once per tag. Patterns are matched on lower-cased text with
-    Unicode-aware classes."""
-    text = F.lower(F.coalesce(F.col(column), F.lit(""))).alias("_text")
-    hits = [F.count_if(F.col("_text").rlike("(?U)" + p)).alias(f"t{i}")
-            for i, p in enumerate(patterns.values())]
+    text. Each row counts once per tag. Patterns are matched on composed, lower-cased text with
+    Unicode-aware classes; a pattern meets only the texts that hold one of its :func:`clues`."""
+    def hit(pattern: str) -> Column:
+        test = F.col("_text").rlike("(?U)" + pattern)
+        words = clues(pattern)
+        return reduce(lambda a, b: a | b, (F.col("_text").contains(w) for w in words)) & test if words \
+            else test
+
+    text = F.lower(composed(F.coalesce(F.col(column), F.lit("")))).alias("_text")
+    hits = [F.count_if(hit(p)).alias(f"t{i}") for i, p in enumerate(patterns.values())]
     wide = df.select(text).agg(F.count(F.lit(1)).alias("_rows"), *hits)
     tags = F.array(*[F.struct(F.lit(name).alias("tag"), F.col(f"t{i}").alias("n"))
                      for i, name in enumerate(patterns)])

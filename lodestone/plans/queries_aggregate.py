@@ -164,6 +164,17 @@ def cube_totals(t: Tables):
                            {"avg_price": F.col("l_extendedprice")})
 
 
+@query("cube_distinct", """
+SELECT CASE WHEN grouping(l_returnflag) = 1 THEN 'ALL' ELSE l_returnflag END AS l_returnflag,
+  CASE WHEN grouping(l_linestatus) = 1 THEN 'ALL' ELSE l_linestatus END AS l_linestatus,
+  CASE WHEN grouping(y) = 1 THEN 'ALL' ELSE y::VARCHAR END AS ship_year,
+  count(*) AS n, count(DISTINCT l_orderkey) AS n_distinct
+FROM (SELECT *, year(l_shipdate) AS y FROM lineitem) GROUP BY CUBE (l_returnflag, l_linestatus, y)""")
+def cube_distinct(t: Tables):
+    rows = t.lineitem.withColumn("ship_year", F.year("l_shipdate"))
+    return agg.cube_distinct(rows, ["l_returnflag", "l_linestatus", "ship_year"], "l_orderkey")
+
+
 BRACKET_SQL = """
   SELECT CASE WHEN o_totalprice < 50000 THEN 1 WHEN o_totalprice < 100000 THEN 2
               WHEN o_totalprice < 200000 THEN 3 WHEN o_totalprice < 300000 THEN 4

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lodestone.operators import aggregate as agg
@@ -138,3 +140,136 @@ def regress_model(t: Tables):
 @query("feature_importances")
 def feature_importances(t: Tables):
     return _regression(t).importances("forest", 20)
+
+
+# Fitted models whose result is known in closed form -----------------------------------------
+
+
+PAIR = """
+z AS (SELECT p_partkey, (p_retailprice - avg(p_retailprice) OVER ()) / stddev_samp(p_retailprice) OVER ()
+    AS z1, (p_size - avg(p_size) OVER ()) / stddev_samp(p_size) OVER () AS z2 FROM part),
+r AS (SELECT corr(p_retailprice, p_size) AS r FROM part)"""
+
+
+@query("features_scaled", """
+WITH c AS (SELECT *, dense_rank() OVER (ORDER BY p_type) - 1 AS code FROM part)
+SELECT p_partkey, round((p_retailprice - avg(p_retailprice) OVER ()) / stddev_samp(p_retailprice) OVER (),
+  6) AS price, round((code - avg(code) OVER ()) / stddev_samp(code) OVER (), 6) AS type FROM c""")
+def features_scaled(t: Tables):
+    rows, _ = models.scaled_features(t.part, ["p_retailprice"], ["p_type"])
+    x = vector_to_array("features")
+    return rows.select("p_partkey", F.round(x[0], 6).alias("price"), F.round(x[1], 6).alias("type"))
+
+
+@query("pca_pair", f"""
+WITH {PAIR}
+SELECT p_partkey, round(abs(z1 + sign(r) * z2) / sqrt(2), 4) AS pc1,
+  round(abs(z1 - sign(r) * z2) / sqrt(2), 4) AS pc2, round((1 + abs(r)) / 2, 6) AS share1 FROM z, r""")
+def pca_pair(t: Tables):
+    """Two standardised columns: their components are the sum and the difference."""
+    rows, share = models.pca_2d(models.scaled_features(t.part, ["p_retailprice", "p_size"])[0])
+    return rows.select("p_partkey", F.round(F.abs("pc1"), 4).alias("pc1"),
+                       F.round(F.abs("pc2"), 4).alias("pc2"), F.lit(round(share[0], 6)).alias("share1"))
+
+
+APART = """
+a AS (SELECT l_returnflag = 'R' AS far, l_quantity + CASE WHEN l_returnflag = 'R' THEN 1000 ELSE 0 END AS v,
+    l_discount FROM lineitem)"""
+
+
+def _apart(t: Tables):
+    """Lines in two groups far apart: whatever the beginning, two clusters are these groups."""
+    far = F.when(F.col("l_returnflag") == "R", 1000).otherwise(0)
+    return t.lineitem.select((F.col("l_quantity") + far).alias("v"), "l_discount")
+
+
+@query("kmeans_groups", f"""
+WITH {APART} SELECT count(*) AS n, round(avg(v), 4) AS avg_v, round(avg(l_discount), 4) AS avg_l_discount
+FROM a GROUP BY far""")
+def kmeans_groups(t: Tables):
+    rows, _ = models.kmeans(models.scaled_features(_apart(t), ["v"])[0], 2)
+    return agg.class_means(rows, "cluster", ["v", "l_discount"]).drop("cluster")
+
+
+@query("kmeans_pair_centres", f"""
+WITH {APART}, g AS (SELECT avg(v) AS v, avg(l_discount) AS d FROM a GROUP BY far)
+SELECT (v = (SELECT max(v) FROM g))::INTEGER::DOUBLE AS v,
+  (d = (SELECT max(d) FROM g))::INTEGER::DOUBLE AS d FROM g""")
+def kmeans_pair_centres(t: Tables):
+    rows = _apart(t)
+    features = VectorAssembler(inputCols=["v", "l_discount"], outputCol="features").transform(rows)
+    _, model = models.kmeans(features, 2)
+    return models.scaled_centres(model, ["v", "d"], t.spark).drop("cluster")
+
+
+@query("elbow_pair", f"""
+WITH {APART}, z AS (SELECT far, (v - avg(v) OVER ()) / stddev_samp(v) OVER () AS z FROM a)
+SELECT 2 AS k, round(sum(s), 3) AS inertia FROM (SELECT var_pop(z) * count(*) AS s FROM z GROUP BY far)""")
+def elbow_pair(t: Tables):
+    found = models.elbow(models.scaled_features(_apart(t), ["v"])[0], [2])
+    return found.withColumn("inertia", F.round("inertia", 3))
+
+
+@query("difficulty_pair", f"""
+WITH {APART} SELECT CASE WHEN far THEN 'hard' ELSE 'easy' END AS level, count(*) AS n FROM a GROUP BY far""")
+def difficulty_pair(t: Tables):
+    rows = models.difficulty(_apart(t), ["v"], ("easy", "hard"))
+    return rows.groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _held(label: str) -> str:
+    return f"""SELECT {label} AS label, {label} AS prediction, count(*) AS n FROM part
+WHERE ('0x' || substr(md5(p_partkey || ':42'), 1, 8))::BIGINT % 10000 >= 8000 GROUP BY ALL"""
+
+
+def _tally(held):
+    return held.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("forest_separable", _held("CASE WHEN p_size % 7 > 3 THEN 'high' ELSE 'low' END"))
+def forest_separable(t: Tables):
+    """A label that one number decides: every held-out row is told right."""
+    rest = F.col("p_size") % 7
+    rows = t.part.withColumns({"rest": rest, "label": F.when(rest > 3, "high").otherwise("low")})
+    return _tally(models.classify_forest(rows, "p_partkey", "label", "p_type", ["rest"], trees=20))
+
+
+@query("svm_separable", _held("p_type"))
+def svm_separable(t: Tables):
+    """A label that one word of the text decides."""
+    rows = t.part.select("p_partkey", F.col("p_type").alias("label"),
+                         F.concat_ws(" ", "p_type", F.lit("part")).alias("text"))
+    return _tally(models.classify_svm(rows, "p_partkey", "label", "text"))
+
+
+def _linear(t: Tables) -> models.RegressionBakeOff:
+    rows = t.part.withColumn("y", 3.0 * F.col("p_size") + 10)
+    return models.RegressionBakeOff(rows, "p_partkey", "y", ["p_size"], ["p_type"], "p_name", trees=5)
+
+
+@query("regress_linear", """
+SELECT 'linear' AS model, count(*) AS n, 0.0::DOUBLE AS mae, 1.0::DOUBLE AS r2 FROM part
+WHERE ('0x' || substr(md5(p_partkey || ':42'), 1, 8))::BIGINT % 10000 >= 8000""")
+def regress_linear(t: Tables):
+    """A target on a line: the linear model meets every held-out row."""
+    return _linear(t).scores.filter("model = 'linear'").select(
+        "model", "n", (F.floor(F.col("mae") * 10) / 10).alias("mae"), F.round("r2", 3).alias("r2"))
+
+
+@query("importance_single", "SELECT 'p_size' AS feature FROM (SELECT count(*) FROM part)")
+def importance_single(t: Tables):
+    return _linear(t).importances("forest", 1).select("feature")
+
+
+@query("target_means", """
+WITH o AS (SELECT *, ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT % 5 AS f FROM orders),
+g AS (SELECT avg(o_totalprice) AS m FROM orders),
+s AS (SELECT o_custkey, f, sum(o_totalprice) AS s, count(*) AS n FROM o GROUP BY ALL),
+w AS (SELECT o_custkey, f, sum(s) OVER c - s AS s, sum(n) OVER c - n AS n FROM s
+  WINDOW c AS (PARTITION BY o_custkey))
+SELECT o_orderkey, round((s + 10 * m) / (n + 10), 4) AS target_mean
+FROM o JOIN w USING (o_custkey, f), g""")
+def target_means(t: Tables):
+    """Customers as numbers: what they spend in the other folds."""
+    rows = models.target_means(t.orders, "o_orderkey", "o_custkey", "o_totalprice")
+    return rows.select("o_orderkey", F.round("target_mean", 4).alias("target_mean"))

@@ -372,6 +372,20 @@ def snapshot_replace(t: Tables):
         (rows - F.col("record_count")).cast("int").alias("lost"))
 
 
+@query("snapshot_retire", """
+SELECT 'second' AS backup_name, count(*) FILTER (c_acctbal > 0) AS record_count, 2::INTEGER AS version
+FROM customer""")
+def snapshot_retire(t: Tables):
+    """Two snapshots, the first one retired."""
+    table = _customer_table(t)
+    store = SnapshotStore(table, scratch_path(t.spark, "snapshots"))
+    first = store.create("first")
+    table.replace(table.read().filter("c_acctbal > 0"))
+    store.create("second")
+    store.retire(first)
+    return store.list().select("backup_name", "record_count", F.col("table_version").alias("version"))
+
+
 @query("retention", """
 SELECT o_orderkey AS table_version, CASE WHEN row_number() OVER (
     ORDER BY (o_orderstatus = 'F') DESC, o_orderdate DESC, o_orderkey DESC) <= 10
