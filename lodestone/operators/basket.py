@@ -80,8 +80,8 @@ def top_pairs(df: DataFrame, basket: str, item: str, k: int, head: int = 256,
     kinds = support.count()
     while True:
         first = support.orderBy(F.desc("freq"), F.asc("item")).limit(head)
-        common = cut_lineage(basket_pairs(items.join(first.select("item"), "item", "left_semi"),
-                                          "basket", "item", 1, block))
+        common = basket_pairs(items.join(first.select("item"), "item", "left_semi"),
+                              "basket", "item", 1, block)
         best = common.orderBy(F.desc("n")).limit(k).agg(
             F.count(F.lit(1)).alias("found"), F.min("n").alias("floor")).first()
         floor = best["floor"] if best["found"] == k else 0

@@ -82,18 +82,20 @@ def pair_cooccurrence(df: DataFrame, column: str, k: int = 50, sep: str = ",",
             .orderBy(F.desc("n"), F.asc("pair")).limit(k))
 
 
-def tag_counts(df: DataFrame, column: str, patterns: Mapping[str, str],
-               digits: int = 1) -> DataFrame:
+def tag_counts(df: DataFrame, column: str, patterns: Mapping[str, str], digits: int = 1,
+               compose: bool = False) -> DataFrame:
     """How many rows match each named pattern, and the share of all rows: one pass over the
-    text. Each row counts once per tag. Patterns are matched on composed, lower-cased text with
-    Unicode-aware classes; a pattern meets only the texts that hold one of its :func:`clues`."""
+    text. Each row counts once per tag. Patterns are matched on lower-cased text with Unicode-aware
+    classes; a pattern meets only the texts that hold one of its :func:`clues`. ``compose`` puts
+    letters with combining marks in their composed form first (texts with marks pass through Python)."""
     def hit(pattern: str) -> Column:
         test = F.col("_text").rlike("(?U)" + pattern)
         words = clues(pattern)
         return reduce(lambda a, b: a | b, (F.col("_text").contains(w) for w in words)) & test if words \
             else test
 
-    text = F.lower(composed(F.coalesce(F.col(column), F.lit("")))).alias("_text")
+    text = F.coalesce(F.col(column), F.lit(""))
+    text = F.lower(composed(text) if compose else text).alias("_text")
     hits = [F.count_if(hit(p)).alias(f"t{i}") for i, p in enumerate(patterns.values())]
     wide = df.select(text).agg(F.count(F.lit(1)).alias("_rows"), *hits)
     tags = F.array(*[F.struct(F.lit(name).alias("tag"), F.col(f"t{i}").alias("n"))

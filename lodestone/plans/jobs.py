@@ -240,7 +240,7 @@ def pay_histogram(jobs: DataFrame, bins: int = 30) -> DataFrame:
 def benefit_tags(jobs: DataFrame) -> DataFrame:
     """Adverts that mention each benefit or soft skill; each advert counts once per tag."""
     return tokens.tag_counts(jobs, "description_clean",
-                             {**BENEFIT_PATTERNS, **SOFT_SKILL_PATTERNS})
+                             {**BENEFIT_PATTERNS, **SOFT_SKILL_PATTERNS}, compose=True)
 
 
 def level_terms(jobs: DataFrame, top: int = 15,
