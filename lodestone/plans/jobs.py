@@ -289,7 +289,8 @@ def job_difficulty(jobs: DataFrame, key: str = "id") -> DataFrame:
     """Adverts graded by lexical richness, number of skills and experience."""
     rows = fill_constants(_cast(jobs), {"yoe_extracted": 0.0, "skill_count": 0})
     rich = text.lexical_richness(rows, key, "description_clean")
-    rows = rows.select(key, "skill_count", "yoe_extracted").join(rich, key)
+    # The fits pass over the rows many times: they read the numbers, not the joins behind them.
+    rows = cut_lineage(rows.select(key, "skill_count", "yoe_extracted").join(rich, key))
     return models.difficulty(rows, ["richness", "skill_count", "yoe_extracted"])
 
 

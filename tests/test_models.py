@@ -94,3 +94,13 @@ def test_topics(spark, data):
     model = TopicModel(docs, "text", 3, vocab=200, rounds=2)
     assert model.terms(4).count() == 12
     assert model.assign(docs).filter(~F.col("topic").isin(0, 1, 2)).count() == 0
+
+
+def test_difficulty_learns_from_stored_numbers(spark, data):
+    """The fits do not run through the joins that made the numbers."""
+    from lodestone.plans import jobs
+    from lodestone.plans.queries_jobs import adverts
+    graded = jobs.job_difficulty(adverts(Tables(spark, data)))
+    assert "documents.parquet" not in graded._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("documents" in name for name in graded.inputFiles())
+    assert graded.count() == Tables(spark, data).part.count()
