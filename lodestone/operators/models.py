@@ -215,8 +215,10 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
     shaped = (prepare.transform(balanced_weights(train, label))
               .select("_text", "_label", "weight").persist())
     try:
+        # A copy leaves the training summary behind. The summary holds the session, which cannot be
+        # sent to the tasks once any query of the session was observed or tagged.
         model = OneVsRest(classifier=svm, featuresCol="_text", labelCol="_label",
-                          predictionCol="_p", weightCol="weight", parallelism=4).fit(shaped)
+                          predictionCol="_p", weightCol="weight", parallelism=4).fit(shaped).copy()
     finally:
         shaped.unpersist()
     return _named(model.transform(prepare.transform(test)), indexer).select(

@@ -96,6 +96,17 @@ def test_topics(spark, data):
     assert model.assign(docs).filter(~F.col("topic").isin(0, 1, 2)).count() == 0
 
 
+def test_svm_works_in_an_observed_session(spark):
+    """An observation leaves something in the session that cannot be sent to tasks."""
+    from pyspark.sql import Observation
+    seen = Observation()
+    df = spark.range(200).selectExpr("id", "if(id % 2 = 0, 'even', 'odd') AS label",
+                                     "if(id % 2 = 0, 'two four', 'one three') AS text")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    held = models.classify_svm(df, "id", "label", "text", rounds=5).collect()
+    assert held and all(r["label"] == r["prediction"] for r in held)
+
+
 def test_difficulty_learns_from_stored_numbers(spark, data):
     """The fits do not run through the joins that made the numbers."""
     from lodestone.plans import jobs
