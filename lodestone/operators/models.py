@@ -41,6 +41,18 @@ def halves(df: DataFrame, key: str, train: float = 0.8, seed: int = 42):
             marked.filter(~F.col("is_train")).drop("is_train"))
 
 
+def dealt(df: DataFrame, key: str | None = None) -> DataFrame:
+    """The rows dealt anew over the session's partitions, by ``key`` or by their own order.
+
+    A learner keeps the partitions it is given for all its passes. Those of a file are as few as its
+    row groups, and one task would hold a whole group's vectors.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                2 * spark.sparkContext.defaultParallelism)
+    return df.repartition(parts) if key is None else df.repartition(parts, key)
+
+
 # Features ---------------------------------------------------------------------------------
 
 
@@ -113,7 +125,7 @@ def elbow(df: DataFrame, ks: Sequence[int] = range(2, 11), features: str = "feat
           seed: int = 42) -> DataFrame:
     """Within-cluster sum of squares per k. The features are persisted over the sweep; memory
     and disk, so nothing is recomputed when they do not fit."""
-    held = df.select(features).persist()
+    held = dealt(df.select(features)).persist()
     try:
         rows = [(k, float(KMeans(k=k, seed=seed, featuresCol=features).fit(held)
                           .summary.trainingCost)) for k in ks]
@@ -164,11 +176,12 @@ def difficulty(df: DataFrame, columns: Sequence[str],
 
 
 def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add n / (classes * n_class)."""
+    """Add n / (classes * n_class). The counts, one row for each class, are broadcast: an exchange
+    by class would send all rows of a class, texts included, to one task."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     whole = counts.agg(F.struct(F.sum("_n").alias("n"),
                                 F.count(F.lit(1)).alias("k")).alias("w")).scalar()
-    return (df.join(counts, label).withColumn("_w", whole)
+    return (df.join(F.broadcast(counts), label).withColumn("_w", whole)
             .withColumn(name, F.col("_w.n") / (F.col("_w.k") * F.col("_n"))).drop("_n", "_w"))
 
 
@@ -196,7 +209,8 @@ def classify_forest(df: DataFrame, key: str, label: str, text: str, numeric: Seq
     prepare = PipelineModel(stages=[tfidf, indexer, assembler])
     forest = RandomForestClassifier(featuresCol="_x", labelCol="_label", predictionCol="_p",
                                     weightCol="weight", numTrees=trees, maxDepth=10, seed=seed)
-    model = forest.fit(prepare.transform(balanced_weights(train, label)))
+    shaped = prepare.transform(balanced_weights(train, label)).select(key, "_x", "_label", "weight")
+    model = forest.fit(dealt(shaped, key))
     return _named(model.transform(prepare.transform(test)), indexer).select(
         key, label, "prediction")
 
@@ -213,7 +227,8 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
     prepare = PipelineModel(stages=[tfidf, indexer])
     svm = LinearSVC(maxIter=rounds, regParam=0.01, standardization=False)
     shaped = (prepare.transform(balanced_weights(train, label))
-              .select("_text", "_label", "weight").persist())
+              .select(key, "_text", "_label", "weight"))
+    shaped = dealt(shaped, key).drop(key).persist()
     try:
         # A copy leaves the training summary behind. The summary holds the session, which cannot be
         # sent to the tasks once any query of the session was observed or tagged.
@@ -248,7 +263,8 @@ class RegressionBakeOff:
         assembler = VectorAssembler(inputCols=[*numeric, *hots, "_text"], outputCol="features")
         self.prepare = PipelineModel(stages=[self.prepare, encoder, assembler])
         self.target = target
-        shaped = self.prepare.transform(train).select("features", target).persist()
+        shaped = self.prepare.transform(train).select(key, "features", target)
+        shaped = dealt(shaped, key).drop(key).persist()
         held = self.prepare.transform(test).select(key, "features", target)
         try:
             self.models = {

@@ -107,6 +107,24 @@ def test_svm_works_in_an_observed_session(spark):
     assert held and all(r["label"] == r["prediction"] for r in held)
 
 
+def test_learners_get_dealt_rows(spark, monkeypatch):
+    """Rows of one partition and of one class reach the learner in many partitions."""
+    seen = []
+    original = models.RandomForestClassifier.fit
+
+    def fit(self, df, *args):
+        sizes = df.groupBy(F.spark_partition_id()).count().collect()
+        seen.append((len(sizes), max(r["count"] for r in sizes) / df.count()))
+        return original(self, df, *args)
+
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", fit)
+    df = spark.range(2000).coalesce(1).selectExpr("id", "if(id % 20 = 0, 'a', 'b') AS label",
+                                                  "if(id % 20 = 0, 'one two', 'three') AS text")
+    models.classify_forest(df, "id", "label", "text", ["id"], trees=2)
+    parts, largest = seen[0]
+    assert parts > 1 and largest < 0.5
+
+
 def test_difficulty_learns_from_stored_numbers(spark, data):
     """The fits do not run through the joins that made the numbers."""
     from lodestone.plans import jobs
