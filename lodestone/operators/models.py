@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import english_stop_words
 from lodestone.operators.aggregate import class_means
 from lodestone.operators.metrics import regression_metrics
+from lodestone.session import dealt
 
 MIN_ROWS = 50
 
@@ -41,18 +42,6 @@ def halves(df: DataFrame, key: str, train: float = 0.8, seed: int = 42):
             marked.filter(~F.col("is_train")).drop("is_train"))
 
 
-def dealt(df: DataFrame, key: str | None = None) -> DataFrame:
-    """The rows dealt anew over the session's partitions, by ``key`` or by their own order.
-
-    A learner keeps the partitions it is given for all its passes. Those of a file are as few as its
-    row groups, and one task would hold a whole group's vectors.
-    """
-    spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                2 * spark.sparkContext.defaultParallelism)
-    return df.repartition(parts) if key is None else df.repartition(parts, key)
-
-
 # Features ---------------------------------------------------------------------------------
 
 

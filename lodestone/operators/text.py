@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import (LONG_WORD, WORD, bilingual_stop_words, english_stop_words,
                                       with_bigrams, words)
 from lodestone.operators.window import top_n_per_group
+from lodestone.session import cut_lineage
 
 
 def group_terms(df: DataFrame, group: str, tokens: Column,
@@ -85,15 +87,45 @@ def lexical_richness(df: DataFrame, doc: str, text: str, vocab: int = 3000,
             .select(doc, F.coalesce("_r", F.lit(0.0)).alias("richness")))
 
 
-def count_vectors(df: DataFrame, key: str, text: str, vocab: int = 1 << 18, min_df: int = 5,
+def _numbered(sorted_rows: DataFrame, name: str) -> DataFrame:
+    """Add the place of each row, from 0, to rows that were sorted just before."""
+    placed = cut_lineage(sorted_rows.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftright("_id", 33)  # the partition; the bits below count within it
+    ahead = placed.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))  # a row per partition
+    before = F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")
+    ahead = ahead.select("_p", before.alias("_before"))
+    inside = F.col("_id") - F.shiftleft(F.col("_p"), 33)
+    return (placed.join(F.broadcast(ahead), part == F.col("_p"))
+            .withColumn(name, F.col("_before") + inside).drop("_id", "_p", "_before"))
+
+
+def count_vectors(df: DataFrame, key: str, text: str, vocab: int | None = None, min_df: int = 5,
                   stop: Sequence[str] = (), name: str = "counts") -> DataFrame:
-    """Each row's counts of the corpus's commonest words, as a sparse vector: ``key``, ``name``.
+    """Each row's counts of the corpus's words, as a sparse vector: ``key``, ``name``.
 
-    Words in fewer than ``min_df`` rows are left out.
+    The commonest word has index 0. Words in fewer than ``min_df`` rows are left out; ``vocab`` keeps
+    only the commonest on request. The words are numbered and looked up by joins: they never meet on
+    the driver, however many they are.
     """
-    rows = df.select(key, words(text, WORD, stop).alias("_tokens"))
-    counter = CountVectorizer(inputCol="_tokens", outputCol=name, minDF=min_df, vocabSize=vocab)
-    return counter.fit(rows).transform(rows).drop("_tokens")
+    rows = cut_lineage(df.select(key, F.monotonically_increasing_id().alias("_row"),
+                                 words(text, WORD, stop).alias("_tokens")))
+    counts = (rows.select("_row", F.explode("_tokens").alias("term"))
+              .groupBy("_row", "term").agg(F.count(F.lit(1)).alias("tf")))
+    terms = (counts.groupBy("term").agg(F.sum("tf").alias("_cf"), F.count(F.lit(1)).alias("_df"))
+             .filter(F.col("_df") >= min_df).orderBy(F.desc("_cf"), F.asc("term")))
+    terms = _numbered(terms.select("term"), "_i")
+    if vocab is not None:
+        terms = terms.filter(F.col("_i") < vocab)
+    size = terms.count()
+
+    @F.udf(VectorUDT())
+    def vector(entries):
+        return Vectors.sparse(size, [(e["_i"], float(e["tf"])) for e in entries])
+
+    entries = (counts.join(terms, "term").groupBy("_row")
+               .agg(F.sort_array(F.collect_list(F.struct("_i", "tf"))).alias("_e")))
+    none = F.array().cast("array<struct<_i: bigint, tf: bigint>>")  # a row without words of the corpus
+    return rows.join(entries, "_row", "left").select(key, vector(F.coalesce("_e", none)).alias(name))
 
 
 class TopicModel:

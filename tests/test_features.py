@@ -87,3 +87,20 @@ def test_target_means_do_not_leak(spark):
     found = {r["id"]: r["target_mean"] for r in out.collect()}
     assert found[5000] == pytest.approx(overall) and found[5001] == pytest.approx(overall)
     assert all(abs(found[i] - i % 5) < abs(overall - i % 5) for i in range(20))
+
+
+def test_count_vectors_keep_every_word(spark):
+    """More words than any preset size of a vocabulary; repeated keys and empty rows stay rows."""
+    from lodestone.operators.text import count_vectors
+    n = (1 << 18) + 50
+    df = spark.range(n).selectExpr("id % 64 AS k", "concat('w', id, ' w', id, ' all') AS t")
+    df = df.groupBy("k").agg(F.concat_ws(" ", F.collect_list("t")).alias("t"))
+    df = df.unionByName(spark.createDataFrame([(0, None), (0, "all")], "k long, t string"))
+    got = count_vectors(df, "k", "t", min_df=1).collect()
+    assert len(got) == 66
+    assert {r["counts"].size for r in got} == {n + 1}
+    assert sum(r["counts"].values.sum() for r in got) == 3 * n + 1
+    assert sum(len(r["counts"].indices) for r in got) == n + 65
+    common = [r["counts"][0] for r in got]
+    assert sum(common) == n + 1
+    assert {r["counts"].size for r in count_vectors(df, "k", "t", vocab=10).collect()} == {1}
