@@ -6,6 +6,7 @@ import html
 import re
 import unicodedata
 from collections.abc import Sequence
+from html.entities import html5
 
 import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
@@ -13,7 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lodestone.functions.columns import ColumnLike, as_col
+from lodestone.functions.columns import ColumnLike, as_col, let
 from lodestone.functions.wordlists import VIETNAMESE_STOP_WORDS
 
 # Runs of two or more letters, digits or underscores, in any script.
@@ -29,6 +30,16 @@ _TAG = (r"""<[/!?a-zA-Z][^<>"']*+(?:"[^"]*+"[^<>"']*+|'[^']*+'[^<>"']*+)*+>""")
 _PLAIN_TAG = r"<[/!?a-zA-Z][^>]*(?:>|\z)"
 
 
+# A character reference, as html.unescape finds them; names that need no semicolon may end anywhere.
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_NAMES = {f"&{name}": value for name, value in html5.items() if name.endswith(";")}
+_OPEN_NAMES = {name: value for name, value in html5.items() if not name.endswith(";")}
+_OPEN_NAME = "^&(" + "|".join(sorted(_OPEN_NAMES, key=len, reverse=True)) + ")"
+# Numbers that do not stand for the character of that number: controls and noncharacters.
+_SPECIAL_NUMBERS = {n: html.unescape(f"&#{n};") for n in (
+    *range(0xA0), *range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF)))}
+
+
 def english_stop_words() -> list[str]:
     """Spark's own English list."""
     return StopWordsRemover.loadDefaultStopWords("english")
@@ -66,10 +77,51 @@ def strip_tags(c: ColumnLike, gap: str = " ") -> Column:
     return F.regexp_replace(out, _PLAIN_TAG, gap)
 
 
-@F.pandas_udf(StringType())
-def unescape(c: pd.Series) -> pd.Series:
-    """Resolve character references such as &amp; (all names of HTML 5)."""
-    return c.map(html.unescape, na_action="ignore")
+def unescape(c: ColumnLike) -> Column:
+    """Resolve character references such as &amp; (all names of HTML 5), as ``html.unescape`` does.
+
+    The text stays in the JVM: it is split at its references, and only these are looked up.
+    """
+    def resolved(text: Column) -> Column:
+        found = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0))
+        values = F.concat(F.transform(found, _referred), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(text, _REFERENCE, -1), values,
+                                       lambda piece, value: F.concat(piece, value)), "")
+
+    return let(c, lambda x: F.when(x.contains("&"), resolved(x)).otherwise(x))
+
+
+def _referred(ref: Column) -> Column:
+    """What one character reference stands for; itself if it is none."""
+    def character(n: Column) -> Column:
+        plain = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        broken = n.between(0xD800, 0xDFFF) | (n > 0x10FFFF)
+        return F.coalesce(F.try_element_at(_literal_map(_SPECIAL_NUMBERS), n.cast("string")),
+                          F.when(broken, F.lit("\ufffd")).otherwise(plain))
+
+    def number(digits: Column, longest: int, base: int) -> Column:
+        value = F.coalesce(F.conv(digits, base, 10).try_cast("bigint"), F.lit(0).cast("bigint"))
+        return let(F.when(F.length(digits) > longest, F.lit(0x110000).cast("bigint")).otherwise(value),
+                   character)
+
+    def prefixed(name: Column) -> Column:
+        return F.when(name != "", F.concat(
+            F.try_element_at(_literal_map(_OPEN_NAMES), name),
+            F.substring(ref, F.length(name) + 2, F.length(ref)))).otherwise(ref)
+
+    named = F.coalesce(F.try_element_at(_literal_map(_NAMES), ref),
+                       let(F.regexp_extract(ref, _OPEN_NAME, 1), prefixed))
+    out = F.when(ref.rlike("^&#[xX]"), number(F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]*)", 1), 6, 16))
+    out = out.when(ref.startswith("&#"), number(F.regexp_extract(ref, "^&#0*([0-9]*)", 1), 7, 10))
+    for common in ("&nbsp;", "&amp;", "&lt;", "&gt;", "&quot;"):
+        out = out.when(ref == common, F.lit(html.unescape(common)))
+    return out.otherwise(named)
+
+
+def _literal_map(values: dict) -> Column:
+    """The values by the text of their keys: one literal, not one for each entry."""
+    pairs = "\x01".join(f"{key}\x02{value}" for key, value in values.items())
+    return F.str_to_map(F.lit(pairs), F.lit("\x01"), F.lit("\x02"))
 
 
 @F.pandas_udf(StringType())

@@ -1,7 +1,7 @@
 """Records from stored web pages, as column expressions over a table of (url, html) rows.
 
 Structured postings are read from JSON-LD scripts as VARIANT values; every field falls back to
-the visible page. Only character references are resolved in Python, in Arrow batches.
+the visible page. All of it is done by column functions; no page goes to Python.
 """
 
 from __future__ import annotations

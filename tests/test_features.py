@@ -104,3 +104,21 @@ def test_count_vectors_keep_every_word(spark):
     common = [r["counts"][0] for r in got]
     assert sum(common) == n + 1
     assert {r["counts"].size for r in count_vectors(df, "k", "t", vocab=10).collect()} == {1}
+
+
+def test_unescape_is_the_library_s(spark):
+    """Names with and without semicolon, prefixes, numbers of all kinds, broken references."""
+    import html
+    import random
+    from html.entities import html5
+    from lodestone.functions.text import unescape
+    pick = random.Random(7)
+    bits = ["&", "#", "x", "X", ";", " ", "a", "é", "\U0001f600", "\n", "\x01", "amp", "notit", "&lt", "&#0;",
+            "&#x80;", "&#55296;", "&#1114112;", "&#99999999999999999999;", "&#xfdd0;", "&#x1F600", "&#39", "41", ""]
+    texts = ["".join(pick.choices(bits, k=pick.randint(0, 12))) for _ in range(3000)]
+    texts += [f"a&{name}b&{name}" for name in html5] + [f"&#{n};" for n in (*range(300), 0xFFFE, 0x10FFFF, 0xD7FF)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate([*texts, None])], "i int, t string")
+    got = dict(df.select("i", unescape("t")).collect())
+    assert [got[i] for i in range(len(texts))] == [html.unescape(x) for x in texts]
+    assert got[len(texts)] is None
+    assert "Python" not in df.select(unescape("t"))._jdf.queryExecution().executedPlan().toString()
