@@ -180,3 +180,16 @@ def test_all_skills_are_kept(spark):
     got = extract.posting_records(spark.createDataFrame([("u", page)], "url string, html string"),
                                   crawl_time=F.lit("2024-01-01")).first()
     assert got["skills"].split(", ") == names and got["crawl_time"] == "2024-01-01"
+
+
+def test_advert_pages_are_made_by_many_tasks(spark, tmp_path, data):
+    """A file of one row group is dealt before its pages are made, and stays dealt in salary_amounts."""
+    from lodestone.plans import queries_pages as pages
+    from lodestone.plans.registry import QUERIES, Tables
+    spark.read.parquet(f"{data}/part.parquet").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    t = Tables(spark, str(tmp_path))
+    sizes = [r["count"] for r in pages.advert_pages(t).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < sum(sizes) / 2
+    plan = QUERIES["salary_amounts"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "regexp" not in below and "Filter" not in below
