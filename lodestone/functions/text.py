@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import html5
 
 import pandas as pd
@@ -56,12 +56,10 @@ def words(c: ColumnLike, pattern: str = WORD, stop: Sequence[str] = ()) -> Colum
     return F.filter(out, lambda x: ~x.isin(*stop)) if stop else out
 
 
-def with_bigrams(tokens: Column) -> Column:
-    """The tokens, then every pair of neighbours joined by a space."""
-    pairs = F.zip_with(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
-                       F.slice(tokens, 2, F.size(tokens)),
-                       lambda a, b: F.concat_ws(" ", a, b))
-    return F.concat(tokens, pairs)
+def neighbours(tokens: Column, pair: Callable[[Column, Column], Column]) -> Column:
+    """``pair`` of every token and the next one."""
+    return F.zip_with(F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
+                      F.slice(tokens, 2, F.size(tokens)), pair)
 
 
 def one_line(c: ColumnLike) -> Column:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions.text import (LONG_WORD, WORD, bilingual_stop_words, english_stop_words,
-                                      with_bigrams, words)
+                                      neighbours, words)
 from lodestone.operators.window import top_n_per_group
 from lodestone.session import cut_lineage
 
@@ -55,14 +55,44 @@ def _smooth_idf(n: Column, df: Column) -> Column:
     return F.ln((n + 1) / (df + 1)) + 1
 
 
+def _unit_terms(df: DataFrame, group: str, text: str, vocab: int, stop: Sequence[str]) -> DataFrame:
+    """The :func:`group_terms` of words and word pairs, without pairs that cannot be among the ``vocab``
+    commonest terms.
+
+    No pair is commoner than either of its words. Words are therefore counted first, and only neighbours
+    that both reach the frequency of the ``vocab``-th word are paired; most different pairs of a large
+    corpus are never made. Should very many words tie at that frequency, only the first word is tested:
+    it must be one of the ``vocab`` first itself, as it also goes before its pairs by name.
+    """
+    rows = df.filter(F.col(group).isNotNull()).select(group, text)
+    single = cut_lineage(group_terms(rows, group, words(text, WORD), stop))
+    by_count = single.groupBy("term").agg(F.sum("tf").alias("_cf"))
+    first = by_count.orderBy(F.desc("_cf"), F.asc("term")).limit(vocab).collect()
+    if not first:
+        return single
+    lead = {r["term"] for r in first}
+    floor = first[-1]["_cf"] if len(first) == vocab else 1
+    tied = by_count.filter(F.col("_cf") == floor).select("term").limit(vocab + 1).collect()
+    follow = lead.union(r["term"] for r in tied) if len(tied) <= vocab else None
+
+    def marked(x: Column) -> Column:
+        return F.when(x.isin(*follow), x) if follow else x
+
+    def pair(a: Column, b: Column) -> Column:
+        both = F.concat(a, F.lit(" "), b)  # null if one is
+        return both if follow else F.when(a.isin(*lead), both)
+
+    kept = rows.select(group, F.transform(words(text, WORD, stop), marked).alias("_tokens"))
+    return single.unionByName(group_terms(kept, group, neighbours(F.col("_tokens"), pair)))
+
+
 def term_weights(df: DataFrame, group: str, text: str, vocab: int = 1500, top: int = 15,
                  stop: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
     """The heaviest terms of each group: tf * (ln((1+N)/(1+df)) + 1), scaled to unit length per
     group, over the ``vocab`` commonest words and word pairs of the corpus."""
     stop = english_stop_words() if stop is None else stop
-    rows = df.filter(F.col(group).isNotNull()).select(group, text)
-    counts = group_terms(rows, group, with_bigrams(words(text, WORD, stop)))
-    groups = rows.agg(F.countDistinct(group)).scalar()
+    counts = _unit_terms(df, group, text, vocab, stop)
+    groups = df.agg(F.countDistinct(group)).scalar()
     weighted = (counts.join(vocabulary(counts, vocab), "term")
                 .withColumn("_w", F.col("tf") * _smooth_idf(groups, F.col("df"))))
     length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(group)))

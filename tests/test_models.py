@@ -1,7 +1,12 @@
+import math
+import random
+import re
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import metrics, models
+from lodestone.operators import metrics, models, text
 from lodestone.operators.text import TopicModel, lexical_richness, term_weights
 from lodestone.plans.registry import Tables
 from tests.helpers import rows
@@ -41,6 +46,48 @@ def test_tfidf_is_the_smooth_unit_form(spark):
     assert rich["y"] == pytest.approx((common + rare) / math.hypot(common, rare))
 
 
+def _slow_weights(data, vocab, top):
+    counts = {}
+    for g, t in data:
+        ws = re.findall(r"\w{2,}", t or "") if g is not None else []
+        for term in ws + [f"{a} {b}" for a, b in zip(ws, ws[1:])]:
+            counts.setdefault(term, Counter())[g] += 1
+    kept = sorted(counts, key=lambda x: (-sum(counts[x].values()), x))[:vocab]
+    groups = {g for g, _ in data if g is not None}
+    out = []
+    for g in groups:
+        w = {x: counts[x][g] * (math.log((1 + len(groups)) / (1 + len(counts[x]))) + 1)
+             for x in kept if counts[x][g]}
+        length = math.sqrt(sum(v * v for v in w.values()))
+        best = sorted((-round(v / length, 4), x) for x, v in w.items())[:top]
+        out += [(g, x, -v) for v, x in best]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("vocab", (1, 4, 9, 40, 10_000))
+def test_weights_of_pairs_with_rare_words(spark, monkeypatch, vocab):
+    """Pairs that cannot be in the vocabulary are not counted; ties at its end change nothing."""
+    rng = random.Random(vocab)
+    names = [f"w{i:02}" for i in range(30)]
+    data = [(rng.choice("abc"), " ".join(names[min(29, int(rng.paretovariate(0.8)))] for _ in range(8)))
+            for _ in range(12)]
+    data += [("a", " ".join(f"once{i:03}" for i in range(200))), ("b", "zz yy zz yy"), (None, "w01 w02"),
+             ("c", None), ("a", "")]
+    made = []
+    real = text.group_terms
+
+    def counted(*args):
+        out = real(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(text, "group_terms", counted)
+    df = spark.createDataFrame(data, "g string, t string").repartition(3)
+    got = rows(text.term_weights(df, "g", "t", vocab, 10, stop=[]), "g", "term", "score")
+    assert sorted(got) == [(g, x, pytest.approx(v, abs=2e-4)) for g, x, v in _slow_weights(data, vocab, 10)]
+    assert vocab > 9 or sum(made) < 400  # the 200 words met once alone make 199 pairs
+
+
 def test_pipeline_tfidf_matches_the_table_form(spark):
     from pyspark.ml.functions import vector_to_array
     df = spark.createDataFrame([(1, "apple apple pear"), (2, "pear plum"), (3, "")],
