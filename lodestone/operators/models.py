@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import english_stop_words
 from lodestone.operators.aggregate import class_means
 from lodestone.operators.metrics import regression_metrics
-from lodestone.session import dealt
+from lodestone.session import cut_lineage, dealt
 
 MIN_ROWS = 50
 
@@ -80,25 +80,35 @@ def target_means(df: DataFrame, key: str, category: str, target: str, folds: int
     return marked.join(others, same, "left").withColumn(name, mean).drop("_fold", "_c", "_f", "_s", "_n")
 
 
-def fit_tfidf(df: DataFrame, text: str, vocab: int, out: str, pattern: str = r"[\p{L}\p{N}_]{2,}",
-              stop: Sequence[str] | None = None) -> PipelineModel:
-    """tf * (ln((1+N)/(1+df)) + 1) at unit length, fitted on the rows given (training rows)."""
+def fit_counts(df: DataFrame, text: str, vocab: int, out: str, pattern: str = r"[\p{L}\p{N}_]{2,}",
+               stop: Sequence[str] | None = None) -> PipelineModel:
+    """Word counts ``_{out}_c`` over the ``vocab`` commonest words of the rows given (training rows)."""
     stop = english_stop_words() if stop is None else list(stop)
-    counting = Pipeline(stages=[
+    return Pipeline(stages=[
         RegexTokenizer(inputCol=text, outputCol=f"_{out}_w", pattern=pattern, gaps=False,
                        toLowercase=True, minTokenLength=1),
         StopWordsRemover(inputCol=f"_{out}_w", outputCol=f"_{out}_k", stopWords=stop),
         CountVectorizer(inputCol=f"_{out}_k", outputCol=f"_{out}_c", vocabSize=vocab),
     ]).fit(df)
-    idf = IDF(inputCol=f"_{out}_c", outputCol="_idf").fit(counting.transform(df))
+
+
+def fit_weights(counted: DataFrame, out: str) -> PipelineModel:
+    """Counts ``_{out}_c`` times (ln((1+N)/(1+df)) + 1) at unit length, fitted on the rows given."""
+    idf = IDF(inputCol=f"_{out}_c", outputCol="_idf").fit(counted)
     weights = Vectors.dense([float(x) + 1.0 for x in idf.idf.toArray()])
     return PipelineModel(stages=[
-        *counting.stages,
         ElementwiseProduct(scalingVec=weights, inputCol=f"_{out}_c", outputCol=f"_{out}_t"),
         Normalizer(inputCol=f"_{out}_t", outputCol=out, p=2.0),
     ])
 
 
+def fit_tfidf(df: DataFrame, text: str, vocab: int, out: str, pattern: str = r"[\p{L}\p{N}_]{2,}",
+              stop: Sequence[str] | None = None) -> PipelineModel:
+    """tf * (ln((1+N)/(1+df)) + 1) at unit length, fitted on the rows given (training rows)."""
+    counting = fit_counts(df, text, vocab, out, pattern, stop)
+    return PipelineModel(stages=[*counting.stages, *fit_weights(counting.transform(df), out).stages])
+
+
 def pca_2d(df: DataFrame, features: str = "features") -> tuple[DataFrame, list[float]]:
     """First two principal components of centred features, and their share of the variance."""
     model = PCA(k=2, inputCol=features, outputCol="_pc").fit(df)
@@ -185,17 +195,25 @@ def _named(df: DataFrame, indexer) -> DataFrame:
                          labels=indexer.labels).transform(df)
 
 
+def _counted_halves(df: DataFrame, key: str, text: str, vocab: int, columns: Sequence[str], seed: int):
+    """Training and held-out rows with the counts of their words (:func:`fit_counts` on the training
+    rows) in place of the text. They are stored: the text is read twice, once for the vocabulary and
+    once for the counts, and not again by each fit and by the prediction."""
+    counting = fit_counts(halves(df, key, seed=seed)[0], text, vocab, "_text")
+    kept = dict.fromkeys([key, *columns, "__text_c"])  # a number may be the key itself
+    return halves(cut_lineage(counting.transform(df).select(*kept)), key, seed=seed)
+
+
 def classify_forest(df: DataFrame, key: str, label: str, text: str, numeric: Sequence[str],
                     vocab: int = 1000, trees: int = 100, seed: int = 42) -> DataFrame:
     """Random forest on tf-idf text and numbers with balanced weights: the held-out fifth with
     its ``prediction``."""
     _enough(df)
-    train, test = halves(df, key, seed=seed)
-    tfidf = fit_tfidf(train, text, vocab, "_text")
+    train, test = _counted_halves(df, key, text, vocab, [label, *numeric], seed)
     indexer = StringIndexer(inputCol=label, outputCol="_label", handleInvalid="keep",
                             stringOrderType="alphabetAsc").fit(df)
     assembler = VectorAssembler(inputCols=[*numeric, "_text"], outputCol="_x")
-    prepare = PipelineModel(stages=[tfidf, indexer, assembler])
+    prepare = PipelineModel(stages=[fit_weights(train, "_text"), indexer, assembler])
     forest = RandomForestClassifier(featuresCol="_x", labelCol="_label", predictionCol="_p",
                                     weightCol="weight", numTrees=trees, maxDepth=10, seed=seed)
     shaped = prepare.transform(balanced_weights(train, label)).select(key, "_x", "_label", "weight")
@@ -209,11 +227,10 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
     """One-against-rest linear SVM on tf-idf text with balanced weights, vocabulary from the
     training rows only: the held-out fifth with its ``prediction``."""
     _enough(df)
-    train, test = halves(df, key, seed=seed)
-    tfidf = fit_tfidf(train, text, vocab, "_text")
+    train, test = _counted_halves(df, key, text, vocab, [label], seed)
     indexer = StringIndexer(inputCol=label, outputCol="_label",
                             stringOrderType="alphabetAsc").fit(df)
-    prepare = PipelineModel(stages=[tfidf, indexer])
+    prepare = PipelineModel(stages=[fit_weights(train, "_text"), indexer])
     svm = LinearSVC(maxIter=rounds, regParam=0.01, standardization=False)
     shaped = (prepare.transform(balanced_weights(train, label))
               .select(key, "_text", "_label", "weight"))
@@ -225,10 +242,21 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
                           predictionCol="_p", weightCol="weight", parallelism=4).fit(shaped).copy()
     finally:
         shaped.unpersist()
-    return _named(model.transform(prepare.transform(test)), indexer).select(
+    return _named(_strongest(model.models, prepare.transform(test)), indexer).select(
         key, label, "prediction")
 
 
+def _strongest(machines: Sequence, df: DataFrame) -> DataFrame:
+    """Add ``_p``, the number of the machine with the largest margin, the first of equal ones. The
+    margins stay in the JVM; the model's own transform sends them through Python once for each class."""
+    for i, machine in enumerate(machines):
+        df = (machine.setFeaturesCol("_text").setPredictionCol("").setRawPredictionCol(f"_raw{i}")
+              .transform(df))
+    margins = F.array(*[vector_to_array(f"_raw{i}")[1] for i in range(len(machines))])
+    df = df.withColumn("_margins", margins)
+    return df.withColumn("_p", (F.array_position("_margins", F.array_max("_margins")) - 1).cast("double"))
+
+
 # Regression -------------------------------------------------------------------------------
 
 

@@ -172,6 +172,25 @@ def test_learners_get_dealt_rows(spark, monkeypatch):
     assert parts > 1 and largest < 0.5
 
 
+def test_svm_reads_the_texts_twice_and_predicts_without_python(spark):
+    """Once for the vocabulary and once for the counts; the fits and the prediction read the counts."""
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(x):
+        read.add(1)
+        return x
+
+    df = spark.range(300).selectExpr("id", "elt(id % 3 + 1, 'a', 'b', 'c') AS label",
+                                     "elt(id % 3 + 1, 'one two', 'three', 'four two') AS text")
+    df = df.withColumn("text", noted("text"))
+    held = models.classify_svm(df, "id", "label", "text", rounds=5)
+    assert "EvalPython" not in held._jdf.queryExecution().executedPlan().toString()
+    got = held.collect()
+    assert len(got) > 30 and all(r["label"] == r["prediction"] for r in got)
+    assert read.value <= 2 * 300
+
+
 def test_difficulty_learns_from_stored_numbers(spark, data):
     """The fits do not run through the joins that made the numbers."""
     from lodestone.plans import jobs
