@@ -122,11 +122,13 @@ def pca_2d(df: DataFrame, features: str = "features") -> tuple[DataFrame, list[f
 
 def elbow(df: DataFrame, ks: Sequence[int] = range(2, 11), features: str = "features",
           seed: int = 42) -> DataFrame:
-    """Within-cluster sum of squares per k. The features are persisted over the sweep; memory
-    and disk, so nothing is recomputed when they do not fit."""
-    held = dealt(df.select(features)).persist()
+    """Within-cluster sum of squares per k. Equal vectors are folded into one with their number as its
+    weight, which is the same sum. They are persisted over the sweep; memory and disk, so nothing is
+    recomputed when they do not fit."""
+    folded = df.groupBy(features).agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    held = dealt(folded, features).persist()
     try:
-        rows = [(k, float(KMeans(k=k, seed=seed, featuresCol=features).fit(held)
+        rows = [(k, float(KMeans(k=k, seed=seed, featuresCol=features, weightCol="_n").fit(held)
                           .summary.trainingCost)) for k in ks]
     finally:
         held.unpersist()

@@ -191,6 +191,23 @@ def test_svm_reads_the_texts_twice_and_predicts_without_python(spark):
     assert read.value <= 2 * 300
 
 
+def test_elbow_folds_equal_rows(spark, monkeypatch):
+    """The sweep passes over the different vectors; their weights keep the sum over all rows."""
+    seen = []
+    original = models.KMeans.fit
+
+    def fit(self, df, *args):
+        seen.append(df.count())
+        return original(self, df, *args)
+
+    monkeypatch.setattr(models.KMeans, "fit", fit)
+    df = spark.range(900).selectExpr("if(id % 3 = 0, 1000, 0) + id % 2 AS x")
+    shaped = models.VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    found = {r["k"]: r["inertia"] for r in models.elbow(shaped, [2, 4]).collect()}
+    assert seen == [4, 4]
+    assert found[2] == pytest.approx(900 * 0.25) and found[4] == pytest.approx(0)
+
+
 def test_difficulty_learns_from_stored_numbers(spark, data):
     """The fits do not run through the joins that made the numbers."""
     from lodestone.plans import jobs
