@@ -105,13 +105,15 @@ def frequent_itemsets(df: DataFrame, basket: str, item: str,
 
     Infrequent items go first. What is left of a basket is then bounded: there are at most
     (mean basket size / ``min_support``) frequent items in all. FP-growth mines the rest in
-    parallel, one conditional tree per item group.
+    parallel, one conditional tree per item group. Equal baskets are dealt together, so that each
+    task's trees hold its share of the different baskets and not nearly all of them; what is much
+    repeated may be split over tasks again.
     """
     total = basket_count(df, basket, item).first()[0]
     min_count = max(1, math.ceil(round(min_support * total, 6)))
     items = frequent_items_only(basket_items(df, basket, item), min_count)
-    baskets = items.groupBy("basket").agg(F.collect_list("item").alias("items"))
-    baskets = baskets.select("items").persist()
+    baskets = items.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    baskets = baskets.select("items").hint("rebalance", F.col("items")).persist()
     try:
         kept = baskets.count()
         if kept == 0:

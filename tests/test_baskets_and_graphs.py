@@ -124,3 +124,30 @@ def test_square_lift_matrix(spark):
     got = basket.lift_matrix(rules)
     assert got.columns == ["antecedent", "a", "b", "c"]
     assert rows(got) == [("a", 0.0, 1.2, 1.2), ("b", 2.0, 0.0, 0.0), ("c", 0.0, 0.0, 0.0)]
+
+
+def test_equal_baskets_are_mined_together(spark, monkeypatch):
+    """Equal baskets lie in one partition, so that no task's trees hold all the different ones."""
+    seen = []
+    original = basket.FPGrowth.fit
+
+    def fit(self, df, *args):
+        seen.append((df.select("items", F.spark_partition_id()).distinct().count(),
+                     df.distinct().count(), df.groupBy(F.spark_partition_id()).count().count()))
+        return original(self, df, *args)
+
+    monkeypatch.setattr(basket.FPGrowth, "fit", fit)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).selectExpr("id DIV 2 AS o", "concat('i', (id * 7 + id DIV 16) % 12) AS i")
+        found = {tuple(r["items"]): r["freq"] for r in
+                 basket.frequent_itemsets(df, "o", "i", 0.01).collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    held, different, parts = seen[0]
+    assert held == different and parts > 1
+    sets = {}
+    for r in df.groupBy("o").agg(F.sort_array(F.collect_set("i")).alias("s")).collect():
+        for part in {(x,) for x in r["s"]} | {tuple(r["s"])}:
+            sets[part] = sets.get(part, 0) + 1
+    assert found == {k: v for k, v in sets.items() if v >= 20}
