@@ -159,17 +159,21 @@ def count_vectors(df: DataFrame, key: str, text: str, vocab: int | None = None,
 
 
 class TopicModel:
-    """Latent Dirichlet allocation over the commonest long words of a corpus."""
+    """Latent Dirichlet allocation over the commonest long words of a corpus.
+
+    ``keep`` names columns of the corpus to store with its word counts, for :meth:`assigned`.
+    """
 
     def __init__(self, df: DataFrame, text: str, topics: int = 5, vocab: int = 2000,
                  min_df: int = 5, stop: Sequence[str] | None = None, seed: int = 42,
-                 rounds: int = 10):
+                 rounds: int = 10, keep: Sequence[str] = ()):
         stop = bilingual_stop_words() if stop is None else stop
         self.tokens = words(text, LONG_WORD, stop)
-        rows = df.select(self.tokens.alias("_tokens"))
+        rows = df.select(*keep, self.tokens.alias("_tokens"))
         self.counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", minDF=min_df,
-                                       vocabSize=vocab).fit(rows)
-        counted = self.counter.transform(rows).select("_counts").persist()
+                                       vocabSize=vocab).fit(rows.select("_tokens"))
+        self.counted = cut_lineage(self.counter.transform(rows).drop("_tokens"))
+        counted = self.counted.select("_counts").persist()
         try:
             self.lda = LDA(k=topics, seed=seed, maxIter=rounds, featuresCol="_counts",
                            topicDistributionCol="_mix").fit(counted)
@@ -188,7 +192,14 @@ class TopicModel:
 
     def assign(self, df: DataFrame, name: str = "topic") -> DataFrame:
         """The dominant topic of every row."""
-        counted = self.counter.transform(df.withColumn("_tokens", self.tokens))
+        return self._dominant(self.counter.transform(df.withColumn("_tokens", self.tokens)), name)
+
+    def assigned(self, name: str = "topic") -> DataFrame:
+        """The kept columns of the corpus with their dominant topic, from the stored counts: its texts
+        are not read again."""
+        return self._dominant(self.counted, name)
+
+    def _dominant(self, counted: DataFrame, name: str) -> DataFrame:
         mix = vector_to_array("_mix")
         return (self.lda.transform(counted)
                 .withColumn(name, (F.array_position(mix, F.array_max(mix)) - 1).cast("int"))

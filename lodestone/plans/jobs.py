@@ -321,11 +321,15 @@ def topics(jobs: DataFrame, n: int = 5) -> TopicModel:
     return TopicModel(jobs, "description_clean", n)
 
 
-def topic_share(jobs: DataFrame, model: TopicModel, n: int = 5) -> DataFrame:
-    """Share of each dominant topic per level."""
-    rows = fill_constants(jobs, {"job_level": "Unknown"})
-    return agg.crosstab_share(model.assign(rows), "job_level", "topic", range(n))
-
+def topic_share(jobs: DataFrame, model: TopicModel | None = None, n: int = 5) -> DataFrame:
+    """Share of each dominant topic per level. Without a ``model`` one is fitted on the adverts, and
+    its word counts serve for the topics too."""
+    if model is None:
+        rows = TopicModel(jobs, "description_clean", n, keep=["job_level"]).assigned()
+    else:
+        rows = model.assign(jobs)
+    rows = fill_constants(rows, {"job_level": "Unknown"})
+    return agg.crosstab_share(rows, "job_level", "topic", range(n))
 
 
 def recommend(jobs: DataFrame, vectors: DataFrame, profiles: DataFrame, k: int = 5,

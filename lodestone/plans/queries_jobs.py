@@ -417,5 +417,4 @@ def salary_models(t: Tables):
 
 @_job("topic_share")
 def topic_share(t: Tables):
-    rows = adverts(t)
-    return recipes.topic_share(rows, recipes.topics(rows))
+    return recipes.topic_share(adverts(t))

@@ -172,6 +172,26 @@ def test_learners_get_dealt_rows(spark, monkeypatch):
     assert parts > 1 and largest < 0.5
 
 
+def test_topic_share_reads_the_texts_twice(spark):
+    """Once for the vocabulary and once for the counts, which serve for the topics of the rows too."""
+    from lodestone.plans import jobs
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(x):
+        read.add(1)
+        return x
+
+    df = spark.range(200).selectExpr("id", "if(id % 4 = 0, null, 'Junior') AS job_level",
+                                     "if(id % 2 = 0, 'alpha beta', 'gamma delta') AS text")
+    df = df.select("job_level", noted("text").alias("description_clean"))
+    got = {r[0]: sum(r[1:]) for r in jobs.topic_share(df, n=2).collect()}
+    assert got == {"Junior": pytest.approx(1, abs=1e-3), "Unknown": pytest.approx(1, abs=1e-3)}
+    assert read.value <= 2 * 200
+    model = TopicModel(df, "description_clean", 2, rounds=2, keep=["job_level"])
+    assert rows(model.assigned()) == rows(model.assign(df).select("job_level", "topic"))
+
+
 def test_svm_reads_the_texts_twice_and_predicts_without_python(spark):
     """Once for the vocabulary and once for the counts; the fits and the prediction read the counts."""
     read = spark.sparkContext.accumulator(0)
