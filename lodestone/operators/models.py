@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (IDF, PCA, CountVectorizer, ElementwiseProduct, IndexToString,
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lodestone.functions.text import english_stop_words
 from lodestone.operators.aggregate import class_means
 from lodestone.operators.metrics import regression_metrics
+from lodestone.operators.svm import one_against_rest
 from lodestone.session import cut_lineage, dealt
 
 MIN_ROWS = 50
@@ -233,18 +234,10 @@ def classify_svm(df: DataFrame, key: str, label: str, text: str, vocab: int = 30
     indexer = StringIndexer(inputCol=label, outputCol="_label",
                             stringOrderType="alphabetAsc").fit(df)
     prepare = PipelineModel(stages=[fit_weights(train, "_text"), indexer])
-    svm = LinearSVC(maxIter=rounds, regParam=0.01, standardization=False)
     shaped = (prepare.transform(balanced_weights(train, label))
               .select(key, "_text", "_label", "weight"))
-    shaped = dealt(shaped, key).drop(key).persist()
-    try:
-        # A copy leaves the training summary behind. The summary holds the session, which cannot be
-        # sent to the tasks once any query of the session was observed or tagged.
-        model = OneVsRest(classifier=svm, featuresCol="_text", labelCol="_label",
-                          predictionCol="_p", weightCol="weight", parallelism=4).fit(shaped).copy()
-    finally:
-        shaped.unpersist()
-    return _named(_strongest(model.models, prepare.transform(test)), indexer).select(
+    machines = one_against_rest(shaped, key, "_text", "_label", "weight", len(indexer.labels), rounds, 0.01)
+    return _named(_strongest(machines, prepare.transform(test)), indexer).select(
         key, label, "prediction")
 
 

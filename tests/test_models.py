@@ -236,3 +236,33 @@ def test_difficulty_learns_from_stored_numbers(spark, data):
     assert "documents.parquet" not in graded._jdf.queryExecution().optimizedPlan().toString()
     assert not any("documents" in name for name in graded.inputFiles())
     assert graded.count() == Tables(spark, data).part.count()
+
+
+def test_one_against_rest_makes_the_library_s_machines(spark):
+    from pyspark.ml.classification import LinearSVC
+    from pyspark.ml.linalg import Vectors
+    from lodestone.operators.svm import one_against_rest
+    rows = []
+    for i in range(240):
+        at = sorted({i % 3 * 4 + i % 5, 12 + i * i % 7, 12 + i % 4})
+        x = Vectors.sparse(20, at, [1.0 + i % 6] * len(at)) if i % 50 else Vectors.sparse(20, [], [])
+        rows.append((i, Vectors.dense(x.toArray()) if i % 4 == 1 else x, float(i % 3), 0.5 + i % 3))
+    df = spark.createDataFrame(rows, ["k", "x", "y", "w"])
+    for k, mine in enumerate(one_against_rest(df, "k", "x", "y", "w", 3, 8, 0.01)):
+        own = LinearSVC(maxIter=8, regParam=0.01, standardization=False, featuresCol="x", labelCol="l", weightCol="w")
+        its = own.fit(df.withColumn("l", (F.col("y") == k).cast("double")))
+        assert mine.coefficients.toArray() == pytest.approx(its.coefficients.toArray(), abs=1e-9)
+        assert mine.intercept == pytest.approx(its.intercept, abs=1e-9)
+
+
+def test_machines_of_all_classes_share_their_passes(spark):
+    """The number of jobs does not grow with the number of classes."""
+    df = spark.range(400).selectExpr("id", "concat('l', id % 16) AS label", "concat('word', id % 16) AS text")
+    spark.sparkContext.setJobGroup("machines", "")
+    try:
+        held = models.classify_svm(df, "id", "label", "text", rounds=4)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("machines"))
+    assert 0 < jobs < 100
+    assert all(r["label"] == r["prediction"] for r in held.collect())
