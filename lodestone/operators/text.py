@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import zlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import LDA
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructType
 
 from lodestone.functions.text import (LONG_WORD, WORD, bilingual_stop_words, english_stop_words,
                                       neighbours, words)
 from lodestone.operators.window import top_n_per_group
 from lodestone.session import cut_lineage
 
+_CHUNK = 1 << 21  # tokens of a chunk of rows
+
 
 def group_terms(df: DataFrame, group: str, tokens: Column,
                 stop: Sequence[str] = ()) -> DataFrame:
@@ -135,27 +142,105 @@ def count_vectors(df: DataFrame, key: str, text: str, vocab: int | None = None,
 
     The commonest word has index 0. Words in fewer than ``min_df`` rows are left out; ``vocab`` keeps
     only the commonest on request. The words are numbered and looked up by joins: they never meet on
-    the driver, however many they are.
+    the driver, however many they are. Rows are counted in chunks, and what is stored and shuffled is each
+    chunk's different words, once, and its rows' counts as packed numbers; tokens and texts are not.
     """
-    rows = cut_lineage(df.select(key, F.monotonically_increasing_id().alias("_row"),
-                                 words(text, WORD, stop).alias("_tokens")))
-    counts = (rows.select("_row", F.explode("_tokens").alias("term"))
-              .groupBy("_row", "term").agg(F.count(F.lit(1)).alias("tf")))
-    terms = (counts.groupBy("term").agg(F.sum("tf").alias("_cf"), F.count(F.lit(1)).alias("_df"))
+    kind = df.select(key).schema[0].dataType
+    stored = (StructType().add("_keys", ArrayType(kind)).add("_packed", BinaryType())
+              .add("_terms", ArrayType(StringType())).add("_dfs", ArrayType(LongType()))
+              .add("_cfs", ArrayType(LongType())))
+    chunks = cut_lineage(
+        df.select(F.col(key).alias("_key"), words(text, WORD, stop).alias("_tokens"))
+        .mapInArrow(_chunks, stored).withColumn("_chunk", F.monotonically_increasing_id()))
+    counts = chunks.select("_chunk", F.posexplode(F.arrays_zip("_terms", "_dfs", "_cfs")).alias("_at", "_t"))
+    counts = counts.select("_chunk", "_at", F.col("_t._terms").alias("term"), "_t._dfs", "_t._cfs")
+    terms = (counts.groupBy("term").agg(F.sum("_cfs").alias("_cf"), F.sum("_dfs").alias("_df"))
              .filter(F.col("_df") >= min_df).orderBy(F.desc("_cf"), F.asc("term")))
     terms = _numbered(terms.select("term"), "_i")
     if vocab is not None:
         terms = terms.filter(F.col("_i") < vocab)
     size = terms.count()
-
-    @F.udf(VectorUDT())
-    def vector(entries):
-        return Vectors.sparse(size, [(e["_i"], float(e["tf"])) for e in entries])
-
-    entries = (counts.join(terms, "term").groupBy("_row")
-               .agg(F.sort_array(F.collect_list(F.struct("_i", "tf"))).alias("_e")))
-    none = F.array().cast("array<struct<_i: bigint, tf: bigint>>")  # a row without words of the corpus
-    return rows.join(entries, "_row", "left").select(key, vector(F.coalesce("_e", none)).alias(name))
+    found = (counts.select("_chunk", "_at", "term").join(terms, "term").groupBy("_chunk")
+             .agg(F.collect_list(F.struct("_at", "_i")).alias("_f")))
+    return (chunks.select("_chunk", "_keys", "_packed").join(found, "_chunk", "left")
+            .select("_keys", "_packed", F.col("_f._at").alias("_at"), F.col("_f._i").alias("_i"))
+            .mapInArrow(_renumbered(size, name), StructType().add("_key", kind).add(name, VectorUDT()))
+            .withColumnRenamed("_key", key))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of rows (``_key``, ``_tokens``): keys, packed counts, different words, and of each word the
+    number of rows and its occurrences."""
+    for batch in batches:
+        lengths = pc.list_value_length(batch["_tokens"]).to_numpy(zero_copy_only=False).astype(np.int64)
+        group = (np.cumsum(lengths) - lengths) // _CHUNK
+        ends = np.flatnonzero(np.diff(group, append=-1)) + 1
+        for start, end in zip([0, *ends], ends):
+            n = lengths[start:end]
+            part = batch.slice(start, end - start)
+            coded = part["_tokens"].flatten().dictionary_encode()
+            width = max(1, len(coded.dictionary))
+            row = np.repeat(np.arange(len(n)), n)
+            code, tf = np.unique(row * width + coded.indices.to_numpy(), return_counts=True)
+            at = code % width
+            different = np.bincount(code // width, minlength=len(n))
+            rows_of = np.bincount(at, minlength=width)[:len(coded.dictionary)]
+            occurrences = np.bincount(at, tf, width)[:len(coded.dictionary)].astype(np.int64)
+            # Places ascend within a row; their differences are small.
+            packed = [_packed(x) for x in (different, np.diff(at, prepend=0), tf)]
+            yield pa.RecordBatch.from_arrays(
+                [_one(part["_key"]), pa.array([b"".join(packed)], pa.binary()), _one(coded.dictionary),
+                 _one(pa.array(rows_of, pa.int64())), _one(pa.array(occurrences, pa.int64()))],
+                ["_keys", "_packed", "_terms", "_dfs", "_cfs"])
+
+
+def _renumbered(size: int, name: str):
+    """The rows of chunks with their vectors of ``size``, the words by the numbers found for them; words
+    without one are left out."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for keys, packed, at, i in zip(batch["_keys"], batch["_packed"], batch["_at"], batch["_i"]):
+                different, steps, tf = _unpacked(packed.as_buffer())
+                place = np.cumsum(steps)
+                row = np.repeat(np.arange(len(different)), different)
+                number = np.full(int(place.max(initial=0)) + 1, -1, np.int64)
+                if at.is_valid:
+                    number[at.values.to_numpy()] = i.values.to_numpy()
+                number = number[place]
+                kept = np.flatnonzero(number >= 0)
+                kept = kept[np.lexsort((number[kept], row[kept]))]
+                offsets = np.zeros(len(different) + 1, np.int32)
+                np.cumsum(np.bincount(row[kept], minlength=len(different)), out=offsets[1:])
+                places = pa.ListArray.from_arrays(offsets, pa.array(number[kept], pa.int32()))
+                values = pa.ListArray.from_arrays(offsets, pa.array(tf[kept], pa.float64()))
+                plain = [pa.array(np.full(len(different), x)) for x in (np.int8(0), np.int32(size))]
+                vectors = pa.StructArray.from_arrays(
+                    [*plain, places, values], ["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([keys.values, vectors], ["_key", name])
+    return rows
+
+
+def _one(values: pa.Array) -> pa.Array:
+    """A list array of one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, the low bytes of all first, compressed, behind the length of that."""
+    planes = np.ascontiguousarray(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T)
+    out = zlib.compress(planes.tobytes(), 1)
+    return len(out).to_bytes(8, "little") + out
+
+
+def _unpacked(data: pa.Buffer) -> list[np.ndarray]:
+    """The arrays of numbers that were packed one behind the other."""
+    out, rest = [], memoryview(data)
+    while rest:
+        end = 8 + int.from_bytes(rest[:8], "little")
+        planes = np.frombuffer(zlib.decompress(rest[8:end]), np.uint8).reshape(4, -1)
+        out.append(np.ascontiguousarray(planes.T).view("<i4").ravel().astype(np.int64))
+        rest = rest[end:]
+    return out
 
 
 class TopicModel:

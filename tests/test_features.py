@@ -122,3 +122,28 @@ def test_unescape_is_the_library_s(spark):
     assert [got[i] for i in range(len(texts))] == [html.unescape(x) for x in texts]
     assert got[len(texts)] is None
     assert "Python" not in df.select(unescape("t"))._jdf.queryExecution().executedPlan().toString()
+
+
+def test_count_vectors_store_and_shuffle_less_than_their_texts(spark, tmp_path):
+    """Tokens are neither stored nor shuffled: only packed counts and each chunk's different words are."""
+    import os
+    from lodestone.operators.text import count_vectors
+    from lodestone.session import shared_dir
+    df = spark.range(4000).selectExpr("if(id % 9 = 0, null, id % 50) AS k", "array_join(transform(sequence(1, 200), "
+                                      "x -> concat('word', cast(pow(hash(id, x) % 60, 2) AS int))), ' ') AS t")
+    path = str(tmp_path / "texts")
+    df.coalesce(2).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def stored():
+        return {os.path.join(d, f): os.path.getsize(os.path.join(d, f))
+                for d, _, files in os.walk(shared_dir(spark).removeprefix("file:")) for f in files}
+
+    before = stored()
+    out = count_vectors(df, "k", "t")
+    grown = sum(size for name, size in stored().items() if name not in before)
+    text = df.selectExpr("sum(length(t))").first()[0]
+    assert grown < text / 2
+    assert out.columns == ["k", "counts"] and out.count() == 4000
+    assert out.filter("k IS NULL").count() == df.filter("k IS NULL").count()
+    assert sum(r["counts"].values.sum() for r in out.collect()) == 800_000
