@@ -32,7 +32,7 @@ _SEP = "\u0001"
 
 
 def non_empty(c: Column) -> Column:
-    return F.when(c != "", c)
+    return let(c, lambda x: F.when(x != "", x))
 
 
 def field(v: Column, path: str) -> Column:
@@ -42,8 +42,8 @@ def field(v: Column, path: str) -> Column:
 
 def elements(v: Column) -> Column:
     """A variant as an array: its items if it is a list, else itself."""
-    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"),
-                      F.when(v.isNotNull(), F.array(v)))
+    return let(v, lambda x: F.coalesce(F.try_variant_get(x, "$", "array<variant>"),
+                                       F.when(x.isNotNull(), F.array(x))))
 
 
 def tag_body(html: ColumnLike, tag: str) -> Column:
@@ -76,8 +76,7 @@ def posting(html: ColumnLike) -> Column:
     """
     scripts = F.regexp_extract_all(as_col(html), F.lit(_LD_JSON), F.lit(1))
 
-    def items(text: Column) -> Column:
-        v = F.try_parse_json(F.trim(text))
+    def items(v: Column) -> Column:
         graph = F.try_variant_get(v, '$["@graph"]', "array<variant>")
         return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), graph, F.array(v))
 
@@ -87,7 +86,8 @@ def posting(html: ColumnLike) -> Column:
         return ((kind == "JobPosting")
                 | F.coalesce(F.array_contains(kinds, "JobPosting"), F.lit(False)))
 
-    found = F.filter(F.flatten(F.transform(scripts, items)), is_posting)
+    parsed = F.transform(scripts, lambda x: F.try_parse_json(F.trim(x)))
+    found = F.filter(F.flatten(F.transform(parsed, items)), is_posting)
     return F.get(found, F.lit(0))
 
 
@@ -108,12 +108,15 @@ def company(html: ColumnLike, post: Column, noise: Sequence[str] = ()) -> Column
     texts = F.split(unescape(F.array_join(F.transform(links, lambda x: strip_tags(x)), _SEP)), _SEP)
     banned = [*COMPANY_NOISE, *noise]
 
+    def clean(low: Column) -> Column:
+        out = F.lit(True)
+        for phrase in banned:
+            out = out & ~low.contains(phrase)
+        return out
+
     def plausible(x: Column) -> Column:
         size = F.length(x)
-        clean = F.lit(True)
-        for phrase in banned:
-            clean = clean & ~F.lower(x).contains(phrase)
-        return (size > 3) & (size < 120) & clean
+        return (size > 3) & (size < 120) & let(F.lower(x), clean)
 
     link = F.get(F.filter(F.transform(texts, one_line), plausible), F.lit(0))
     by_class = [non_empty(page_text(class_body(html, c))) for c in COMPANY_CLASSES]
@@ -123,35 +126,42 @@ def company(html: ColumnLike, post: Column, noise: Sequence[str] = ()) -> Column
 
 def structured_salary(base: Column) -> Column:
     """ "min-max CUR" from a baseSalary value: nested or flat, range, single amount or text."""
+    return let(base, _structured_salary)
+
+
+def _structured_salary(base: Column) -> Column:
     names = ["currency", "currencyCode", "unitText", "unitCode"]
     currency = F.coalesce(*[field(base, f"$.{n}") for n in names],
-                          *[field(base, f"$.value.{n}") for n in names], F.lit(""))
+                          *[field(base, f"$.value.{n}") for n in names])
 
     def scalar(path: str) -> Column:
-        text = F.try_variant_get(base, path, "string")
-        return non_empty(bare_number(F.when(~text.startswith("{") & ~text.startswith("["), text)))
+        return let(F.try_variant_get(base, path, "string"), lambda text: F.when(
+            ~text.startswith("{") & ~text.startswith("["), non_empty(bare_number(text))))
 
     def amount(low: Column, high: Column) -> Column:
         both = low.isNotNull() & high.isNotNull() & (low != high)
         text = F.when(both, F.concat(low, F.lit("-"), high)).otherwise(F.coalesce(low, high))
-        return F.concat_ws(" ", text, non_empty(currency))
+        return F.when(text.isNotNull(), F.concat_ws(" ", text, currency))
 
-    def if_any(*parts: Column) -> Column:
-        low, high = parts if len(parts) == 2 else (parts[0], parts[0])
-        return F.when(F.coalesce(low, high).isNotNull(), amount(low, high))
+    def span(low: str, high: str) -> Column:
+        ends = F.struct(scalar(low).alias("low"), scalar(high).alias("high"))
+        return let(ends, lambda x: amount(x["low"], x["high"]))
+
+    def single(*paths: str) -> Column:
+        return let(F.coalesce(*[scalar(p) for p in paths]), lambda x: amount(x, x))
 
     found = F.coalesce(
-        if_any(scalar("$.value.minValue"), scalar("$.value.maxValue")),
-        if_any(F.coalesce(*[scalar(f"$.value.{n}") for n in ("value", "amount", "price")])),
-        if_any(scalar("$.minValue"), scalar("$.maxValue")),
-        if_any(scalar("$.value")),
+        span("$.value.minValue", "$.value.maxValue"),
+        single(*[f"$.value.{n}" for n in ("value", "amount", "price")]),
+        span("$.minValue", "$.maxValue"),
+        single("$.value"),
         scalar("$"))
     return _known(found)
 
 
 def _known(c: Column) -> Column:
     """Normal form of an amount, null when there is none."""
-    return let(F.coalesce(c, F.lit("")), lambda x: F.nullif(normal_salary(x), F.lit("Unknown")))
+    return let(normal_salary(c), lambda x: F.when(x != "Unknown", x))
 
 
 def salary(html: ColumnLike, post: Column, lines: Column) -> Column:
@@ -160,11 +170,15 @@ def salary(html: ColumnLike, post: Column, lines: Column) -> Column:
     h = as_col(html)
     node = F.regexp_extract(
         h, rf"""(?is)<[^>]*\bid\s*=\s*["'](?-i:{SALARY_NODE_ID})["'][^>]*>""", 0)
-    node = _if_has(h, [SALARY_NODE_ID], node, F.lit(""))
-    quoted = F.regexp_extract(node, rf"""(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*"([^"]*)\"""", 1)
-    single = F.regexp_extract(node, rf"(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*'([^']*)'", 1)
-    data = F.try_parse_json(unescape(F.coalesce(non_empty(quoted), single)))
-    layer = field(data, f"$.{SALARY_NODE_FIELD}")
+
+    def layer_of(node: Column) -> Column:
+        quoted = F.regexp_extract(node, rf"""(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*"([^"]*)\"""", 1)
+        single = F.regexp_extract(node, rf"(?is){SALARY_NODE_ATTRIBUTE}\s*=\s*'([^']*)'", 1)
+        data = F.try_parse_json(unescape(F.coalesce(non_empty(quoted), single)))
+        return field(data, f"$.{SALARY_NODE_FIELD}")
+
+    # Parsing an empty text fails, and a failure costs far more than the test for the node.
+    layer = _if_has(h, [SALARY_NODE_ID], let(node, layer_of), F.lit(None).cast("string"))
     box = non_empty(page_text(class_body(h, *SALARY_BOX_CLASSES)))
 
     base = F.try_variant_get(post, "$.baseSalary", "variant")
@@ -182,11 +196,12 @@ def location(post: Column, low_text: Column) -> Column:
           for f in fields])))
     texts = F.split(unescape(F.array_join(raw, _SEP)), _SEP)
 
+    def street(low: Column) -> Column:
+        return (low.contains("not available") | low.rlike(r"\d")
+                | low.rlike(rf"(?U)\b({ADDRESS_WORDS})\b"))
+
     def usable(x: Column) -> Column:
-        low = F.lower(x)
-        street = (low.contains("not available") | low.rlike(rf"(?U)\b({ADDRESS_WORDS})\b")
-                  | low.rlike(r"\d"))
-        return (x != "") & ~street
+        return (x != "") & ~let(F.lower(x), street)
 
     rules = [([name], code) for name, code in CITY_CODES.items()]
 

@@ -193,3 +193,26 @@ def test_advert_pages_are_made_by_many_tasks(spark, tmp_path, data):
     plan = QUERIES["salary_amounts"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("RepartitionByExpression"):]
     assert "regexp" not in below and "Filter" not in below
+
+
+def test_fields_of_a_posting_are_read_once(spark):
+    """No field is read again to test whether it is there, and no text parsed for each of its uses."""
+    df = spark.createDataFrame([("u", "<h1>x</h1>")], "url string, html string")
+    plan = extract.posting_records(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2 and plan.count("variant_get") < 100
+
+
+def test_odd_pages(spark):
+    """Pages without text, with amounts of odd kinds and with nodes that hold nothing."""
+    node = f'<div id="{extract.SALARY_NODE_ID}"'
+    bases = [None, "", "{x", "Thỏa thuận", [1, 2], {}, {"value": "7.00"}, {"value": {"maxValue": "9 000"}},
+             {"value": {"minValue": 5}, "currency": ""}, {"value": {"price": 3, "unitText": "MONTH"}},
+             {"minValue": 1, "maxValue": 2, "value": {"currency": "EUR"}}]
+    pages = [ld(json.dumps({"@type": "JobPosting", "baseSalary": b})) for b in bases]
+    pages += [node + "></div>", f"{node} {extract.SALARY_NODE_ATTRIBUTE}='{{'>", ld("", "{broken"), "", None,
+              "a < b", "<p>$</p>$1000"]
+    df = spark.createDataFrame([(str(n), p) for n, p in enumerate(pages)], "url string, html string")
+    got = {int(u): s for u, s in rows(extract.posting_records(df), "url", "salary")}
+    want = ["Unknown", "Unknown", "Unknown", "Negotiable", "Unknown", "Unknown", "7", "9000", "5", "3 MONTH",
+            "1-2 EUR", "Unknown", "Unknown", "Unknown", "Unknown", None, "Unknown", "1000 USD"]
+    assert got == {n: w for n, w in enumerate(want) if w is not None}
