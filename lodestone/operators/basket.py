@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +26,12 @@ def item_support(items: DataFrame) -> DataFrame:
     return items.groupBy("item").agg(F.count(F.lit(1)).alias("freq"))
 
 
-def frequent_items_only(items: DataFrame, min_count: int) -> DataFrame:
+def frequent_items_only(items: DataFrame, min_count: int, few: bool = False) -> DataFrame:
     """Drop items in fewer than ``min_count`` baskets. Exact for any later support test at that
-    level: a set is never more frequent than its rarest item."""
+    level: a set is never more frequent than its rarest item. Where a ``few`` are left, they are
+    sent to the rows; otherwise the rows may be shuffled by item before that is known."""
     keep = item_support(items).filter(F.col("freq") >= min_count).select("item")
-    return items.join(keep, "item", "left_semi")
+    return items.join(F.broadcast(keep) if few else keep, "item", "left_semi")
 
 
 def basket_pairs(df: DataFrame, basket: str, item: str, min_count: int = 1,
@@ -108,13 +110,18 @@ def frequent_itemsets(df: DataFrame, basket: str, item: str,
     parallel, one conditional tree per item group. Equal baskets are dealt together, so that each
     task's trees hold its share of the different baskets and not nearly all of them; what is much
     repeated may be split over tasks again.
+
+    ``df`` is read once: its distinct rows lie on the executors' disks for the number of baskets, the
+    supports and the baskets. The frequent items go to all tasks, as FP-growth sends them anyway.
     """
-    total = basket_count(df, basket, item).first()[0]
-    min_count = max(1, math.ceil(round(min_support * total, 6)))
-    items = frequent_items_only(basket_items(df, basket, item), min_count)
-    baskets = items.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    baskets = baskets.select("items").hint("rebalance", F.col("items")).persist()
+    items = basket_items(df, basket, item).persist(StorageLevel.DISK_ONLY)
+    baskets = None
     try:
+        total = basket_count(items, "basket", "item").first()[0]
+        min_count = max(1, math.ceil(round(min_support * total, 6)))
+        common = frequent_items_only(items, min_count, few=True)
+        baskets = common.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
+        baskets = baskets.select("items").hint("rebalance", F.col("items")).persist()
         kept = baskets.count()
         if kept == 0:
             schema = df.select(F.array(item).alias("items")).schema["items"].dataType
@@ -128,7 +135,9 @@ def frequent_itemsets(df: DataFrame, basket: str, item: str,
             # Mined while the baskets are held, and kept: later reads do not mine again.
             found = cut_lineage(miner.fit(baskets).freqItemsets)
     finally:
-        baskets.unpersist()
+        if baskets is not None:
+            baskets.unpersist()
+        items.unpersist()
     return found.select(F.array_sort("items").alias("items"), "freq",
                         (F.col("freq") / F.lit(total)).alias("support"),
                         F.lit(total).cast("long").alias("n_baskets"))

@@ -151,3 +151,19 @@ def test_equal_baskets_are_mined_together(spark, monkeypatch):
         for part in {(x,) for x in r["s"]} | {tuple(r["s"])}:
             sets[part] = sets.get(part, 0) + 1
     assert found == {k: v for k, v in sets.items() if v >= 20}
+
+
+def test_item_sets_read_their_input_once(spark):
+    """Nulls count for nothing and repeats once; every input row is read a single time."""
+    data = [(b, i) for b in range(20) for i in ("a", "b", None)] * 2 + [(None, "a"), (20, None), (21, "c")]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(data, 3).map(counted), "b long, i string")
+    sets = {(*r["items"],): (r["freq"], r["n_baskets"])
+            for r in basket.frequent_itemsets(df, "b", "i", 0.4).collect()}
+    assert sets == {("a",): (20, 21), ("b",): (20, 21), ("a", "b"): (20, 21)}
+    assert read.value == len(data)
