@@ -176,13 +176,13 @@ def lift_cells(rules: DataFrame) -> DataFrame:
     """Lift of every ordered item pair of the given rules, long form, 0 where no rule has it.
 
     Where several rules cover a pair, the weakest of them is shown. The grid spans the items
-    of the (already cut) rules: a report-sized frame.
+    of the (already cut) rules: a report-sized frame. The rules are computed once: the cells are
+    kept, and the items of the grid are read from them.
     """
     pairs = (rules.select(F.explode("antecedent").alias("antecedent"), "consequent", "lift")
              .select("antecedent", F.explode("consequent").alias("consequent"), "lift"))
-    cells = pairs.groupBy("antecedent", "consequent").agg(F.min("lift").alias("lift"))
-    names = (pairs.select(F.col("antecedent").alias("item"))
-             .unionByName(pairs.select(F.col("consequent").alias("item"))))
+    cells = cut_lineage(pairs.groupBy("antecedent", "consequent").agg(F.min("lift").alias("lift")))
+    names = cells.select(F.explode(F.array("antecedent", "consequent")).alias("item"))
     all_items = names.agg(F.array_sort(F.collect_set("item"))).scalar()
     grid = (names.distinct().withColumnRenamed("item", "antecedent")
             .withColumn("consequent", F.explode(all_items)))

@@ -167,3 +167,22 @@ def test_item_sets_read_their_input_once(spark):
             for r in basket.frequent_itemsets(df, "b", "i", 0.4).collect()}
     assert sets == {("a",): (20, 21), ("b",): (20, 21), ("a", "b"): (20, 21)}
     assert read.value == len(data)
+
+
+def test_lift_cells_read_their_rules_once(spark):
+    """Also rules that come twice, without a lift, with an empty side or a null item."""
+    data = [(["a"], ["b"], 2.0), (["a"], ["b"], 2.0), (["a"], ["b", "c"], 3.0), (["c"], ["a"], None),
+            ([], ["d"], 4.0), (["e"], None, 5.0), ([None], ["a"], 6.0)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        read.add(1)
+        return row
+
+    rules = spark.createDataFrame(spark.sparkContext.parallelize(data, 2).map(counted),
+                                  "antecedent array<string>, consequent array<string>, lift double")
+    got = [tuple(r) for r in basket.lift_cells(rules).collect()]
+    cells = {("a", "b"): 2.0, ("a", "c"): 3.0}
+    want = [(x, y, cells.get((x, y), 0.0)) for x in (None, "a", "b", "c") for y in "abc"]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert read.value == len(data)
